@@ -84,7 +84,52 @@ unused AS (
          c.page_ordinal, c.catalog_pulled_at
   FROM catalog c
   WHERE NOT EXISTS (SELECT 1 FROM pv90 v WHERE v.workspace_id = c.workspace_id
-                    AND v.report_id = c.report_id AND v.page_id = c.page_id))
+                    AND v.report_id = c.report_id AND v.page_id = c.page_id)),
+win30 AS (SELECT as_of - 29 AS lo, as_of AS hi FROM anchor),
+pv30 AS (SELECT pv.* FROM pv, win30 WHERE pv.view_date BETWEEN win30.lo AND win30.hi),
+rv90 AS (SELECT rv.* FROM rv, win WHERE rv.view_date BETWEEN win.lo AND win.hi),
+rv30 AS (SELECT rv.* FROM rv, win30 WHERE rv.view_date BETWEEN win30.lo AND win30.hi),
+uv90 AS (SELECT uv.* FROM uv, win WHERE uv.view_date BETWEEN win.lo AND win.hi),
+pt AS (
+  SELECT workspace_id, report_id, page_id, MAX(workspace_name) AS workspace_name,
+         MAX(report_name) AS report_name, MAX(page_name) AS page_name, MAX(page_ordinal) AS page_ordinal,
+         CAST(SUM(view_count) AS BIGINT) AS views, MAX(unique_users) AS users_peak,
+         CAST(SUM(unique_users) AS BIGINT) AS user_days,
+         SUM(view_count * avg_dwell_seconds) AS dwell_weighted_sum,
+         AVG(avg_dwell_seconds) AS avg_dwell_unweighted,
+         MIN(view_date) AS first_seen, MAX(view_date) AS last_seen
+  FROM pv90 GROUP BY workspace_id, report_id, page_id),
+rep AS (
+  SELECT workspace_id, report_id, MAX(workspace_name) AS workspace_name, MAX(capacity_name) AS capacity_name,
+         MAX(report_name) AS report_name, MAX(report_total_pages) AS report_total_pages
+  FROM pv90 GROUP BY workspace_id, report_id),
+allp AS (
+  SELECT *, CAST(UNNEST(generate_series(1, report_total_pages)) AS INTEGER) AS page_ordinal FROM rep),
+miss AS (
+  SELECT a.workspace_id, a.workspace_name, a.capacity_name, a.report_id, a.report_name,
+         printf('%s::p%03d', a.report_id, a.page_ordinal - 1) AS page_id,
+         COALESCE(c.page_name, printf('(page %d)', a.page_ordinal)) AS page_name, a.page_ordinal
+  FROM allp a
+  LEFT JOIN (SELECT report_id, page_ordinal, MIN(page_name) AS page_name FROM catalog
+             GROUP BY report_id, page_ordinal) c
+         ON c.report_id = a.report_id AND c.page_ordinal = a.page_ordinal
+  WHERE NOT EXISTS (SELECT 1 FROM pv90 v WHERE v.workspace_id = a.workspace_id
+                    AND v.report_id = a.report_id AND v.page_ordinal = a.page_ordinal)),
+detail AS (
+  SELECT workspace_id, report_id, page_id, page_name, page_ordinal, views, users_peak,
+         ROUND(COALESCE(dwell_weighted_sum / NULLIF(views, 0), 0.0), 1) AS avg_dwell_seconds,
+         first_seen, last_seen FROM pt
+  UNION ALL
+  SELECT workspace_id, report_id, page_id, page_name, page_ordinal, CAST(0 AS BIGINT), CAST(0 AS BIGINT),
+         0.0::DOUBLE, CAST(NULL AS DATE), CAST(NULL AS DATE) FROM miss),
+rsum AS (
+  SELECT r.workspace_id, r.workspace_name, r.capacity_name, r.report_id, r.report_name,
+         r.report_total_pages AS total_pages,
+         CAST(COUNT(*) FILTER (WHERE p.views > 0) AS BIGINT) AS pages_with_views,
+         CAST(r.report_total_pages - COUNT(DISTINCT p.page_ordinal) AS BIGINT) AS pages_never_viewed,
+         CAST(SUM(p.views) AS BIGINT) AS total_views, MAX(p.users_peak) AS active_users_peak
+  FROM rep r JOIN pt p ON p.workspace_id = r.workspace_id AND p.report_id = r.report_id
+  GROUP BY r.workspace_id, r.workspace_name, r.capacity_name, r.report_id, r.report_name, r.report_total_pages)
 """
 
 PV_COLS = ("workspace_id, workspace_name, capacity_name, report_id, report_name, report_total_pages, "
@@ -95,7 +140,11 @@ _Q: dict[str, str] = {}
 
 
 def q(name: str, body: str) -> None:
-    _Q[name] = STAR + body
+    b = body.lstrip()
+    if b[:4].upper() == "WITH":  # extra CTEs continue the preamble's WITH list
+        _Q[name] = STAR.rstrip() + ",\n" + b[4:]
+    else:
+        _Q[name] = STAR + body
 
 
 def all_sql() -> dict[str, str]:

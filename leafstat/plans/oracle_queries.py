@@ -7,3 +7,161 @@ q("report_views_daily", "SELECT * FROM rv")
 q("user_views_daily", "SELECT * FROM uv")
 q("page_catalog", f"SELECT {CAT_COLS} FROM catalog")
 q("unused_pages", "SELECT * FROM unused ORDER BY workspace_name, report_name, page_ordinal")
+
+# -- pages and reports ------------------------------------------------------
+q("missing_page_ordinals", "SELECT * FROM miss")
+q("page_detail", "SELECT * FROM detail")
+q("page_coverage_rate", """
+SELECT d.workspace_id, d.report_id, d.workspace_name, d.report_name, d.pages_defined,
+       CAST(COALESCE(v.pages_viewed, 0) AS BIGINT) AS pages_viewed,
+       ROUND(CAST(100 AS DOUBLE) * COALESCE(v.pages_viewed, 0) / d.pages_defined, 1) AS coverage_pct
+FROM (SELECT workspace_id, report_id, MAX(workspace_name) AS workspace_name, MAX(report_name) AS report_name,
+             COUNT(DISTINCT page_id) AS pages_defined FROM catalog GROUP BY workspace_id, report_id) d
+LEFT JOIN (SELECT workspace_id, report_id, COUNT(DISTINCT page_id) AS pages_viewed FROM pv90
+           GROUP BY workspace_id, report_id) v
+  ON v.workspace_id = d.workspace_id AND v.report_id = d.report_id
+ORDER BY coverage_pct, pages_defined DESC""")
+q("workspace_summary", """
+SELECT workspace_id, MAX(workspace_name) AS workspace_name, COUNT(DISTINCT report_id) AS report_count,
+       COUNT(DISTINCT report_id || '|' || page_id) AS page_count, CAST(SUM(view_count) AS BIGINT) AS total_views
+FROM pv90 GROUP BY workspace_id ORDER BY total_views DESC""")
+q("report_summary", "SELECT * FROM rsum ORDER BY total_views DESC")
+q("persona_breakdown", """
+SELECT workspace_id, report_id, top_persona AS persona, CAST(SUM(view_count) AS BIGINT) AS views
+FROM pv90 GROUP BY workspace_id, report_id, top_persona""")
+q("views_distribution", """
+SELECT CAST(b.bucket_order AS INTEGER) AS bucket_order, b.bucket, CAST(COUNT(a.v) AS BIGINT) AS pages
+FROM (VALUES (0, '0 (never)', 0, 0), (1, '1–10', 1, 10), (2, '11–50', 11, 50), (3, '51–200', 51, 200),
+             (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 1000000000))
+     b(bucket_order, bucket, lo, hi)
+LEFT JOIN (SELECT views AS v FROM pt UNION ALL SELECT 0 FROM miss) a ON a.v BETWEEN b.lo AND b.hi
+GROUP BY b.bucket_order, b.bucket ORDER BY 1""")
+q("underused_top10", """
+SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views AS total_views,
+       user_days, avg_dwell_unweighted AS avg_dwell
+FROM pt WHERE views <= 10
+ORDER BY total_views, report_name, page_name, workspace_id, report_id, page_id LIMIT 10""")
+q("underused_dashboard", """
+SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views
+FROM pt WHERE views > 0 AND views < 100 ORDER BY views, workspace_id, report_id, page_id LIMIT 200""")
+q("underused_pages_count", "SELECT COUNT(*) FILTER (WHERE views > 0 AND views <= 10) AS underused_pages FROM pt")
+q("headline_kpis", """
+SELECT (SELECT CAST(SUM(view_count) AS BIGINT) FROM pv90) AS total_views,
+       (SELECT COUNT(*) FROM pt) AS pages_viewed,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id, page_id FROM catalog)) AS pages_defined,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id FROM pv90)) AS reports,
+       (SELECT COUNT(DISTINCT workspace_id) FROM pv90) AS workspaces,
+       (SELECT AVG(avg_dwell_seconds) FROM pv90) AS avg_dwell_unweighted""")
+q("unused_kpis", """
+SELECT (SELECT COUNT(*) FROM unused) AS unused_pages,
+       (SELECT COUNT(*) FROM unused) / (SELECT COUNT(*) FROM catalog)::DOUBLE AS pct_pages_unused,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id FROM unused)) AS reports_with_unused""")
+q("viewed_keys_except", """
+SELECT workspace_id, report_id, page_id FROM catalog
+EXCEPT SELECT workspace_id, report_id, page_id FROM pv90""")
+q("reports_with_unused", """
+SELECT workspace_id, report_id, MAX(workspace_name) AS workspace_name, MAX(report_name) AS report_name,
+       COUNT(DISTINCT page_id) AS unused_pages
+FROM unused GROUP BY workspace_id, report_id ORDER BY unused_pages DESC""")
+q("top_page_share", """
+SELECT workspace_id, report_id, MAX(views) AS top_page_views, CAST(SUM(views) AS BIGINT) AS report_views,
+       MAX(views) / SUM(views)::DOUBLE AS top_page_share
+FROM pt GROUP BY workspace_id, report_id""")
+q("avg_views_per_page", """
+SELECT workspace_id, report_id, total_views, total_pages,
+       CAST(ROUND(total_views / GREATEST(total_pages, 1)::DOUBLE) AS BIGINT) AS avg_views_per_page
+FROM rsum""")
+q("page_daily_trend", """
+SELECT workspace_id, report_id, page_id, view_date, CAST(SUM(view_count) AS BIGINT) AS views
+FROM pv90 GROUP BY workspace_id, report_id, page_id, view_date""")
+q("top_pages", """
+SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views
+FROM pt WHERE views > 0 ORDER BY views DESC, workspace_id, report_id, page_id LIMIT 25""")
+q("unused_sample", """
+SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, page_ordinal
+FROM unused ORDER BY workspace_name, report_name, page_ordinal, workspace_id, report_id, page_id LIMIT 10""")
+q("longest_report", """
+SELECT workspace_id, report_id, report_name, report_total_pages FROM rep
+ORDER BY report_total_pages DESC, workspace_id, report_id LIMIT 1""")
+q("report_picker", """
+SELECT workspace_name, report_name, workspace_id, report_id FROM rep
+ORDER BY workspace_name, report_name, workspace_id, report_id""")
+q("page_name_search", f"SELECT {CAT_COLS} FROM catalog WHERE contains(lower(page_name), 'blue')")
+q("page_funnel", """
+SELECT workspace_id, report_id, report_name, page_name, page_ordinal, page_views,
+       page_views / (MAX(page_views) OVER (PARTITION BY workspace_id, report_id))::DOUBLE AS pct_of_max
+FROM (SELECT workspace_id, report_id, page_id, MAX(report_name) AS report_name, MAX(page_name) AS page_name,
+             MAX(page_ordinal) AS page_ordinal, CAST(SUM(view_count) AS BIGINT) AS page_views
+      FROM pv30 GROUP BY workspace_id, report_id, page_id) t
+ORDER BY workspace_id, report_id, page_ordinal""".replace(
+    "SELECT workspace_id, report_id, report_name", "SELECT workspace_id, report_id, page_id, report_name", 1))
+q("pct_of_first_page", """
+SELECT workspace_id, report_id, page_id, page_ordinal, views,
+       CAST(SUM(CASE WHEN page_ordinal = 1 THEN views END) OVER (PARTITION BY workspace_id, report_id) AS BIGINT)
+         AS first_page_views,
+       views / (SUM(CASE WHEN page_ordinal = 1 THEN views END) OVER (PARTITION BY workspace_id, report_id))::DOUBLE
+         AS pct_of_first_page
+FROM pt""")
+q("cumulative_views_by_ordinal", """
+SELECT workspace_id, report_id, page_ordinal, views,
+       CAST(SUM(views) OVER (PARTITION BY workspace_id, report_id ORDER BY page_ordinal) AS BIGINT)
+         AS cumulative_views
+FROM (SELECT workspace_id, report_id, page_ordinal, CAST(SUM(view_count) AS BIGINT) AS views
+      FROM pv90 GROUP BY workspace_id, report_id, page_ordinal)""")
+q("page_bar_share", """
+SELECT workspace_id, report_id, page_id, page_name, page_ordinal, views,
+       GREATEST(1.0, (views / GREATEST(MAX(views) OVER (PARTITION BY workspace_id, report_id), 1)::DOUBLE) * 100)
+         AS bar_pct
+FROM detail""")
+q("pages_per_session", """
+WITH p AS (SELECT workspace_id, report_id, view_date, SUM(view_count) AS pviews FROM pv30
+           GROUP BY workspace_id, report_id, view_date),
+     r AS (SELECT workspace_id, report_id, view_date, SUM(view_count) AS sessions,
+                  SUM(avg_session_seconds) AS ss, COUNT(*) AS n
+           FROM rv30 GROUP BY workspace_id, report_id, view_date),
+     names AS (SELECT workspace_id, report_id, MAX(workspace_name) AS workspace_name,
+                      MAX(report_name) AS report_name FROM pv30 GROUP BY workspace_id, report_id)
+SELECT p.workspace_id, p.report_id, names.workspace_name, names.report_name,
+       CAST(SUM(p.pviews) AS BIGINT) AS total_page_views, CAST(SUM(r.sessions) AS BIGINT) AS total_report_sessions,
+       ROUND(SUM(p.pviews) / SUM(r.sessions)::DOUBLE, 2) AS pages_per_session,
+       SUM(r.ss) / SUM(r.n) AS avg_session_seconds
+FROM p JOIN r ON r.workspace_id = p.workspace_id AND r.report_id = p.report_id AND r.view_date = p.view_date
+JOIN names ON names.workspace_id = p.workspace_id AND names.report_id = p.report_id
+GROUP BY p.workspace_id, p.report_id, names.workspace_name, names.report_name
+HAVING SUM(r.sessions) > 0 ORDER BY pages_per_session""")
+q("daily_trend", "SELECT view_date, CAST(SUM(view_count) AS BIGINT) AS views FROM pv90 GROUP BY view_date ORDER BY 1")
+q("views_by_capacity", "SELECT capacity_name, CAST(SUM(view_count) AS BIGINT) AS total_views FROM pv90 GROUP BY 1")
+q("report_level_kpis", """
+SELECT (SELECT CAST(SUM(view_count) AS BIGINT) FROM rv90) AS report_views,
+       (SELECT SUM(view_count) FROM pv90) / (SELECT SUM(view_count) FROM rv90)::DOUBLE AS pages_per_session,
+       (SELECT AVG(avg_session_seconds) FROM rv90) AS avg_session_seconds""")
+q("trend_page_vs_report", """
+SELECT COALESCE(a.view_date, b.view_date) AS view_date, a.page_views, b.report_views
+FROM (SELECT view_date, CAST(SUM(view_count) AS BIGINT) AS page_views FROM pv90 GROUP BY 1) a
+FULL JOIN (SELECT view_date, CAST(SUM(view_count) AS BIGINT) AS report_views FROM rv90 GROUP BY 1) b
+  ON a.view_date = b.view_date ORDER BY 1""")
+q("report_matrix", """
+WITH pg AS (SELECT workspace_id, report_id, MAX(workspace_name) AS workspace_name, MAX(report_name) AS report_name,
+                   CAST(SUM(views) AS BIGINT) AS views, MAX(views) AS top FROM pt GROUP BY 1, 2),
+     s AS (SELECT workspace_id, report_id, SUM(view_count) AS report_views,
+                  AVG(avg_session_seconds) AS avg_session_seconds FROM rv90 GROUP BY 1, 2),
+     u AS (SELECT workspace_id, report_id, COUNT(DISTINCT page_id) AS n FROM unused GROUP BY 1, 2)
+SELECT pg.workspace_id, pg.report_id, pg.workspace_name, pg.report_name, pg.views,
+       pg.views / NULLIF(s.report_views, 0)::DOUBLE AS pages_per_session, s.avg_session_seconds,
+       pg.top / NULLIF(pg.views, 0)::DOUBLE AS top_page_share, COALESCE(u.n, 0) AS unused_pages,
+       CASE WHEN COALESCE(u.n, 0) >= 5 THEN 'red' WHEN COALESCE(u.n, 0) >= 1 THEN 'yellow' ELSE '' END AS unused_band
+FROM pg LEFT JOIN s ON s.workspace_id = pg.workspace_id AND s.report_id = pg.report_id
+LEFT JOIN u ON u.workspace_id = pg.workspace_id AND u.report_id = pg.report_id""")
+q("dashboard_meta", """
+SELECT (SELECT MIN(view_date) FROM pv90) AS date_from, (SELECT MAX(view_date) FROM pv90) AS date_to,
+       (SELECT COUNT(DISTINCT view_date) FROM pv90) AS days,
+       (SELECT COUNT(DISTINCT workspace_id) FROM pv90) AS total_workspaces,
+       (SELECT COUNT(*) FROM rsum) AS total_reports,
+       (SELECT CAST(SUM(total_pages) AS BIGINT) FROM rsum) AS total_pages_defined,
+       (SELECT CAST(SUM(pages_with_views) AS BIGINT) FROM rsum) AS total_pages_with_views,
+       (SELECT CAST(SUM(pages_never_viewed) AS BIGINT) FROM rsum) AS total_pages_never_viewed,
+       (SELECT CAST(SUM(view_count) AS BIGINT) FROM pv90) AS total_views,
+       100 AS underused_threshold,
+       (SELECT COUNT(*) FROM pt WHERE views > 0 AND views < 100) AS underused_count,
+       (SELECT COUNT(*) FROM miss) AS unused_count,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_name, report_name FROM miss)) AS unused_reports_count""")

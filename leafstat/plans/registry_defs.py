@@ -32,3 +32,63 @@ def _pc(lh: Lakehouse):
 def _up(lh: Lakehouse):
     lo, hi = lh.window(90)
     return sv.unused_pages(lh.page_catalog, lh.page_views, lo, hi)
+
+
+# -- helpers ---------------------------------------------------------------
+def pvw(lh: Lakehouse, days: int = 90):
+    lo, hi = lh.window(days)
+    return sv.window_filter(lh.page_views, lo, hi)
+
+
+def rvw(lh: Lakehouse, days: int = 90):
+    lo, hi = lh.window(days)
+    return sv.window_filter(lh.report_views, lo, hi)
+
+
+def uvw(lh: Lakehouse, days: int = 90):
+    lo, hi = lh.window(days)
+    return sv.window_filter(lh.user_views, lo, hi)
+
+
+def unused(lh: Lakehouse):
+    lo, hi = lh.window(90)
+    return sv.unused_pages(lh.page_catalog, lh.page_views, lo, hi, order=False)
+
+
+# -- pages and reports ------------------------------------------------------
+from leafstat.operators import pages as pg  # noqa: E402
+from leafstat.operators import reports as rp  # noqa: E402
+
+register("missing_page_ordinals")(lambda lh: pg.missing_page_ordinals(pvw(lh), lh.page_catalog))
+register("page_detail")(lambda lh: pg.page_detail(pvw(lh), lh.page_catalog))
+register("page_coverage_rate")(lambda lh: pg.page_coverage_rate(pvw(lh), lh.page_catalog))
+register("workspace_summary")(lambda lh: pg.workspace_summary(pvw(lh)))
+register("report_summary")(lambda lh: pg.report_summary(pvw(lh)))
+register("persona_breakdown")(lambda lh: pg.persona_breakdown(pvw(lh)))
+register("views_distribution")(lambda lh: pg.views_distribution(pvw(lh), lh.page_catalog))
+register("underused_top10")(lambda lh: pg.underused_top10(pvw(lh)))
+register("underused_dashboard")(lambda lh: pg.underused_dashboard(pvw(lh)))
+register("underused_pages_count")(lambda lh: pg.underused_pages_count(pvw(lh)))
+register("headline_kpis")(lambda lh: pg.headline_kpis(pvw(lh), lh.page_catalog))
+register("unused_kpis")(lambda lh: pg.unused_kpis(unused(lh), lh.page_catalog))
+register("viewed_keys_except")(lambda lh: pg.viewed_keys_except(lh.page_catalog, pvw(lh)))
+register("reports_with_unused")(lambda lh: pg.reports_with_unused(unused(lh)))
+register("top_page_share")(lambda lh: pg.top_page_share(pvw(lh)))
+register("avg_views_per_page")(lambda lh: pg.avg_views_per_page(pvw(lh)))
+register("page_daily_trend")(lambda lh: pg.page_daily_trend(pvw(lh)))
+register("top_pages")(lambda lh: pg.top_pages(pvw(lh)))
+register("unused_sample")(lambda lh: pg.unused_sample(unused(lh)))
+register("longest_report")(lambda lh: pg.longest_report(pvw(lh)))
+register("report_picker")(lambda lh: pg.report_picker(pvw(lh)))
+register("page_name_search")(lambda lh: pg.page_name_search(lh.page_catalog, "blue"))
+register("page_funnel")(lambda lh: pg.page_funnel(pvw(lh, 30)))
+register("pct_of_first_page")(lambda lh: pg.pct_of_first_page(pvw(lh)))
+register("cumulative_views_by_ordinal")(lambda lh: pg.cumulative_views_by_ordinal(pvw(lh)))
+register("page_bar_share")(lambda lh: pg.page_bar_share(pvw(lh), lh.page_catalog))
+register("pages_per_session")(lambda lh: rp.pages_per_session(pvw(lh, 30), rvw(lh, 30)))
+register("daily_trend")(lambda lh: rp.daily_trend(pvw(lh)))
+register("views_by_capacity")(lambda lh: rp.views_by_capacity(pvw(lh)))
+register("report_level_kpis")(lambda lh: rp.report_level_kpis(pvw(lh), rvw(lh)))
+register("trend_page_vs_report")(lambda lh: rp.trend_page_vs_report(pvw(lh), rvw(lh)))
+register("report_matrix")(lambda lh: rp.report_matrix(pvw(lh), rvw(lh), unused(lh)))
+register("dashboard_meta")(lambda lh: rp.dashboard_meta(pvw(lh), lh.page_catalog))
