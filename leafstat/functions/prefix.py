@@ -15,39 +15,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running_total(df: DataFrame, group_cols: list[str], order_cols: list, value=None,
-                  out: str = "running_total", group_total: str | None = None,
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = running sum of ``value`` (default 1 = row number) within
-    ``group_cols`` ordered by ``order_cols`` (which must be unique inside a
-    group), and optionally ``group_total`` = the group's full sum.
+def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, values: dict,
+                   group_totals: dict | None = None, num_partitions: int | None = None) -> DataFrame:
+    """Add one running-sum column per ``values`` entry ({out: column or None=1})
+    within ``group_cols`` ordered by ``order_cols`` (unique inside a group),
+    and ``group_totals`` ({out: source out name}) = the group's full sums.
 
     Group keys must be non-NULL.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if value is None:
-        v = F.lit(1).cast("long")
-    else:
-        v = F.col(value) if isinstance(value, str) else value
     order = [F.col(o) if isinstance(o, str) else o for o in order_cols]
+    names = list(values)
+    t = df
+    for i, (out, v) in enumerate(values.items()):
+        if v is None:
+            v = F.lit(1).cast("long")
+        elif isinstance(v, str):
+            v = F.col(v)
+        t = t.withColumn(f"_rt_v{i}", v)
     # Explicit partition count: AQE must not coalesce these partitions,
     # since the partition id is part of the chunk key.
-    t = (df.withColumn("_rt_v", v)
-         .repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
+    t = (t.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
          .withColumn("_rt_pid", F.spark_partition_id()))
     local_w = (Window.partitionBy("_rt_pid", *group_cols).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    t = t.withColumn("_rt_local", F.sum("_rt_v").over(local_w))
-    chunks = t.groupBy("_rt_pid", *group_cols).agg(F.sum("_rt_v").alias("_rt_chunk"))
+    for i in range(len(names)):
+        t = t.withColumn(f"_rt_l{i}", F.sum(f"_rt_v{i}").over(local_w))
+    chunks = t.groupBy("_rt_pid", *group_cols).agg(
+        *[F.sum(f"_rt_v{i}").alias(f"_rt_c{i}") for i in range(len(names))])
     before = (Window.partitionBy(*group_cols).orderBy("_rt_pid")
               .rowsBetween(Window.unboundedPreceding, -1))
-    chunks = chunks.withColumn("_rt_off", F.coalesce(F.sum("_rt_chunk").over(before), F.lit(0)))
-    if group_total:
-        chunks = chunks.withColumn(group_total, F.sum("_rt_chunk").over(Window.partitionBy(*group_cols)))
-    res = t.join(chunks.drop("_rt_chunk"), ["_rt_pid", *group_cols])
-    return (res.withColumn(out, (F.col("_rt_local") + F.col("_rt_off")))
-            .drop("_rt_pid", "_rt_v", "_rt_local", "_rt_off"))
+    whole = Window.partitionBy(*group_cols)
+    for i in range(len(names)):
+        chunks = chunks.withColumn(f"_rt_o{i}", F.coalesce(F.sum(f"_rt_c{i}").over(before), F.lit(0)))
+    for out, src in (group_totals or {}).items():
+        chunks = chunks.withColumn(out, F.sum(f"_rt_c{names.index(src)}").over(whole))
+    chunks = chunks.drop(*[f"_rt_c{i}" for i in range(len(names))])
+    res = t.join(chunks, ["_rt_pid", *group_cols])
+    for i, out in enumerate(names):
+        res = res.withColumn(out, F.col(f"_rt_l{i}") + F.col(f"_rt_o{i}"))
+    drop = ["_rt_pid"] + [f"_rt_{k}{i}" for i in range(len(names)) for k in ("v", "l", "o")]
+    return res.drop(*drop)
+
+
+def running_total(df: DataFrame, group_cols: list[str], order_cols: list, value=None,
+                  out: str = "running_total", group_total: str | None = None,
+                  num_partitions: int | None = None) -> DataFrame:
+    """Single running sum (default: of 1, i.e. a row number)."""
+    return running_totals(df, group_cols, order_cols, {out: value},
+                          {group_total: out} if group_total else None, num_partitions)
 
 
 def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "ordinal",
@@ -58,5 +75,3 @@ def ordinal(df: DataFrame, group_cols: list[str], order_cols: list, out: str = "
     if group_total:
         res = res.withColumn(group_total, F.col(group_total).cast("int"))
     return res
-
-

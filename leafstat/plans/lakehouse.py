@@ -67,6 +67,17 @@ class Lakehouse:
     def reports(self) -> DataFrame:
         return self.source.reports()
 
+    @cached_property
+    def first_date(self) -> _dt.date:
+        if self.source is not None and hasattr(self.source, "first_date") and "page_views" not in self._tables:
+            return self.source.first_date()
+        return self.page_views.select(F.min("view_date")).first()[0]
+
+    def side(self, name: str) -> DataFrame:
+        """Side tables of the source: workspace_owners, people, datasets,
+        runs_from_events, runs_from_volume."""
+        return getattr(self.source, name)()
+
     @cached_property
     def catalog_full(self) -> DataFrame:
         """Catalog with the report_total_pages sidecar column."""

@@ -165,3 +165,257 @@ SELECT (SELECT MIN(view_date) FROM pv90) AS date_from, (SELECT MAX(view_date) FR
        (SELECT COUNT(*) FROM pt WHERE views > 0 AND views < 100) AS underused_count,
        (SELECT COUNT(*) FROM miss) AS unused_count,
        (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_name, report_name FROM miss)) AS unused_reports_count""")
+
+# -- trends, users, governance, ops -----------------------------------------
+ROLLING = """
+WITH rd AS (SELECT workspace_id, report_id, view_date, SUM(view_count) AS v FROM pv, anchor
+            WHERE view_date <= anchor.as_of GROUP BY workspace_id, report_id, view_date),
+fr AS (SELECT workspace_id, report_id, MIN(view_date) AS f FROM rd GROUP BY workspace_id, report_id),
+sp AS (SELECT fr.workspace_id, fr.report_id,
+              CAST(UNNEST(generate_series(CAST(fr.f AS TIMESTAMP), CAST(anchor.as_of AS TIMESTAMP), INTERVAL 1 DAY))
+                   AS DATE) AS view_date
+       FROM fr, anchor),
+ser AS (SELECT sp.workspace_id, sp.report_id, sp.view_date, CAST(COALESCE(rd.v, 0) AS BIGINT) AS views
+        FROM sp LEFT JOIN rd ON rd.workspace_id = sp.workspace_id AND rd.report_id = sp.report_id
+                             AND rd.view_date = sp.view_date),
+ro AS (SELECT *, CAST(SUM(views) OVER (PARTITION BY workspace_id, report_id ORDER BY view_date
+                                       ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS BIGINT) AS rolling_7d FROM ser)
+"""
+q("rolling_7d_views", ROLLING + "SELECT * FROM ro")
+q("report_half_life", ROLLING.rstrip() + """,
+pk AS (SELECT workspace_id, report_id, rolling_7d AS peak_rolling_7d, view_date AS peak_date FROM (
+         SELECT *, ROW_NUMBER() OVER (PARTITION BY workspace_id, report_id ORDER BY rolling_7d DESC, view_date) AS rn
+         FROM ro) WHERE rn = 1),
+po AS (SELECT ro.workspace_id, ro.report_id, pk.peak_date, pk.peak_rolling_7d, MIN(ro.view_date) AS half_date
+       FROM ro JOIN pk ON pk.workspace_id = ro.workspace_id AND pk.report_id = ro.report_id
+       WHERE ro.view_date > pk.peak_date AND ro.rolling_7d < pk.peak_rolling_7d / 2.0
+       GROUP BY ro.workspace_id, ro.report_id, pk.peak_date, pk.peak_rolling_7d),
+nm AS (SELECT workspace_id, report_id, MAX(report_name) AS report_name FROM pv GROUP BY workspace_id, report_id)
+SELECT po.workspace_id, po.report_id, nm.report_name, po.peak_date, po.half_date,
+       CAST(datediff('day', po.peak_date, po.half_date) AS INTEGER) AS half_life_days, po.peak_rolling_7d
+FROM po JOIN nm ON nm.workspace_id = po.workspace_id AND nm.report_id = po.report_id
+ORDER BY half_life_days""")
+q("capacity_long_tail", """
+WITH rk AS (SELECT capacity_name, workspace_id, report_id, SUM(view_count) AS rv FROM pv30
+            GROUP BY capacity_name, workspace_id, report_id),
+r2 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY capacity_name ORDER BY rv DESC, workspace_id, report_id) AS rnk FROM rk),
+cu AS (SELECT *, SUM(rv) OVER (PARTITION BY capacity_name ORDER BY rnk) AS rt,
+              SUM(rv) OVER (PARTITION BY capacity_name) AS tot FROM r2)
+SELECT capacity_name, CAST(MIN(CASE WHEN CAST(rt AS DOUBLE) / tot >= 0.80 THEN rnk END) AS INTEGER) AS reports_for_80pct
+FROM cu GROUP BY capacity_name ORDER BY reports_for_80pct""")
+q("trailing_views", """
+SELECT CAST(COALESCE(SUM(view_count) FILTER (WHERE view_date >= as_of - 6), 0) AS BIGINT) AS views_last_7d,
+       CAST(COALESCE(SUM(view_count), 0) AS BIGINT) AS views_last_30d
+FROM pv, anchor WHERE view_date BETWEEN as_of - 29 AND as_of""")
+q("wow_change", """
+SELECT l7 AS views_last_7d, p7 AS views_prev_7d, (l7 - p7) / NULLIF(p7, 0)::DOUBLE AS wow_change FROM (
+  SELECT CAST(COALESCE(SUM(view_count) FILTER (WHERE view_date >= as_of - 6), 0) AS BIGINT) AS l7,
+         CAST(COALESCE(SUM(view_count) FILTER (WHERE view_date < as_of - 6), 0) AS BIGINT) AS p7
+  FROM pv, anchor WHERE view_date BETWEEN as_of - 13 AND as_of)""")
+q("new_page_adoption", """
+WITH a2 AS (SELECT MIN(view_date) + 89 AS a FROM pv),
+f AS (SELECT pv.* FROM pv, a2 WHERE pv.view_date <= a2.a),
+pd AS (SELECT workspace_id, report_id, page_id, view_date, SUM(view_count) AS dv, MAX(page_name) AS pn
+       FROM f GROUP BY workspace_id, report_id, page_id, view_date),
+fs AS (SELECT workspace_id, report_id, page_id, MIN(view_date) AS first_view, MAX(pn) AS page_name
+       FROM pd GROUP BY workspace_id, report_id, page_id),
+av AS (SELECT workspace_id, report_id, AVG(dv) AS ra FROM pd GROUP BY workspace_id, report_id)
+SELECT fs.workspace_id, fs.report_id, fs.page_id, fs.page_name, fs.first_view,
+       CAST(MIN(CASE WHEN pd.dv >= av.ra / 2 THEN datediff('day', fs.first_view, pd.view_date) END) AS INTEGER)
+         AS days_to_half_avg
+FROM pd JOIN fs ON fs.workspace_id = pd.workspace_id AND fs.report_id = pd.report_id AND fs.page_id = pd.page_id
+JOIN av ON av.workspace_id = pd.workspace_id AND av.report_id = pd.report_id, a2
+WHERE fs.first_view >= a2.a - 59
+GROUP BY fs.workspace_id, fs.report_id, fs.page_id, fs.page_name, fs.first_view
+ORDER BY days_to_half_avg NULLS LAST""")
+q("idle_alert", """
+WITH l AS (SELECT workspace_id, report_id, page_id, MAX(view_date) AS last_view_date FROM pv, anchor
+           WHERE view_date <= anchor.as_of GROUP BY workspace_id, report_id, page_id)
+SELECT c.workspace_id, c.report_id, c.page_id, c.workspace_name, c.report_name, c.page_name, l.last_view_date,
+       CAST(datediff('day', l.last_view_date, a.as_of) AS INTEGER) AS idle_days
+FROM catalog c LEFT JOIN l ON l.workspace_id = c.workspace_id AND l.report_id = c.report_id
+                          AND l.page_id = c.page_id, anchor a
+WHERE l.last_view_date IS NULL OR datediff('day', l.last_view_date, a.as_of) >= 30""")
+q("idle_reports", """
+WITH l AS (SELECT workspace_id, report_id, MAX(view_date) AS last_view_date FROM pv, anchor
+           WHERE view_date <= anchor.as_of GROUP BY workspace_id, report_id),
+r AS (SELECT DISTINCT workspace_id, report_id, report_name FROM cat)
+SELECT r.workspace_id, r.report_id, r.report_name, l.last_view_date,
+       CAST(datediff('day', l.last_view_date, a.as_of) AS INTEGER) AS idle_days
+FROM r LEFT JOIN l ON l.workspace_id = r.workspace_id AND l.report_id = r.report_id, anchor a
+WHERE l.last_view_date IS NULL OR datediff('day', l.last_view_date, a.as_of) >= 30""")
+q("power_users_per_report", """
+SELECT workspace_id, report_id, user_id_hash, MAX(workspace_name) AS workspace_name, MAX(report_name) AS report_name,
+       CAST(SUM(view_count) AS BIGINT) AS lifetime_page_views, CAST(SUM(distinct_pages_viewed) AS BIGINT) AS page_days,
+       COUNT(DISTINCT view_date) AS active_days
+FROM uv90 GROUP BY workspace_id, report_id, user_id_hash HAVING SUM(view_count) >= 50
+ORDER BY lifetime_page_views DESC, workspace_id, report_id, user_id_hash LIMIT 50""")
+q("power_users_count", """
+SELECT COUNT(*) FILTER (WHERE v > 50) AS power_users
+FROM (SELECT user_id_hash, SUM(view_count) AS v FROM uv90 GROUP BY user_id_hash)""")
+q("user_kpis", """
+SELECT COUNT(*) AS unique_users, AVG(p) AS avg_pages_per_user
+FROM (SELECT user_id_hash, SUM(distinct_pages_viewed) AS p FROM uv90 GROUP BY user_id_hash)""")
+q("top_users", """
+SELECT user_id_hash, CAST(SUM(view_count) AS BIGINT) AS views FROM uv90 GROUP BY user_id_hash
+ORDER BY views DESC, user_id_hash LIMIT 25""")
+q("multi_page_user_share", """
+SELECT AVG(CASE WHEN n > 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS multi_page_user_share
+FROM (SELECT lower(user_upn) AS u, COUNT(DISTINCT workspace_id || '|' || report_id || '|' || page_id) AS n
+      FROM ev, win WHERE ev.view_date BETWEEN win.lo AND win.hi GROUP BY lower(user_upn))""")
+OWNERS = ("own AS (SELECT 'ws-' || CAST(n_regionkey AS VARCHAR) AS workspace_id, "
+          "lower(n_name) || '@example.com' AS owner_upn, n_name AS owner_name FROM nation WHERE n_nationkey < 7)")
+q("owner_accountability", f"""
+WITH {OWNERS},
+p AS (SELECT workspace_id, report_id, page_id, SUM(view_count) AS tv FROM pv90
+      GROUP BY workspace_id, report_id, page_id)
+SELECT o.owner_upn, o.owner_name,
+       COUNT(DISTINCT p.workspace_id || '|' || p.report_id || '|' || p.page_id) FILTER (WHERE p.tv <= 10)
+         AS underused_pages,
+       COUNT(DISTINCT p.workspace_id || '|' || p.report_id) AS reports_owned,
+       CAST(SUM(p.tv) AS BIGINT) AS total_views_owned,
+       (SELECT COUNT(*) FROM unused u WHERE u.workspace_id IN
+           (SELECT o2.workspace_id FROM own o2 WHERE o2.owner_upn = o.owner_upn AND o2.owner_name = o.owner_name))
+         AS unused_pages
+FROM own o JOIN p ON p.workspace_id = o.workspace_id
+GROUP BY o.owner_upn, o.owner_name ORDER BY underused_pages DESC""")
+q("resolve_known_users", """
+SELECT v.user_id_hash, v.views, p.display_name
+FROM (SELECT user_id_hash, CAST(SUM(view_count) AS BIGINT) AS views FROM uv90 GROUP BY user_id_hash) v
+JOIN (SELECT substr(sha256(lower(trim(c_name || '@example.com'))), 1, 16) AS h, c_name AS display_name
+      FROM customer) p ON p.h = v.user_id_hash""")
+q("persona_enrichment", "SELECT * FROM top_persona")
+q("workspace_owner_rls", f"""
+SELECT {PV_COLS} FROM pv90 WHERE workspace_id IN (
+  SELECT 'ws-' || CAST(n_regionkey AS VARCHAR) FROM nation
+  WHERE n_nationkey < 7 AND lower(n_name) || '@example.com' = 'nation_0@example.com')""")
+q("strip_identifying_names",
+  "SELECT workspace_id, report_id, user_id_hash, view_date, view_count, distinct_pages_viewed FROM uv90")
+q("retain_silver", f"SELECT {PV_COLS} FROM pv, anchor WHERE view_date >= anchor.as_of - 90")
+q("forget_user", """
+SELECT * FROM uv WHERE user_id_hash <> substr(sha256(lower('Customer#000000001@example.com')), 1, 16)""")
+q("pii_guard", """
+SELECT COUNT(*) FILTER (WHERE NOT regexp_full_match(user_id_hash, '([0-9a-f]{16})?')
+                         OR contains(user_id_hash, '@')) AS violations,
+       COUNT(*) AS rows_checked FROM uv""")
+q("grain_check", """
+SELECT 'page_views' AS table_name, (SELECT COUNT(*) FROM (SELECT 1 FROM pv
+   GROUP BY workspace_id, report_id, page_id, view_date HAVING COUNT(*) > 1)) AS duplicate_keys
+UNION ALL SELECT 'page_catalog', (SELECT COUNT(*) FROM (SELECT 1 FROM catalog
+   GROUP BY workspace_id, report_id, page_id HAVING COUNT(*) > 1))
+UNION ALL SELECT 'report_views', (SELECT COUNT(*) FROM (SELECT 1 FROM rv
+   GROUP BY workspace_id, report_id, view_date HAVING COUNT(*) > 1))
+UNION ALL SELECT 'user_views', (SELECT COUNT(*) FROM (SELECT 1 FROM uv
+   GROUP BY workspace_id, report_id, user_id_hash, view_date HAVING COUNT(*) > 1))
+UNION ALL SELECT 'unused_pages', (SELECT COUNT(*) FROM (SELECT 1 FROM unused
+   GROUP BY workspace_id, report_id, page_id HAVING COUNT(*) > 1))""")
+ROLLUP = """
+WITH ru AS (SELECT workspace_id, MAX(workspace_name) AS workspace_name, MAX(capacity_name) AS capacity_name,
+                   report_id, MAX(report_name) AS report_name, view_date,
+                   CAST(SUM(view_count) AS BIGINT) AS view_count, MAX(unique_users) AS unique_users,
+                   COALESCE(SUM(view_count * avg_dwell_seconds) / NULLIF(SUM(view_count), 0), 0.0)
+                     AS avg_session_seconds
+            FROM pv GROUP BY workspace_id, report_id, view_date)
+"""
+q("report_views_rollup", ROLLUP + "SELECT * FROM ru")
+q("rollup_consistency", ROLLUP.rstrip() + """,
+mx AS (SELECT workspace_id, report_id, view_date, MAX(view_count) AS max_page_views FROM pv
+       GROUP BY workspace_id, report_id, view_date)
+SELECT ru.workspace_id, ru.report_id, ru.view_date, ru.view_count, mx.max_page_views
+FROM ru JOIN mx ON mx.workspace_id = ru.workspace_id AND mx.report_id = ru.report_id AND mx.view_date = ru.view_date
+WHERE ru.view_count < mx.max_page_views""")
+q("stale_catalog", """
+SELECT workspace_id, report_id, MAX(catalog_pulled_at) AS last_pulled_at,
+       CAST(datediff('day', CAST(MAX(catalog_pulled_at) AS DATE), anchor.as_of) AS INTEGER) AS days_since_pull,
+       datediff('day', CAST(MAX(catalog_pulled_at) AS DATE), anchor.as_of) > 0 AS is_stale
+FROM catalog, anchor GROUP BY workspace_id, report_id, anchor.as_of""")
+DROP = """
+m AS (SELECT run_date, {v}, median({v}) OVER (ORDER BY run_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)
+             AS median_prev FROM runs)
+SELECT run_date, {v}, CAST(median_prev AS DOUBLE) AS median_prev, {v} / median_prev::DOUBLE AS ratio,
+       COALESCE({v} < median_prev * 0.5, false) AS flag FROM m"""
+q("rows_drop_alert", """
+WITH runs AS (SELECT CAST(l_shipdate AS DATE) AS run_date, COUNT(*) AS "rows" FROM lineitem GROUP BY 1),
+""" + DROP.format(v='"rows"'))
+q("dau_drop_alert", """
+WITH runs AS (SELECT view_date AS run_date, COUNT(DISTINCT user_id_hash) AS dau FROM uv GROUP BY 1),
+""" + DROP.format(v="dau"))
+ERUNS = """
+er AS (SELECT CAST(ts AS DATE) AS run_date, COUNT(*) AS reports,
+              COUNT(*) FILTER (WHERE event_type = 'error') AS errors, MAX(ts) AS ended_at
+       FROM events GROUP BY 1)"""
+q("run_severity", "WITH " + ERUNS + """,
+f AS (SELECT *, errors * 100 > reports * 22 AS failed FROM er),
+i AS (SELECT *, SUM(CASE WHEN failed THEN 0 ELSE 1 END) OVER (ORDER BY run_date ROWS UNBOUNDED PRECEDING) AS isl,
+             MAX(CASE WHEN NOT failed THEN ended_at END) OVER (ORDER BY run_date ROWS UNBOUNDED PRECEDING) AS last_ok
+      FROM f),
+c AS (SELECT *, CAST(SUM(CAST(failed AS INTEGER)) OVER (PARTITION BY isl ORDER BY run_date
+                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS consecutive_failures,
+             (epoch_us(ended_at) - epoch_us(last_ok)) / 3600000000.0::DOUBLE AS hours_since_ok FROM i)
+SELECT run_date, reports, errors, failed, consecutive_failures, hours_since_ok,
+       CASE WHEN consecutive_failures >= 4 OR COALESCE(hours_since_ok > 36, false) THEN 'SEV-1'
+            WHEN consecutive_failures >= 2 OR errors * 100 > reports * 25 THEN 'SEV-2'
+            WHEN failed THEN 'SEV-3' ELSE '' END AS severity
+FROM c""")
+q("run_scope_drop", "WITH " + ERUNS + """
+SELECT run_date, reports, LAG(reports) OVER (ORDER BY run_date) AS prev_reports,
+       COALESCE(reports < LAG(reports) OVER (ORDER BY run_date), false) AS scope_dropped FROM er""")
+q("bronze_snapshot_diff", """
+WITH a AS (SELECT DISTINCT workspace_id, report_id, workspace_name AS name_before FROM pv, anchor
+           WHERE view_date = anchor.as_of - 1),
+b AS (SELECT DISTINCT workspace_id, report_id, workspace_name AS name_after FROM pv, anchor
+      WHERE view_date = anchor.as_of)
+SELECT COALESCE(a.workspace_id, b.workspace_id) AS workspace_id, COALESCE(a.report_id, b.report_id) AS report_id,
+       a.name_before, b.name_after,
+       CASE WHEN b.name_after IS NULL THEN 'missing' WHEN a.name_before IS NULL THEN 'new'
+            WHEN a.name_before <> b.name_after THEN 'renamed' ELSE 'same' END AS status
+FROM a FULL JOIN b ON a.workspace_id = b.workspace_id AND a.report_id = b.report_id""")
+q("workspace_capacity", "SELECT workspace_id, workspace_name, capacity_name FROM ws")
+q("active_workspaces", "SELECT 'Workspace' AS type, 'Active' AS state, * FROM ws")
+q("standard_reports", """
+SELECT DISTINCT workspace_id, report_id, report_name, 'PowerBIReport' AS report_type FROM cat""")
+q("usage_dataset_per_workspace", """
+SELECT workspace_id, dataset_id, dataset_name FROM (
+  SELECT 'ws-' || CAST(n_regionkey AS VARCHAR) AS workspace_id, 'ds-' || CAST(n_nationkey AS VARCHAR) AS dataset_id,
+         n_name AS dataset_name, ROW_NUMBER() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS rn
+  FROM nation WHERE starts_with(n_name, 'NATION_2')) WHERE rn = 1""")
+NB = """
+SELECT w.workspace_name, CAST(COUNT(*) AS BIGINT) AS reports_skipped
+FROM ws w JOIN (SELECT DISTINCT workspace_id, report_id FROM cat) r ON r.workspace_id = w.workspace_id
+WHERE w.workspace_id NOT IN (SELECT 'ws-' || CAST(n_regionkey AS VARCHAR) FROM nation
+                             WHERE starts_with(n_name, 'NATION_5'))
+GROUP BY w.workspace_name"""
+q("not_bootstrapped_workspaces", NB)
+SUMMARY = f"""
+WITH nb AS ({NB}),
+summary AS (
+SELECT '1.2.0' AS schema_version, win.lo AS since, win.hi AS until,
+       (SELECT COUNT(*) FROM ws) AS workspaces,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT report_id FROM cat)) AS reports,
+       (SELECT COUNT(*) FROM pv90) AS page_view_rows, (SELECT COUNT(*) FROM catalog) AS page_catalog_rows,
+       (SELECT COUNT(*) FROM rv90) AS report_view_rows, (SELECT COUNT(*) FROM uv90) AS user_view_rows,
+       (SELECT COUNT(*) FROM unused) AS unused_pages,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id FROM unused)) AS reports_with_unused_pages,
+       (SELECT to_json(list(struct_pack(workspace_name := workspace_name, report_name := report_name,
+                                        page_name := page_name, page_ordinal := page_ordinal)
+                            ORDER BY workspace_name, report_name, page_ordinal, page_id, page_name))
+        FROM (SELECT * FROM unused ORDER BY workspace_name, report_name, page_ordinal, page_id, page_name LIMIT 10))
+         AS unused_pages_sample,
+       (SELECT COUNT(*) FROM pv90) AS "rows",
+       (SELECT to_json(list(DISTINCT workspace_name ORDER BY workspace_name)) FROM nb) AS workspaces_not_bootstrapped,
+       '[]' AS errors
+FROM win)
+"""
+q("run_summary", SUMMARY + "SELECT * FROM summary")
+q("run_metrics_json", SUMMARY + """
+SELECT to_json(struct_pack(metric := 'leafstat.run', schema_version := schema_version, workspaces := workspaces,
+                           reports := reports, datasets := 0, "rows" := "rows", errors := 0, ok := true)) AS line
+FROM summary""")
+q("run_metrics_gauges", SUMMARY + """
+SELECT printf('leafstat_run_%s{schema_version="%s"} %d', g, schema_version, v) AS line FROM (
+  SELECT 'workspaces' AS g, workspaces AS v, schema_version FROM summary
+  UNION ALL SELECT 'reports', reports, schema_version FROM summary
+  UNION ALL SELECT 'datasets', 0, schema_version FROM summary
+  UNION ALL SELECT 'rows', "rows", schema_version FROM summary
+  UNION ALL SELECT 'errors', 0, schema_version FROM summary
+  UNION ALL SELECT 'ok', 1, schema_version FROM summary)""")

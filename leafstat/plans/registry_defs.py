@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from leafstat.operators import silver as sv
 from leafstat.plans.catalogue import register
 from leafstat.plans.lakehouse import Lakehouse
@@ -92,3 +94,72 @@ register("report_level_kpis")(lambda lh: rp.report_level_kpis(pvw(lh), rvw(lh)))
 register("trend_page_vs_report")(lambda lh: rp.trend_page_vs_report(pvw(lh), rvw(lh)))
 register("report_matrix")(lambda lh: rp.report_matrix(pvw(lh), rvw(lh), unused(lh)))
 register("dashboard_meta")(lambda lh: rp.dashboard_meta(pvw(lh), lh.page_catalog))
+
+
+# -- trends, users, governance, ops -----------------------------------------
+import datetime as _dt  # noqa: E402
+
+from leafstat.operators import governance as gv  # noqa: E402
+from leafstat.operators import ops  # noqa: E402
+from leafstat.operators import trends as tr  # noqa: E402
+from leafstat.operators import users as us  # noqa: E402
+
+KNOWN_UPN = "Customer#000000001@example.com"   # parameter of forget_user
+OWNER_UPN = "nation_0@example.com"             # parameter of workspace_owner_rls
+
+register("rolling_7d_views")(lambda lh: tr.rolling_7d_views(lh.page_views, lh.as_of))
+register("report_half_life")(lambda lh: tr.report_half_life(lh.page_views, lh.as_of))
+register("capacity_long_tail")(lambda lh: tr.capacity_long_tail(pvw(lh, 30)))
+register("trailing_views")(lambda lh: tr.trailing_views(lh.page_views, lh.as_of))
+register("wow_change")(lambda lh: tr.wow_change(lh.page_views, lh.as_of))
+register("new_page_adoption")(
+    lambda lh: tr.new_page_adoption(lh.page_views, lh.first_date + _dt.timedelta(days=89)))
+register("idle_alert")(lambda lh: tr.idle_alert(lh.page_views, lh.page_catalog, lh.as_of))
+register("idle_reports")(lambda lh: tr.idle_reports(lh.page_views, lh.reports, lh.as_of))
+register("power_users_per_report")(lambda lh: us.power_users_per_report(uvw(lh)))
+register("power_users_count")(lambda lh: us.power_users_count(uvw(lh)))
+register("user_kpis")(lambda lh: us.user_kpis(uvw(lh)))
+register("top_users")(lambda lh: us.top_users(uvw(lh)))
+register("multi_page_user_share")(
+    lambda lh: us.multi_page_user_share(sv.window_filter(lh.events, *lh.window(90))))
+register("owner_accountability")(
+    lambda lh: us.owner_accountability(pvw(lh), lh.side("workspace_owners"), unused(lh)))
+register("resolve_known_users")(lambda lh: us.resolve_known_users(uvw(lh), lh.side("people")))
+register("persona_enrichment")(lambda lh: us.persona_enrichment(lh.events, lh.side("people")))
+register("workspace_owner_rls")(
+    lambda lh: us.workspace_owner_rls(pvw(lh), lh.side("workspace_owners"), OWNER_UPN))
+register("strip_identifying_names")(lambda lh: us.strip_identifying_names(uvw(lh)))
+register("retain_silver")(lambda lh: gv.retain_silver(lh.page_views, lh.as_of, 90))
+register("forget_user")(lambda lh: gv.forget_user(lh.user_views, KNOWN_UPN))
+register("pii_guard")(lambda lh: gv.pii_guard(lh.user_views))
+register("grain_check")(lambda lh: gv.grain_check(lh.silver()))
+register("report_views_rollup")(lambda lh: sv.report_views_rollup(lh.page_views))
+register("rollup_consistency")(
+    lambda lh: gv.rollup_consistency(sv.report_views_rollup(lh.page_views), lh.page_views))
+register("stale_catalog")(lambda lh: gv.stale_catalog(lh.page_catalog, lh.as_of))
+register("rows_drop_alert")(lambda lh: ops.rows_drop_alert(lh.side("runs_from_volume")))
+register("dau_drop_alert")(lambda lh: ops.dau_drop_alert(lh.user_views))
+register("run_severity")(lambda lh: ops.run_severity(lh.side("runs_from_events")))
+register("run_scope_drop")(lambda lh: ops.run_scope_drop(lh.side("runs_from_events")))
+register("bronze_snapshot_diff")(lambda lh: ops.bronze_snapshot_diff(
+    lh.page_views.filter(F.col("view_date") == F.lit(lh.as_of - _dt.timedelta(days=1))),
+    lh.page_views.filter(F.col("view_date") == F.lit(lh.as_of))))
+register("workspace_capacity")(lambda lh: ops.workspace_capacity(lh.workspaces))
+register("active_workspaces")(lambda lh: ops.active_workspaces(lh.workspaces))
+register("standard_reports")(lambda lh: ops.standard_reports(lh.reports))
+register("usage_dataset_per_workspace")(
+    lambda lh: ops.usage_dataset_per_workspace(lh.side("datasets"), "NATION_2"))
+register("not_bootstrapped_workspaces")(
+    lambda lh: ops.not_bootstrapped_workspaces(lh.workspaces, lh.reports, lh.side("datasets"), "NATION_5"))
+
+
+def _summary(lh: Lakehouse):
+    lo, hi = lh.window(90)
+    return ops.run_summary(lo, hi, pvw(lh), lh.page_catalog, rvw(lh), uvw(lh), unused(lh), lh.workspaces,
+                           lh.reports, ops.not_bootstrapped_workspaces(lh.workspaces, lh.reports,
+                                                                       lh.side("datasets"), "NATION_5"))
+
+
+register("run_summary")(_summary)
+register("run_metrics_json")(lambda lh: ops.run_metrics_json(_summary(lh)))
+register("run_metrics_gauges")(lambda lh: ops.run_metrics_gauges(_summary(lh)))

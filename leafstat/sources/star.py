@@ -45,6 +45,7 @@ class StarSource:
         """Workspace enumeration (F3 applied: all are active workspaces)."""
         r = self.table("region")
         return r.select(
+            F.lit("Workspace").alias("type"), F.lit("Active").alias("state"),
             F.concat(F.lit(WORKSPACE_PREFIX), F.col("r_regionkey").cast("string")).alias("workspace_id"),
             F.col("r_name").alias("workspace_name"),
             F.concat(F.lit(CAPACITY_PREFIX), (1 + F.pmod(F.col("r_regionkey"), F.lit(2))).cast("string"))
@@ -71,6 +72,20 @@ class StarSource:
             F.lit("PowerBIReport").alias("report_type"),
         )
 
+    def first_date(self) -> _dt.date:
+        li = self.table("lineitem").select(F.col("l_shipdate").cast("date").alias("d"))
+        return li.select(F.min("d")).first()[0]
+
+    def datasets(self) -> DataFrame:
+        """Dataset listing: one dataset per nation, in workspace 'ws-'||n_regionkey,
+        named after the nation, listed in n_nationkey order."""
+        n = self.table("nation")
+        return n.select(
+            F.concat(F.lit(WORKSPACE_PREFIX), F.col("n_regionkey").cast("string")).alias("workspace_id"),
+            F.concat(F.lit("ds-"), F.col("n_nationkey").cast("string")).alias("dataset_id"),
+            F.col("n_name").alias("dataset_name"),
+            F.col("n_nationkey").alias("position"))
+
     def as_of(self) -> _dt.date:
         from leafstat.functions.dates import as_of_date
         li = self.table("lineitem").select(F.col("l_shipdate").cast("date").alias("view_date"))
