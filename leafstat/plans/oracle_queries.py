@@ -419,3 +419,129 @@ SELECT printf('leafstat_run_%s{schema_version="%s"} %d', g, schema_version, v) A
   UNION ALL SELECT 'rows', "rows", schema_version FROM summary
   UNION ALL SELECT 'errors', 0, schema_version FROM summary
   UNION ALL SELECT 'ok', 1, schema_version FROM summary)""")
+
+# -- storage, payloads, gold -------------------------------------------------
+q("silver_csv_roundtrip", f"SELECT {PV_COLS} FROM pv90")
+q("silver_parquet_roundtrip", f"SELECT {PV_COLS} FROM pv90")
+q("upsert_page_views", f"""
+SELECT {PV_COLS.replace('view_count,', 'CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,')}
+FROM pv90, win""")
+q("upsert_report_views", """
+SELECT workspace_id, workspace_name, capacity_name, report_id, report_name, view_date,
+       CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,
+       unique_users, avg_session_seconds FROM rv90, win""")
+q("upsert_user_views", """
+SELECT workspace_id, workspace_name, report_id, report_name, user_id_hash, view_date,
+       CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,
+       distinct_pages_viewed FROM uv90, win""")
+q("replace_page_catalog", f"SELECT {CAT_COLS} FROM catalog")
+q("replace_unused_pages", "SELECT * FROM unused")
+q("write_bronze", f"""
+SELECT {PV_COLS}, anchor.as_of - 1 AS dt FROM pv, anchor
+WHERE view_date BETWEEN anchor.as_of - 90 AND anchor.as_of - 1
+UNION ALL
+SELECT {PV_COLS}, anchor.as_of AS dt FROM pv, anchor WHERE view_date BETWEEN anchor.as_of - 89 AND anchor.as_of""")
+q("retain_bronze", f"""
+SELECT {PV_COLS}, view_date AS dt FROM pv, anchor
+WHERE view_date = anchor.as_of - 90 OR view_date = anchor.as_of""")
+q("export_unused_by_workspace", "SELECT * FROM unused")
+q("table_row_counts", """
+SELECT 'page_views' AS table_name, (SELECT COUNT(*) FROM pv90) AS row_count
+UNION ALL SELECT 'page_catalog', (SELECT COUNT(*) FROM catalog)
+UNION ALL SELECT 'report_views', (SELECT COUNT(*) FROM rv90)
+UNION ALL SELECT 'user_views', (SELECT COUNT(*) FROM uv90)
+UNION ALL SELECT 'unused_pages', (SELECT COUNT(*) FROM unused)""")
+q("read_catalog_sidecar", """
+SELECT workspace_id, workspace_name, report_id, report_name, page_id, page_name, page_ordinal, report_total_pages
+FROM catalog""")
+q("flatten_usage_payload", """
+SELECT report_id, page_name AS page_id, page_name, view_date, view_count, unique_users, avg_dwell_seconds FROM pv90""")
+q("catalog_from_pages_payload", f"SELECT {CAT_COLS} FROM catalog")
+q("catalog_with_overlay", f"SELECT {CAT_COLS} FROM catalog")
+q("kpi_page_usage_daily", """
+SELECT workspace_id, report_id, page_id, view_date, CAST(SUM(view_count) AS BIGINT) AS views,
+       CAST(SUM(unique_users) AS BIGINT) AS user_days,
+       COALESCE(SUM(view_count * avg_dwell_seconds) / NULLIF(SUM(view_count), 0), 0.0) AS avg_dwell_weighted
+FROM pv GROUP BY workspace_id, report_id, page_id, view_date""")
+q("kpi_underused_pages", """
+SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views
+FROM pt WHERE views > 0 AND views < 100""")
+q("kpi_long_report_engagement", """
+WITH d AS (SELECT workspace_id, report_id, COUNT(*) AS pages_defined FROM catalog GROUP BY workspace_id, report_id),
+o AS (SELECT workspace_id, report_id, page_ordinal, SUM(view_count) AS views FROM pv90
+      GROUP BY workspace_id, report_id, page_ordinal),
+c AS (SELECT *, SUM(views) OVER (PARTITION BY workspace_id, report_id ORDER BY page_ordinal) AS cum,
+             SUM(views) OVER (PARTITION BY workspace_id, report_id) AS total FROM o),
+r AS (SELECT workspace_id, report_id, SUM(CASE WHEN page_ordinal = 1 THEN views END) AS first_views,
+             MAX(total) AS views,
+             MIN(CASE WHEN cum / CAST(total AS DOUBLE) >= 0.80 THEN page_ordinal END) AS ord80
+      FROM c GROUP BY workspace_id, report_id),
+v AS (SELECT workspace_id, report_id, COUNT(DISTINCT page_id) AS pages_viewed FROM pv90 GROUP BY workspace_id, report_id)
+SELECT d.workspace_id, d.report_id, d.pages_defined, CAST(COALESCE(v.pages_viewed, 0) AS BIGINT) AS pages_viewed,
+       COALESCE(v.pages_viewed, 0) / d.pages_defined::DOUBLE AS coverage,
+       CAST(COALESCE(r.views, 0) AS BIGINT) AS views,
+       r.first_views / NULLIF(r.views, 0)::DOUBLE AS first_page_share,
+       CAST(r.ord80 AS INTEGER) AS ordinal_reaching_80pct
+FROM d LEFT JOIN v ON v.workspace_id = d.workspace_id AND v.report_id = d.report_id
+LEFT JOIN r ON r.workspace_id = d.workspace_id AND r.report_id = d.report_id
+WHERE d.pages_defined >= 30""")
+q("dim_workspace", """
+SELECT workspace_id, MAX(workspace_name) AS workspace_name, MAX(capacity_name) AS capacity_name
+FROM pv GROUP BY workspace_id""")
+q("dim_report", """
+SELECT workspace_id, report_id, MAX(report_name) AS report_name, MAX(report_total_pages) AS report_total_pages
+FROM pv GROUP BY workspace_id, report_id""")
+q("dim_page", """
+SELECT workspace_id, report_id, page_id, MAX(page_name) AS page_name, MAX(page_ordinal) AS page_ordinal
+FROM pv GROUP BY workspace_id, report_id, page_id""")
+q("dim_date", """
+SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS iso_day_of_week
+FROM (SELECT UNNEST(generate_series(CAST(MIN(view_date) AS TIMESTAMP), CAST(MAX(view_date) AS TIMESTAMP),
+                                    INTERVAL 1 DAY)) AS d FROM pv)""")
+q("fact_page_views", """
+SELECT workspace_id, report_id, page_id, view_date AS date, view_count, unique_users, avg_dwell_seconds FROM pv""")
+q("is_unused_flag", f"""
+SELECT {CAT_COLS}, CASE WHEN EXISTS (SELECT 1 FROM unused u WHERE u.workspace_id = c.workspace_id
+       AND u.report_id = c.report_id AND u.page_id = c.page_id) THEN 1 ELSE 0 END AS is_unused
+FROM catalog c""")
+q("page_key", "SELECT workspace_id, report_id, page_id, workspace_id || '|' || report_id || '|' || page_id AS page_key "
+              "FROM catalog")
+q("dashboard_payload", """
+WITH meta AS (
+  SELECT (SELECT MIN(view_date) FROM pv90) AS date_from, (SELECT MAX(view_date) FROM pv90) AS date_to,
+         (SELECT COUNT(DISTINCT view_date) FROM pv90) AS days,
+         (SELECT COUNT(DISTINCT workspace_id) FROM pv90) AS total_workspaces,
+         (SELECT COUNT(*) FROM rsum) AS total_reports,
+         (SELECT CAST(SUM(total_pages) AS BIGINT) FROM rsum) AS total_pages_defined,
+         (SELECT CAST(SUM(pages_with_views) AS BIGINT) FROM rsum) AS total_pages_with_views,
+         (SELECT CAST(SUM(pages_never_viewed) AS BIGINT) FROM rsum) AS total_pages_never_viewed,
+         (SELECT CAST(SUM(view_count) AS BIGINT) FROM pv90) AS total_views, 100 AS underused_threshold,
+         (SELECT COUNT(*) FROM pt WHERE views > 0 AND views < 100) AS underused_count,
+         (SELECT COUNT(*) FROM miss) AS unused_count,
+         (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_name, report_name FROM miss)) AS unused_reports_count),
+wsum AS (SELECT workspace_id, MAX(workspace_name) AS workspace_name, COUNT(DISTINCT report_id) AS report_count,
+                COUNT(DISTINCT report_id || '|' || page_id) AS page_count,
+                CAST(SUM(view_count) AS BIGINT) AS total_views FROM pv90 GROUP BY workspace_id),
+buckets AS (
+  SELECT CAST(b.bucket_order AS INTEGER) AS bucket_order, b.bucket, CAST(COUNT(a.v) AS BIGINT) AS pages
+  FROM (VALUES (0, '0 (never)', 0, 0), (1, '1–10', 1, 10), (2, '11–50', 11, 50), (3, '51–200', 51, 200),
+               (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 1000000000))
+       b(bucket_order, bucket, lo, hi)
+  LEFT JOIN (SELECT views AS v FROM pt UNION ALL SELECT 0 FROM miss) a ON a.v BETWEEN b.lo AND b.hi
+  GROUP BY b.bucket_order, b.bucket)
+SELECT 'meta' AS section, to_json(m) AS json FROM meta m
+UNION ALL SELECT 'workspace', to_json(w) FROM wsum w
+UNION ALL SELECT 'report', to_json(r) FROM rsum r
+UNION ALL SELECT 'page', to_json(d) FROM detail d
+UNION ALL SELECT 'day', to_json(t) FROM (SELECT view_date, CAST(SUM(view_count) AS BIGINT) AS views FROM pv90
+                                        GROUP BY view_date) t
+UNION ALL SELECT 'top_page', to_json(t) FROM (
+  SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views
+  FROM pt WHERE views > 0 ORDER BY views DESC, workspace_id, report_id, page_id LIMIT 25) t
+UNION ALL SELECT 'underused_page', to_json(t) FROM (
+  SELECT workspace_id, report_id, page_id, workspace_name, report_name, page_name, views
+  FROM pt WHERE views > 0 AND views < 100 ORDER BY views, workspace_id, report_id, page_id LIMIT 200) t
+UNION ALL SELECT 'unused_page', to_json(t) FROM (
+  SELECT workspace_name, report_name, page_name, page_ordinal FROM miss) t
+UNION ALL SELECT 'bucket', to_json(b) FROM buckets b""")

@@ -163,3 +163,167 @@ def _summary(lh: Lakehouse):
 register("run_summary")(_summary)
 register("run_metrics_json")(lambda lh: ops.run_metrics_json(_summary(lh)))
 register("run_metrics_gauges")(lambda lh: ops.run_metrics_gauges(_summary(lh)))
+
+
+# -- storage, payloads, gold -------------------------------------------------
+import uuid  # noqa: E402
+
+from leafstat import schemas as sch  # noqa: E402
+from leafstat.plans import gold  # noqa: E402
+from leafstat.session import scratch_dir  # noqa: E402
+from leafstat.sources import files as io  # noqa: E402
+from leafstat.sources import payload as pl  # noqa: E402
+from leafstat.functions.scalars import page_key  # noqa: E402
+from leafstat.streaming.upsert import upsert  # noqa: E402
+
+
+def _scratch(lh: Lakehouse, tag: str) -> str:
+    return scratch_dir(lh.spark, f"q-{tag}-{uuid.uuid4().hex[:12]}")
+
+
+@register("silver_csv_roundtrip")
+def _csv_rt(lh: Lakehouse):
+    """K2 (CSV export with preamble) -> S2 (version check) -> S1/S8 (typed read)."""
+    root = _scratch(lh, "csv")
+    io.write_silver_csv(pvw(lh), f"{root}/page_views", sch.PAGE_VIEWS)
+    io.assert_schema_version(io.csv_schema_versions(lh.spark, f"{root}/page_views"))
+    return io.load_table(lh.spark, "csv", root, "page_views")
+
+
+@register("silver_parquet_roundtrip")
+def _pq_rt(lh: Lakehouse):
+    """K2 (Parquet, partitioned by day) -> S2 (sidecar version) -> S8."""
+    root = _scratch(lh, "pq")
+    path = io.write_table(pvw(lh), root, "page_views")
+    io.assert_schema_version(io.table_schema_versions(lh.spark, path))
+    return io.load_table(lh.spark, "parquet", root, "page_views")
+
+
+def _upserted(lh: Lakehouse, table: str, frame, value_col: str):
+    """K3: base = first 60 days of the window with stale (doubled) values,
+    batch = last 60 days with the true values -> updates, inserts, untouched."""
+    lo, hi = lh.window(90)
+    mid_lo, mid_hi = lo + _dt.timedelta(days=30), lo + _dt.timedelta(days=59)
+    root = _scratch(lh, "upsert")
+    df = frame(lh)
+    stale = df.filter(F.col("view_date").between(F.lit(lo), F.lit(mid_hi))).withColumn(
+        value_col, F.col(value_col) * 2)
+    io.write_table(stale, root, table)
+    upsert(df.filter(F.col("view_date").between(F.lit(mid_lo), F.lit(hi))), root, table)
+    upsert(df.filter(F.col("view_date").between(F.lit(mid_lo), F.lit(hi))), root, table)  # idempotent
+    return io.read_table(lh.spark, root, table)
+
+
+register("upsert_page_views")(lambda lh: _upserted(lh, "page_views", pvw, "view_count"))
+register("upsert_report_views")(lambda lh: _upserted(lh, "report_views", rvw, "view_count"))
+register("upsert_user_views")(lambda lh: _upserted(lh, "user_views", uvw, "view_count"))
+
+
+@register("replace_page_catalog")
+def _replace_catalog(lh: Lakehouse):
+    """K4: whole-table replace - an earlier, different snapshot leaves nothing behind."""
+    root = _scratch(lh, "k4")
+    io.write_table(unused(lh), root, "page_catalog")
+    io.write_table(lh.page_catalog, root, "page_catalog")
+    return io.read_table(lh.spark, root, "page_catalog")
+
+
+@register("replace_unused_pages")
+def _replace_unused(lh: Lakehouse):
+    root = _scratch(lh, "k4u")
+    io.write_table(lh.page_catalog, root, "unused_pages")
+    io.write_table(unused(lh), root, "unused_pages")
+    return io.read_table(lh.spark, root, "unused_pages")
+
+
+@register("write_bronze")
+def _bronze(lh: Lakehouse):
+    """K1: two daily runs (90-day windows ending as_of-1 and as_of); the second
+    run is written twice to show the day partition is replaced, not appended."""
+    root = _scratch(lh, "bronze")
+    hi = lh.as_of
+    for run in (hi - _dt.timedelta(days=1), hi, hi):
+        lo = run - _dt.timedelta(days=89)
+        io.write_bronze(sv.window_filter(lh.page_views, lo, run), root, "page_views", run)
+    return lh.spark.read.parquet(f"{root}/page_views")
+
+
+@register("retain_bronze")
+def _retain_bronze(lh: Lakehouse):
+    """G1: drop bronze day partitions older than the cut-off, read back the rest."""
+    root = _scratch(lh, "g1")
+    hi = lh.as_of
+    for run in (hi - _dt.timedelta(days=120), hi - _dt.timedelta(days=91), hi - _dt.timedelta(days=90), hi):
+        io.write_bronze(sv.window_filter(lh.page_views, run, run), root, "page_views", run)
+    gv.retain_bronze(lh.spark, f"{root}/page_views", hi, 90)
+    return lh.spark.read.parquet(f"{root}/page_views")
+
+
+@register("export_unused_by_workspace")
+def _k8(lh: Lakehouse):
+    root = _scratch(lh, "k8")
+    io.export_unused_by_workspace(unused(lh), f"{root}/unused")
+    schema = "workspace_id string, report_id string, report_name string, page_id string, page_name string, " \
+             "page_ordinal int, catalog_pulled_at timestamp_ntz, workspace_name string"
+    return lh.spark.read.schema(schema).option("header", True).option("escape", '"').csv(f"{root}/unused")
+
+
+@register("table_row_counts")
+def _k9(lh: Lakehouse):
+    root = _scratch(lh, "k9")
+    run = {"page_views": pvw(lh), "page_catalog": lh.page_catalog, "report_views": rvw(lh),
+           "user_views": uvw(lh), "unused_pages": unused(lh)}
+    io.write_silver(run, root)
+    return io.table_row_counts(lh.spark, root, (*sch.SILVER, "no_such_table"))
+
+
+@register("read_catalog_sidecar")
+def _s7(lh: Lakehouse):
+    root = _scratch(lh, "s7")
+    io.write_silver_csv(lh.catalog_full, f"{root}/reports_catalog", sch.CATALOG_SIDECAR)
+    return io.read_catalog_sidecar(lh.spark, f"{root}/reports_catalog")
+
+
+@register("flatten_usage_payload")
+def _s4(lh: Lakehouse):
+    """Page-day rows landed as API result documents, then flattened back."""
+    root = _scratch(lh, "s4")
+    pl.page_payload_docs(pvw(lh)).select("value").write.mode("overwrite").text(f"{root}/landed")
+    docs = lh.spark.read.text(f"{root}/landed")
+    return pl.flatten_page_payload(docs)
+
+
+@register("catalog_from_pages_payload")
+def _s5(lh: Lakehouse):
+    root = _scratch(lh, "s5")
+    pl.roster_docs(lh.page_catalog).write.mode("overwrite").parquet(f"{root}/roster")
+    docs = lh.spark.read.parquet(f"{root}/roster")
+    return pl.catalog_from_roster(docs, _dt.datetime.combine(lh.as_of, _dt.time()))
+
+
+@register("catalog_with_overlay")
+def _s6(lh: Lakehouse):
+    """catalog = pages seen in the window's facts ∪ overlay pages (from
+    landed overlay documents) not already seen."""
+    root = _scratch(lh, "s6")
+    pl.overlay_docs(unused(lh)).write.mode("overwrite").text(f"{root}/overlay")
+    ov = pl.parse_overlay(lh.spark.read.text(f"{root}/overlay"))
+    rdim = lh.page_catalog.select(*sch.REPORT_KEY, "workspace_name", "report_name").distinct()
+    pulled = F.lit(_dt.datetime.combine(lh.as_of, _dt.time())).cast("timestamp_ntz")
+    overlay = ov.join(rdim, "report_id").withColumn("catalog_pulled_at", pulled)
+    seen = pvw(lh).select(*sch.PAGE_KEY, "workspace_name", "report_name", "page_name", "page_ordinal",
+                          pulled.alias("catalog_pulled_at"))
+    return sv.catalog_with_overlay(seen, overlay)
+
+
+register("kpi_page_usage_daily")(lambda lh: gold.kpi_page_usage_daily(lh.page_views))
+register("kpi_underused_pages")(lambda lh: gold.kpi_underused_pages(pvw(lh)))
+register("kpi_long_report_engagement")(lambda lh: gold.kpi_long_report_engagement(pvw(lh), lh.page_catalog))
+register("dim_workspace")(lambda lh: gold.dim_workspace(lh.page_views))
+register("dim_report")(lambda lh: gold.dim_report(lh.page_views))
+register("dim_page")(lambda lh: gold.dim_page(lh.page_views))
+register("dim_date")(lambda lh: gold.dim_date(lh.page_views))
+register("fact_page_views")(lambda lh: gold.fact_page_views(lh.page_views))
+register("dashboard_payload")(lambda lh: gold.dashboard_payload(pvw(lh), lh.page_catalog))
+register("is_unused_flag")(lambda lh: sv.is_unused_flag(lh.page_catalog, unused(lh)))
+register("page_key")(lambda lh: lh.page_catalog.select(*sch.PAGE_KEY, page_key().alias("page_key")))
