@@ -35,9 +35,14 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
             v = F.col(v)
         t = t.withColumn(f"_rt_v{i}", v)
     # Explicit partition count: AQE must not coalesce these partitions,
-    # since the partition id is part of the chunk key.
+    # since the partition id is part of the chunk key.  The partition id is
+    # then frozen with a reliable checkpoint (written to the shared
+    # spark.checkpoint.dir): both branches below read the same assignment
+    # even if a branch is recomputed after an executor loss, and range
+    # bounds sampled from a shuffled input cannot differ between them.
     t = (t.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
          .withColumn("_rt_pid", F.spark_partition_id()))
+    t = t.checkpoint(eager=True)
     local_w = (Window.partitionBy("_rt_pid", *group_cols).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for i in range(len(names)):

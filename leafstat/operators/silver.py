@@ -49,33 +49,33 @@ def report_dim(workspaces: DataFrame, reports: DataFrame, catalog: DataFrame | N
     return rd
 
 
-def _top_persona(events: DataFrame, keys: list[str]) -> DataFrame:
-    """Persona with most views per key; ties -> larger persona name."""
-    per = events.groupBy(*keys, "persona").agg(F.sum("views").alias("_pv"))
-    return per.groupBy(*keys).agg(
-        F.max_by("persona", F.struct("_pv", "persona")).alias("top_persona"))
-
-
 def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
                      since=None, until=None) -> DataFrame:
     """A1: raw events -> page-day facts (sum views, distinct users, mean dwell, top persona).
 
-    Aggregates on ids first, then attaches names from the (deduplicated)
-    catalog and the report dimension - names never ride through the
-    big shuffle.  J9: ordinal and report_total_pages come from the catalog
-    (0 when the page is not in it).
+    One pass over the events: first per (page-day, persona) - views, distinct
+    users, dwell sum and event count - then per page-day.  The persona is an
+    attribute of the user (J14: from the people lookup), so the per-persona
+    distinct users partition the page-day's users and their sum is exact.
+    top_persona = the persona with most views, ties -> larger name.
+    Names are attached after aggregation from the (deduplicated) catalog and
+    the report dimension; J9: ordinal and report_total_pages come from the
+    catalog (0 when the page is not in it).
     """
     keys = [*sch.PAGE_KEY, "view_date"]
     ev = window_filter(events, since, until)
-    base = ev.groupBy(*keys).agg(
-        F.sum("views").alias("view_count"),
-        F.count_distinct(norm_user("user_upn")).alias("unique_users"),
-        F.avg("dwell_seconds").alias("avg_dwell_seconds"),
-    )
-    top = _top_persona(ev, keys)
+    per = ev.groupBy(*keys, F.coalesce("persona", F.lit("")).alias("persona")).agg(
+        F.sum("views").alias("_v"),
+        F.count_distinct(norm_user("user_upn")).alias("_u"),
+        F.sum("dwell_seconds").alias("_d"),
+        F.count("dwell_seconds").alias("_n"))
+    base = per.groupBy(*keys).agg(
+        F.sum("_v").alias("view_count"),
+        F.sum("_u").alias("unique_users"),
+        safe_div(F.sum("_d"), F.sum("_n")).alias("avg_dwell_seconds"),
+        F.max_by("persona", F.struct("_v", "persona")).alias("top_persona"))
     cat = catalog.select(*sch.PAGE_KEY, "page_name", "page_ordinal")
-    out = (base.join(top, keys, "left")
-           .join(cat, sch.PAGE_KEY, "left")
+    out = (base.join(cat, sch.PAGE_KEY, "left")
            .join(rdim, sch.REPORT_KEY, "left"))
     out = out.select(
         "workspace_id", F.coalesce("workspace_name", F.lit("")).alias("workspace_name"),
@@ -180,11 +180,11 @@ def enrich_blank_identity(rows: DataFrame, workspaces: DataFrame, reports: DataF
            .join(workspaces.select(F.col("workspace_id").alias("_ws_id"),
                                    F.col("workspace_name").alias("_ws_name"),
                                    F.col("capacity_name").alias("_cap")), "_ws_id", "left"))
-    j = rows.join(ctx, "report_id", "left")
-    complete = ~blank("workspace_id") & ~blank("workspace_name") & ~blank("report_name")
+    j = rows.join(ctx, "report_id", "left").withColumn(
+        "_complete", ~blank("workspace_id") & ~blank("workspace_name") & ~blank("report_name"))
 
     def fill(c, ctx_col):
-        return F.when(complete, F.col(c)).otherwise(
+        return F.when(F.col("_complete"), F.col(c)).otherwise(
             F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(ctx_col), F.lit("")))
 
     out = j
