@@ -27,12 +27,25 @@ def _load() -> None:
     from leafstat.plans import registry_defs  # noqa: F401
 
 
+_LAKEHOUSES: dict[tuple[str, str], Lakehouse] = {}
+
+
+def lakehouse_for(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """One Lakehouse per (application, input folder): the anchor date and the
+    checkpointed page catalog are computed once and shared by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    lh = _LAKEHOUSES.get(key)
+    if lh is None:
+        lh = _LAKEHOUSES[key] = Lakehouse.from_star(spark, sf_dir)
+    return lh
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
 
     def adapt(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Lakehouse.from_star(spark, sf_dir))
+            return fn(lakehouse_for(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run

@@ -545,3 +545,10 @@ UNION ALL SELECT 'underused_page', to_json(t) FROM (
 UNION ALL SELECT 'unused_page', to_json(t) FROM (
   SELECT workspace_name, report_name, page_name, page_ordinal FROM miss) t
 UNION ALL SELECT 'bucket', to_json(b) FROM buckets b""")
+
+# -- filters and unions ------------------------------------------------------
+q("report_filter", f"SELECT {PV_COLS} FROM pv90 WHERE report_id = 'Brand#1'")
+q("enrich_blank_identity", f"SELECT {PV_COLS} FROM pv90")
+q("catalog_union", f"""
+SELECT {CAT_COLS}, 'page_catalog' AS source FROM catalog
+UNION ALL SELECT {CAT_COLS}, 'unused_pages' AS source FROM unused""")

@@ -327,3 +327,31 @@ register("fact_page_views")(lambda lh: gold.fact_page_views(lh.page_views))
 register("dashboard_payload")(lambda lh: gold.dashboard_payload(pvw(lh), lh.page_catalog))
 register("is_unused_flag")(lambda lh: sv.is_unused_flag(lh.page_catalog, unused(lh)))
 register("page_key")(lambda lh: lh.page_catalog.select(*sch.PAGE_KEY, page_key().alias("page_key")))
+
+
+# -- filters and unions ------------------------------------------------------
+REPORT_ID = "Brand#1"  # parameter of report_filter
+
+
+@register("report_filter")
+def _f6(lh: Lakehouse):
+    """one report's page-day rows (pushed to the scan as a literal filter)."""
+    return pvw(lh).filter(F.col("report_id") == F.lit(REPORT_ID))
+
+
+@register("enrich_blank_identity")
+def _f8(lh: Lakehouse):
+    """F8 + J8: page-day rows as the live API returns them (bare ids, blank
+    names and capacity) enriched from the workspace/report enumeration."""
+    bare = pvw(lh).select(*[F.lit("").alias(c) if c in ("workspace_name", "capacity_name", "report_name")
+                            else F.col(c) for c in sch.PAGE_VIEWS.fieldNames()])
+    return sv.enrich_blank_identity(bare, lh.workspaces, lh.reports.withColumn(
+        "report_name", F.concat(F.lit("Report "), F.col("report_id"))))
+
+
+@register("catalog_union")
+def _u2(lh: Lakehouse):
+    """Catalog and unused pages in one table with a source flag."""
+    cols = sch.PAGE_CATALOG.fieldNames()
+    return (lh.page_catalog.select(*cols, F.lit("page_catalog").alias("source"))
+            .unionByName(unused(lh).select(*cols, F.lit("unused_pages").alias("source"))))

@@ -55,17 +55,34 @@ def upsert(batch: DataFrame, root: str, table: str, check_duplicates: bool = Tru
     return len(days)
 
 
-def foreach_batch_upsert(root: str, table: str):
-    """A ``foreachBatch`` sink: ``stream.writeStream.foreachBatch(foreach_batch_upsert(root, t))``."""
+def latest_per_key(batch: DataFrame, table: str, order_cols: list[str]) -> DataFrame:
+    """Keep one row per key: the one with the greatest ``order_cols`` (e.g. the
+    most recently landed file when one micro-batch holds several runs)."""
+    cols = sch.SILVER[table].fieldNames()
+    keys = sch.KEYS[table]
+    rest = [c for c in cols if c not in keys]
+    pick = F.max_by(F.struct(*rest), F.struct(*order_cols)).alias("_r")
+    return batch.groupBy(*keys).agg(pick).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def foreach_batch_upsert(root: str, table: str, order_cols: list[str] | None = None):
+    """A ``foreachBatch`` sink: ``stream.writeStream.foreachBatch(foreach_batch_upsert(root, t))``.
+    With ``order_cols`` a batch holding several versions of a key keeps the
+    latest; without, duplicate keys in a batch are an error."""
     def sink(batch_df: DataFrame, epoch_id: int) -> None:
-        upsert(batch_df, root, table)
+        b = latest_per_key(batch_df, table, order_cols) if order_cols else batch_df
+        upsert(b, root, table)
     return sink
 
 
 def stream_landed_silver(spark, landing: str, root: str, table: str, checkpoint: str, available_now=True):
-    """Stream landed silver files (one folder per run) into the table with upserts."""
-    reader = spark.readStream.schema(sch.SILVER[table]).parquet(landing)
-    w = (reader.writeStream.foreachBatch(foreach_batch_upsert(root, table))
+    """Stream landed silver files (one folder per run) into the table with upserts;
+    when a micro-batch picks up several runs, the most recently landed file wins."""
+    reader = (spark.readStream.schema(sch.SILVER[table]).parquet(landing)
+              .select("*", F.col("_metadata.file_modification_time").alias("_landed_at"),
+                      F.col("_metadata.file_path").alias("_landed_file")))
+    sink = foreach_batch_upsert(root, table, ["_landed_at", "_landed_file"])
+    w = (reader.writeStream.foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w
     return w.start()
