@@ -48,10 +48,13 @@ def main() -> None:
 
     t0 = time.time()
     base = Lakehouse.from_star(spark, sf_dir)
+    base.land_events()
     silver = {}
-    for name, df in base.silver().items():
-        silver[name] = df.persist(StorageLevel.MEMORY_AND_DISK)
+    for name in ("page_catalog", "page_views", "report_views", "user_views", "unused_pages"):
+        silver[name] = getattr(base, name).persist(StorageLevel.MEMORY_AND_DISK)
+        base._tables[name] = silver[name]   # later tables build on the persisted ones
         silver[name].count()
+    base.events.unpersist()
     build = time.time() - t0
 
     lh = Lakehouse(spark, source=base.source, tables=silver, as_of=base.as_of)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes Unicode white space plus the ASCII separators
-# 0x1C-0x1F; Java's (?U)\s covers the former, the class adds the latter.
-_EDGE_WS = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"
+# The characters Python's str.strip() removes (str.isspace), derived from
+# Python's own definition; Spark's trim(str, chars) strips this set from both
+# ends without a regex.
+_PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 
 
 def _c(x) -> Column:
@@ -27,7 +28,7 @@ def norm_user(upn) -> Column:
     """
     u = _c(upn)
     return F.when(blank(u), F.lit(None).cast("string")).otherwise(
-        F.lower(F.regexp_replace(u, _EDGE_WS, "")))
+        F.lower(F.trim(u, F.lit(_PY_WHITESPACE))))
 
 
 def hash_user_key(key) -> Column:

@@ -55,6 +55,16 @@ class Lakehouse:
     def events(self) -> DataFrame:
         return self.source.raw_page_events()
 
+    def land_events(self, storage_level=None) -> DataFrame:
+        """Materialise the raw events once (the landing step) so the three
+        fact builders read them instead of re-running the source joins.
+        Persisted blocks lost with an executor are recomputed from lineage."""
+        from pyspark import StorageLevel
+        ev = self.events.persist(storage_level or StorageLevel.MEMORY_AND_DISK)
+        self.__dict__["events"] = ev
+        self.__dict__.pop("visits", None)
+        return ev
+
     @cached_property
     def visits(self) -> DataFrame:
         return self.source.report_visits(self.events)

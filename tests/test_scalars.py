@@ -15,6 +15,7 @@ def py_hash(upn):
 
 def test_hash_matches_python_rule(spark):
     cases = ["Ann@Example.com", "  ann@example.com ", "\tann@example.com\n", "", None, "   ",
+             "\u3000ann@example.com\xa0", "\x1cann@example.com\u2029",
              "BOB@x.org", "bob@x.org"]
     df = spark.createDataFrame([(c,) for c in cases], "u string")
     got = [r[0] for r in df.select(hash_user("u")).collect()]
@@ -23,6 +24,7 @@ def test_hash_matches_python_rule(spark):
     assert got[0] == got[1] == got[2]
     assert got[3] == "" and got[4] == ""
     assert got[5] == hashlib.sha256(b"").hexdigest()[:16]
+    assert got[6] == got[7] == got[0]
 
 
 def test_hash_shape(spark):
