@@ -21,6 +21,13 @@ def _one_row(spark: SparkSession, **cols) -> DataFrame:
     return spark.range(1).select(*[c.alias(n) for n, c in cols.items()])
 
 
+def _scalars(agg: DataFrame) -> dict:
+    """One scalar subquery for a 1-row aggregate; its columns as fields.
+    Several fields of one aggregate then cost one job, not one each."""
+    s = agg.select(F.struct(*agg.columns).alias("s")).scalar()
+    return {c: s.getField(c) for c in agg.columns}
+
+
 def missing_page_ordinals(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     """Ordinals 1..report_total_pages of each viewed report with no viewed page;
     name from the catalog else '(page N)', id 'report::pNNN' (zero based)."""
@@ -155,18 +162,22 @@ def headline_kpis(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     """Total views, distinct pages viewed/defined (composite keys),
     distinct reports/workspaces, unweighted mean dwell."""
     spark = pv.sparkSession
-    facts = pv.agg(
+    facts = _scalars(pv.agg(
         F.sum("view_count").alias("total_views"),
-        F.avg("avg_dwell_seconds").alias("avg_dwell_unweighted"))
-    pages = pv.select(*sch.PAGE_KEY).distinct()
+        F.avg("avg_dwell_seconds").alias("avg_dwell_unweighted")))
+    # distinct pages first; reports and workspaces are counted on that small set
+    pages = _scalars(pv.select(*sch.PAGE_KEY).distinct().agg(
+        F.count(F.lit(1)).alias("pages_viewed"),
+        F.count_distinct(*sch.REPORT_KEY).alias("reports"),
+        F.count_distinct("workspace_id").alias("workspaces")))
     return _one_row(
         spark,
-        total_views=facts.select("total_views").scalar(),
-        pages_viewed=pages.select(F.count(F.lit(1))).scalar(),
+        total_views=facts["total_views"],
+        pages_viewed=pages["pages_viewed"],
         pages_defined=catalog.select(*sch.PAGE_KEY).distinct().select(F.count(F.lit(1))).scalar(),
-        reports=pages.select(*sch.REPORT_KEY).distinct().select(F.count(F.lit(1))).scalar(),
-        workspaces=pages.select("workspace_id").distinct().select(F.count(F.lit(1))).scalar(),
-        avg_dwell_unweighted=facts.select("avg_dwell_unweighted").scalar(),
+        reports=pages["reports"],
+        workspaces=pages["workspaces"],
+        avg_dwell_unweighted=facts["avg_dwell_unweighted"],
     )
 
 

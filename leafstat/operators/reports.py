@@ -85,26 +85,32 @@ def report_matrix(pv: DataFrame, rv: DataFrame, unused: DataFrame) -> DataFrame:
 
 def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int = 100) -> DataFrame:
     """One row - date range, days, totals, under-used and unused counts
-    (the dashboard's zero-view rule, J2)."""
+    (the dashboard's zero-view rule, J2).  Four aggregates, one scalar
+    subquery each."""
     spark = pv.sparkSession
-    rs = pg.report_summary(pv)
-    t = page_totals(pv)
-    miss = pg.missing_page_ordinals(pv, catalog)
+    facts = pg._scalars(pv.agg(
+        F.min("view_date").alias("date_from"), F.max("view_date").alias("date_to"),
+        F.count_distinct("view_date").alias("days"), F.count_distinct("workspace_id").alias("total_workspaces"),
+        F.sum("view_count").alias("total_views")))
+    rs = pg._scalars(pg.report_summary(pv).agg(
+        F.count(F.lit(1)).alias("total_reports"),
+        F.sum("total_pages").cast("bigint").alias("total_pages_defined"),
+        F.sum("pages_with_views").alias("total_pages_with_views"),
+        F.sum("pages_never_viewed").alias("total_pages_never_viewed")))
+    under = page_totals(pv).select(
+        F.count(F.when((F.col("views") > 0) & (F.col("views") < underused_threshold), 1))).scalar()
+    miss = pg._scalars(pg.missing_page_ordinals(pv, catalog).agg(
+        F.count(F.lit(1)).alias("unused_count"),
+        F.count_distinct("workspace_name", "report_name").alias("unused_reports_count")))
     return pg._one_row(
         spark,
-        date_from=pv.select(F.min("view_date")).scalar(),
-        date_to=pv.select(F.max("view_date")).scalar(),
-        days=pv.select(F.count_distinct("view_date")).scalar(),
-        total_workspaces=pv.select(F.count_distinct("workspace_id")).scalar(),
-        total_reports=rs.select(F.count(F.lit(1))).scalar(),
-        total_pages_defined=rs.select(F.sum("total_pages").cast("bigint")).scalar(),
-        total_pages_with_views=rs.select(F.sum("pages_with_views")).scalar(),
-        total_pages_never_viewed=rs.select(F.sum("pages_never_viewed")).scalar(),
-        total_views=pv.select(F.sum("view_count")).scalar(),
+        date_from=facts["date_from"], date_to=facts["date_to"], days=facts["days"],
+        total_workspaces=facts["total_workspaces"],
+        total_reports=rs["total_reports"], total_pages_defined=rs["total_pages_defined"],
+        total_pages_with_views=rs["total_pages_with_views"],
+        total_pages_never_viewed=rs["total_pages_never_viewed"],
+        total_views=facts["total_views"],
         underused_threshold=F.lit(underused_threshold),
-        underused_count=t.select(F.count(F.when((F.col("views") > 0) & (F.col("views") < underused_threshold), 1)))
-        .scalar(),
-        unused_count=miss.select(F.count(F.lit(1))).scalar(),
-        unused_reports_count=miss.select("workspace_name", "report_name").distinct()
-        .select(F.count(F.lit(1))).scalar(),
+        underused_count=under,
+        unused_count=miss["unused_count"], unused_reports_count=miss["unused_reports_count"],
     )

@@ -132,9 +132,10 @@ def parse_overlay(docs: DataFrame, col: str = "value") -> DataFrame:
 
 
 # -- serialisers used to land fixtures from the silver tables ---------------
-def page_payload_docs(pv: DataFrame) -> DataFrame:
+def page_payload_docs(pv: DataFrame, page_block: int = 1000) -> DataFrame:
     """Page-day rows re-serialised into the API result shape: one document per
-    (report, day), the API's own unit of response."""
+    (report, day, block of ``page_block`` ordinals) - the API answers per
+    report and window and caps a response, so a document stays bounded."""
     row = F.create_map(
         F.lit(PAGE_KEYS["report_id"][0]), F.col("report_id"),
         F.lit(PAGE_KEYS["page_name"][0]), F.col("page_name"),
@@ -142,7 +143,8 @@ def page_payload_docs(pv: DataFrame) -> DataFrame:
         F.lit("[Views]"), F.col("view_count").cast("string"),
         F.lit("[UniqueUsers]"), F.col("unique_users").cast("string"),
         F.lit("[AvgDwellSeconds]"), F.col("avg_dwell_seconds").cast("string"))
-    g = pv.groupBy("report_id", "view_date").agg(F.collect_list(row).alias("rows"))
+    blk = F.floor(F.col("page_ordinal") / page_block).alias("_b")
+    g = pv.groupBy("report_id", "view_date", blk).agg(F.collect_list(row).alias("rows"))
     doc = F.struct(F.array(F.struct(F.array(F.struct(F.col("rows").alias("rows"))).alias("tables")))
                    .alias("results"))
     return g.select("report_id", "view_date", F.to_json(doc).alias("value"))
@@ -160,10 +162,13 @@ def roster_docs(catalog: DataFrame, page_block: int = 1000) -> DataFrame:
                     F.to_json(F.struct("value")).alias("value"))
 
 
-def overlay_docs(pages: DataFrame, comment: str = "pages that exist but were never viewed") -> DataFrame:
-    """One overlay document per report (with a ``_comment`` key)."""
+def overlay_docs(pages: DataFrame, comment: str = "pages that exist but were never viewed",
+                 page_block: int = 1000) -> DataFrame:
+    """Overlay documents (with a ``_comment`` key), one per report and block of
+    ``page_block`` ordinals, so no document grows with a report's size."""
     item = F.struct("page_id", "page_name", "page_ordinal")
-    g = pages.groupBy("report_id").agg(F.collect_list(item).alias("items"))
+    blk = F.floor(F.col("page_ordinal") / page_block).alias("_b")
+    g = pages.groupBy("report_id", blk).agg(F.collect_list(item).alias("items"))
     # '["c"]' minus the brackets -> '"c"', then the map's members
     head = F.concat(F.lit('{"_comment":'), F.regexp_extract(F.to_json(F.array(F.lit(comment))), r"^\[(.*)\]$", 1))
     return g.select(F.concat(head, F.lit(","), F.expr("substring(to_json(map(report_id, items)), 2)"))

@@ -136,3 +136,19 @@ def test_roster_and_overlay(spark):
                                 ("{broken",)], "value string")
     assert [tuple(r) for r in pl.parse_overlay(ov).collect()] == [("r1", "a", "A", 3)]
     assert F is not None
+
+
+def test_window_filters_prune_stored_partitions(spark, tmpdir_path):
+    from leafstat.plans.catalogue import lakehouse_queries
+    from leafstat.plans.lakehouse import Lakehouse
+    rows = [("w", "W", "C", "r1", "R", 1, "p", "P", 1, D(2024, 1, 1) + dt.timedelta(days=i), 1, 1, 1.0, "")
+            for i in range(200)]
+    io.write_table(spark.createDataFrame(rows, sch.PAGE_VIEWS), tmpdir_path, "page_views")
+    lh = Lakehouse.from_path(spark, tmpdir_path)
+    assert lh.as_of == D(2024, 1, 1) + dt.timedelta(days=199)
+    df = lakehouse_queries()["report_filter"](lh)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(view_date" in scan and ">= 2024-04-20" in scan
+    assert "EqualTo(report_id,Brand#1)" in scan
+    assert df.count() == 0 and lakehouse_queries()["daily_trend"](lh).count() == 90
