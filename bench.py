@@ -29,7 +29,7 @@ from leafstat.plans.lakehouse import Lakehouse  # noqa: E402
 from leafstat.session import get_spark  # noqa: E402
 
 STORAGE = {"silver_csv_roundtrip", "silver_parquet_roundtrip", "upsert_page_views", "upsert_report_views",
-           "upsert_user_views", "replace_page_catalog", "replace_unused_pages", "write_bronze", "retain_bronze",
+           "upsert_user_views", "forget_user_stored", "replace_page_catalog", "replace_unused_pages", "write_bronze", "retain_bronze",
            "export_unused_by_workspace", "table_row_counts", "read_catalog_sidecar", "flatten_usage_payload",
            "catalog_from_pages_payload", "catalog_with_overlay"}
 

@@ -24,6 +24,41 @@ def forget_user(user_views: DataFrame, upn: str) -> DataFrame:
     return user_views.filter(F.col("user_id_hash") != F.lit(h))
 
 
+def forget_user_in_table(spark: SparkSession, root: str, upn: str, table: str = "user_views") -> int:
+    """G3 on storage: rewrite only the day partitions that hold the person's
+    hash, without their rows (dynamic partition overwrite); returns the number
+    of rewritten days.  Gold tables are rebuilt from silver afterwards."""
+    from leafstat.sources.files import path_exists, read_table, write_schema_version
+    path = f"{root.rstrip('/')}/{table}"
+    if not path_exists(spark, path):
+        return 0
+    part = sch.PARTITION_COL[table]
+    h = spark.range(1).select(hash_user(F.lit(upn)).alias("h")).first()["h"]
+    if not h:
+        return 0
+    t = read_table(spark, root, table)
+    # One value per day, bounded by the calendar.
+    days = [r[0] for r in t.filter(F.col("user_id_hash") == F.lit(h)).select(part).distinct().collect()]
+    if not days:
+        return 0
+    kept = t.filter(F.col(part).isin(days) & (F.col("user_id_hash") != F.lit(h)))
+    # Cut the lineage before overwriting the partitions it was read from.
+    kept = kept.checkpoint(eager=True)
+    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part).parquet(path))
+    # A day that held only this person's rows gets no output above, so dynamic
+    # overwrite would leave it in place: drop its folder instead.
+    left = {r[0] for r in kept.select(part).distinct().collect()}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for d in days:
+        if d not in left:
+            hp = jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={d.isoformat()}")
+            hp.getFileSystem(conf).delete(hp, True)
+    write_schema_version(spark, path)
+    return len(days)
+
+
 def pii_guard(user_views: DataFrame) -> DataFrame:
     """Hashes that are not 16 lowercase hex chars (blank allowed), or contain '@'."""
     bad = ~F.col("user_id_hash").rlike(HASH_PATTERN) | F.col("user_id_hash").contains("@")

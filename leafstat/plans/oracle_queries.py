@@ -294,6 +294,8 @@ q("strip_identifying_names",
 q("retain_silver", f"SELECT {PV_COLS} FROM pv, anchor WHERE view_date >= anchor.as_of - 90")
 q("forget_user", """
 SELECT * FROM uv WHERE user_id_hash <> substr(sha256(lower('Customer#000000001@example.com')), 1, 16)""")
+q("forget_user_stored", """
+SELECT * FROM uv WHERE user_id_hash <> substr(sha256(lower('Customer#000000001@example.com')), 1, 16)""")
 q("pii_guard", """
 SELECT COUNT(*) FILTER (WHERE NOT regexp_full_match(user_id_hash, '([0-9a-f]{16})?')
                          OR contains(user_id_hash, '@')) AS violations,

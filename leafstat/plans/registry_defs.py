@@ -219,6 +219,16 @@ register("upsert_report_views")(lambda lh: _upserted(lh, "report_views", rvw, "v
 register("upsert_user_views")(lambda lh: _upserted(lh, "user_views", uvw, "view_count"))
 
 
+@register("forget_user_stored")
+def _forget_stored(lh: Lakehouse):
+    """G3 on storage: the stored user-day table after erasing one person
+    (only the days holding their hash are rewritten)."""
+    root = _scratch(lh, "g3")
+    io.write_table(lh.user_views, root, "user_views")
+    gv.forget_user_in_table(lh.spark, root, KNOWN_UPN)
+    return io.read_table(lh.spark, root, "user_views")
+
+
 @register("replace_page_catalog")
 def _replace_catalog(lh: Lakehouse):
     """K4: whole-table replace - an earlier, different snapshot leaves nothing behind."""
