@@ -29,8 +29,11 @@ class Lakehouse:
 
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str, as_of=None) -> "Lakehouse":
+        from leafstat.session import size_shuffles
         from leafstat.sources.star import StarSource
-        return cls(spark, source=StarSource(spark, sf_dir), as_of=as_of)
+        src = StarSource(spark, sf_dir)
+        size_shuffles(spark, src.fact_bytes())
+        return cls(spark, source=src, as_of=as_of)
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str, source=None) -> "Lakehouse":

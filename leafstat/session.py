@@ -65,6 +65,45 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or d
 
 
+def path_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of files under ``paths`` from file-system metadata (no scan)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return total
+
+
+# Bytes of compressed fact input per initial reducer; AQE then merges
+# reducers below spark.sql.adaptive.advisoryPartitionSizeInBytes.
+BYTES_PER_REDUCER = 128 << 20
+MAX_REDUCERS = 100_000
+
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, per_reducer: int = BYTES_PER_REDUCER) -> int:
+    """Size the initial shuffle partition count from the fact input.
+
+    ``spark.sql.shuffle.partitions`` is a fixed number; on 100 TB of input
+    each reducer would get far too much data to sort or hash in memory.  AQE
+    starts from ``initialPartitionNum`` and coalesces what turns out small, so
+    it is raised (never lowered) to one reducer per ``per_reducer`` input
+    bytes.  A value the launcher set explicitly is kept.
+    """
+    if spark.sparkContext.getConf().contains(_INITIAL):
+        return int(spark.sparkContext.getConf().get(_INITIAL))
+    base = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    n = min(max(base, -(-input_bytes // per_reducer)), MAX_REDUCERS)
+    if n > base:
+        spark.conf.set(_INITIAL, str(n))
+    return n
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark)

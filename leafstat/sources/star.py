@@ -48,6 +48,11 @@ class StarSource:
             df = df.repartition(want)
         return df
 
+    def fact_bytes(self) -> int:
+        """Size of the fact inputs (lineitem, orders) from file metadata."""
+        from leafstat.session import path_bytes
+        return path_bytes(self.spark, *[f"{self.sf_dir}/{t}.parquet" for t in ("lineitem", "orders")])
+
     # -- dimensions ------------------------------------------------------
     @staticmethod
     def _ws_no(brand_col):

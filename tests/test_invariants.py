@@ -89,3 +89,15 @@ def test_forget_user_in_table_rewrites_only_touched_days(spark, tmpdir_path):
     assert not os.path.exists(os.path.join(tmpdir_path, "user_views", "view_date=2024-01-01"))
     assert sorted(os.listdir(day3)) == before                     # untouched day not rewritten
     assert gv.forget_user_in_table(spark, tmpdir_path, ann) == 0  # idempotent
+
+
+def test_shuffle_sizing_only_raises(spark):
+    from leafstat.session import size_shuffles
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert size_shuffles(spark, 10 << 20) == base and spark.conf.get(key, None) is None
+        assert size_shuffles(spark, 1 << 40) == 8192 and spark.conf.get(key) == "8192"
+        assert size_shuffles(spark, 100 << 40) == 100_000
+    finally:
+        spark.conf.unset(key)
