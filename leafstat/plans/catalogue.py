@@ -23,8 +23,22 @@ def register(name: str):
     return deco
 
 
+# SURVEY §2 rows whose work is one of the registered queries above, under
+# the row's own name (the same function, so a user can call either name).
+SURVEY_ALIASES = {
+    "half_life": "report_half_life",              # J5: rolling x peak theta join (W2)
+    "adoption": "new_page_adoption",              # J6: facts x first_seen x report average (W9)
+    "enumeration_join": "enrich_blank_identity",  # J8: blank identity from the enumeration (F8)
+    "enrich_from_catalog": "page_views_daily",    # J9: ordinal / total pages from the catalog (A1)
+    "owner_underused_counts": "owner_accountability",  # A25: per-owner counts (J7)
+    "run_metrics": "run_metrics_json",            # K6: run metrics document
+}
+
+
 def _load() -> None:
     from leafstat.plans import registry_defs  # noqa: F401
+    for alias, name in SURVEY_ALIASES.items():
+        REGISTRY.setdefault(alias, REGISTRY[name])
 
 
 _LAKEHOUSES: dict[tuple[str, str], Lakehouse] = {}

@@ -150,4 +150,8 @@ def q(name: str, body: str) -> None:
 def all_sql() -> dict[str, str]:
     # Import the modules that register their oracles.
     from leafstat.plans import oracle_queries  # noqa: F401
-    return dict(_Q)
+    from leafstat.plans.catalogue import SURVEY_ALIASES
+    out = dict(_Q)
+    for alias, name in SURVEY_ALIASES.items():
+        out.setdefault(alias, out[name])
+    return out
