@@ -36,3 +36,15 @@ def window_bounds(as_of: _dt.date, days: int = DEFAULT_DAYS) -> tuple[_dt.date,
 def in_window(col: str, as_of: _dt.date, days: int = DEFAULT_DAYS) -> Column:
     lo, hi = window_bounds(as_of, days)
     return F.col(col).between(F.lit(lo), F.lit(hi))
+
+
+def as_of_frame(df: DataFrame, col: str = "view_date") -> DataFrame:
+    """F2 as a one-row frame: ``as_of`` = max(col), today (UTC) when there is no row."""
+    return df.agg(F.coalesce(F.max(col), F.current_date()).alias("as_of"))
+
+
+def date_window_frame(df: DataFrame, days: int = DEFAULT_DAYS, col: str = "view_date") -> DataFrame:
+    """F1 on F2 as a one-row frame: the closed window [as_of-(days-1), as_of]."""
+    return as_of_frame(df, col).select(
+        F.date_sub("as_of", days - 1).alias("window_start"), F.col("as_of").alias("window_end"),
+        F.lit(days).alias("window_days"))

@@ -554,3 +554,6 @@ q("enrich_blank_identity", f"SELECT {PV_COLS} FROM pv90")
 q("catalog_union", f"""
 SELECT {CAT_COLS}, 'page_catalog' AS source FROM catalog
 UNION ALL SELECT {CAT_COLS}, 'unused_pages' AS source FROM unused""")
+q("as_of_max_date", "SELECT MAX(view_date) AS as_of FROM pv")
+q("date_window", """
+SELECT MAX(view_date) - 89 AS window_start, MAX(view_date) AS window_end, 90 AS window_days FROM pv""")

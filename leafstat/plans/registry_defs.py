@@ -339,6 +339,13 @@ register("is_unused_flag")(lambda lh: sv.is_unused_flag(lh.page_catalog, unused(
 register("page_key")(lambda lh: lh.page_catalog.select(*sch.PAGE_KEY, page_key().alias("page_key")))
 
 
+# -- anchor and window ------------------------------------------------------
+from leafstat.functions import dates as dts  # noqa: E402
+
+register("as_of_max_date")(lambda lh: dts.as_of_frame(lh.page_views))
+register("date_window")(lambda lh: dts.date_window_frame(lh.page_views, 90))
+
+
 # -- filters and unions ------------------------------------------------------
 REPORT_ID = "Brand#1"  # parameter of report_filter
 
