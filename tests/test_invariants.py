@@ -101,3 +101,15 @@ def test_shuffle_sizing_only_raises(spark):
         assert size_shuffles(spark, 100 << 40) == 100_000
     finally:
         spark.conf.unset(key)
+
+
+def test_raw_fact_scans_read_only_needed_columns(spark):
+    lh = Lakehouse.from_star(spark, SF001)
+    plan = lh.page_views._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.split("\n") if "FileScan parquet" in ln]
+    li = [s for s in scans if "lineitem.parquet" in s]
+    assert li, plan
+    for s in li:
+        schema = s[s.index("ReadSchema: struct<") + len("ReadSchema: struct<"):].split(">")[0]
+        cols = {c.split(":")[0] for c in schema.split(",")}
+        assert cols <= {"l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"}, cols
