@@ -42,6 +42,8 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
     # bounds sampled from a shuffled input cannot differ between them.
     t = (t.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
          .withColumn("_rt_pid", F.spark_partition_id()))
+    from leafstat.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     t = t.checkpoint(eager=True)
     local_w = (Window.partitionBy("_rt_pid", *group_cols).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

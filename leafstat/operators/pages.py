@@ -47,15 +47,18 @@ def missing_page_ordinals(pv: DataFrame, catalog: DataFrame) -> DataFrame:
         "page_ordinal")
 
 
-def page_detail(pv: DataFrame, catalog: DataFrame) -> DataFrame:
+def page_detail(pv: DataFrame, catalog: DataFrame, totals: DataFrame | None = None,
+                missing: DataFrame | None = None) -> DataFrame:
     """Per page views, peak users, weighted dwell (1 dp), first/last seen;
-    zero-view pages (J2) included with 0 and NULL dates."""
-    t = page_totals(pv)
+    zero-view pages (J2) included with 0 and NULL dates.  ``totals`` /
+    ``missing``: page_totals(pv) / missing_page_ordinals(pv, catalog) when the
+    caller already has them."""
+    t = totals if totals is not None else page_totals(pv)
     viewed = t.select(
         "workspace_id", "report_id", "page_id", "page_name", "page_ordinal", "views", "users_peak",
         F.round(F.coalesce(safe_div("dwell_weighted_sum", "views"), F.lit(0.0)), 1).alias("avg_dwell_seconds"),
         "first_seen", "last_seen")
-    zero = missing_page_ordinals(pv, catalog).select(
+    zero = (missing if missing is not None else missing_page_ordinals(pv, catalog)).select(
         "workspace_id", "report_id", "page_id", "page_name", "page_ordinal",
         F.lit(0).cast("bigint").alias("views"), F.lit(0).cast("bigint").alias("users_peak"),
         F.lit(0.0).alias("avg_dwell_seconds"),
@@ -117,11 +120,13 @@ def persona_breakdown(pv: DataFrame) -> DataFrame:
             .orderBy("workspace_id", "report_id", F.col("views").desc(), "persona"))
 
 
-def views_distribution(pv: DataFrame, catalog: DataFrame) -> DataFrame:
+def views_distribution(pv: DataFrame, catalog: DataFrame, totals: DataFrame | None = None,
+                       missing: DataFrame | None = None) -> DataFrame:
     """A10: pages per views bucket, zero-view pages (J2) included, empty buckets kept."""
     spark = pv.sparkSession
-    views = page_totals(pv).select("views").unionByName(
-        missing_page_ordinals(pv, catalog).select(F.lit(0).cast("bigint").alias("views")))
+    t = totals if totals is not None else page_totals(pv)
+    m = missing if missing is not None else missing_page_ordinals(pv, catalog)
+    views = t.select("views").unionByName(m.select(F.lit(0).cast("bigint").alias("views")))
     b = F.lit(None).cast("int")
     for i, (lo, hi) in reversed(list(enumerate(BUCKETS))):
         b = F.when(F.col("views").between(lo, hi), F.lit(i)).otherwise(b)
@@ -143,9 +148,10 @@ def underused_top10(pv: DataFrame, max_views: int = 10, k: int = 10) -> DataFram
             .limit(k))
 
 
-def underused_dashboard(pv: DataFrame, threshold: int = 100, cap: int = 200) -> DataFrame:
+def underused_dashboard(pv: DataFrame, threshold: int = 100, cap: int = 200,
+                        totals: DataFrame | None = None) -> DataFrame:
     """Viewed pages with 0 < views < threshold, ascending, first ``cap``."""
-    t = page_totals(pv).filter((F.col("views") > 0) & (F.col("views") < threshold))
+    t = (totals if totals is not None else page_totals(pv)).filter((F.col("views") > 0) & (F.col("views") < threshold))
     return (t.select("workspace_id", "report_id", "page_id", "workspace_name", "report_name",
                      "page_name", "views")
             .orderBy("views", "workspace_id", "report_id", "page_id").limit(cap))
@@ -225,9 +231,9 @@ def page_daily_trend(pv: DataFrame) -> DataFrame:
     return pv.groupBy(*sch.PAGE_KEY, "view_date").agg(F.sum("view_count").alias("views"))
 
 
-def top_pages(pv: DataFrame, k: int = 25) -> DataFrame:
+def top_pages(pv: DataFrame, k: int = 25, totals: DataFrame | None = None) -> DataFrame:
     """O1: the k most viewed pages (ties broken by key)."""
-    t = page_totals(pv).filter(F.col("views") > 0)
+    t = (totals if totals is not None else page_totals(pv)).filter(F.col("views") > 0)
     return (t.select("workspace_id", "report_id", "page_id", "workspace_name", "report_name", "page_name", "views")
             .orderBy(F.col("views").desc(), "workspace_id", "report_id", "page_id").limit(k))
 

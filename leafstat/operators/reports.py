@@ -83,7 +83,8 @@ def report_matrix(pv: DataFrame, rv: DataFrame, unused: DataFrame) -> DataFrame:
         F.when(u >= 5, "red").when(u >= 1, "yellow").otherwise("").alias("unused_band"))
 
 
-def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int = 100) -> DataFrame:
+def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int = 100,
+                   totals: DataFrame | None = None, missing: DataFrame | None = None) -> DataFrame:
     """One row - date range, days, totals, under-used and unused counts
     (the dashboard's zero-view rule, J2).  Four aggregates, one scalar
     subquery each."""
@@ -97,9 +98,9 @@ def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int =
         F.sum("total_pages").cast("bigint").alias("total_pages_defined"),
         F.sum("pages_with_views").alias("total_pages_with_views"),
         F.sum("pages_never_viewed").alias("total_pages_never_viewed")))
-    under = page_totals(pv).select(
+    under = (totals if totals is not None else page_totals(pv)).select(
         F.count(F.when((F.col("views") > 0) & (F.col("views") < underused_threshold), 1))).scalar()
-    miss = pg._scalars(pg.missing_page_ordinals(pv, catalog).agg(
+    miss = pg._scalars((missing if missing is not None else pg.missing_page_ordinals(pv, catalog)).agg(
         F.count(F.lit(1)).alias("unused_count"),
         F.count_distinct("workspace_name", "report_name").alias("unused_reports_count")))
     return pg._one_row(

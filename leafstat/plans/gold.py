@@ -12,7 +12,7 @@ from leafstat.functions.prefix import running_total
 from leafstat.functions.scalars import safe_div
 from leafstat.operators import pages as pg
 from leafstat.operators import reports as rp
-from leafstat.operators.common import latest
+from leafstat.operators.common import latest, page_totals
 from leafstat.operators.silver import dedup_catalog
 
 LONG_REPORT_PAGES = 30  # "long" report cut-off
@@ -97,18 +97,25 @@ def dashboard_payload(pv: DataFrame, catalog: DataFrame, as_of: _dt.date | None
     report's page list is ever gathered into a single row or task.
     """
     opts = {"ignoreNullFields": "false"}
-    meta = rp.dashboard_meta(pv, catalog)
+    # Page totals and the J2 zero-view pages feed four sections each.  Column
+    # pruning makes every use a different plan (no exchange reuse), so they
+    # are computed once - one row per page - and cut off with a reliable
+    # checkpoint in the shared spark.checkpoint.dir.
+    from leafstat.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(pv.sparkSession)
+    totals = page_totals(pv).checkpoint(eager=True)
+    missing = pg.missing_page_ordinals(pv, catalog).checkpoint(eager=True)
+    meta = rp.dashboard_meta(pv, catalog, totals=totals, missing=missing)
     parts = [
         ("meta", meta.select(F.to_json(F.struct(*meta.columns), opts).alias("json"))),
         ("workspace", pg.workspace_summary(pv)),
         ("report", pg.report_summary(pv)),
-        ("page", pg.page_detail(pv, catalog)),
+        ("page", pg.page_detail(pv, catalog, totals=totals, missing=missing)),
         ("day", rp.daily_trend(pv)),
-        ("top_page", pg.top_pages(pv)),
-        ("underused_page", pg.underused_dashboard(pv)),
-        ("unused_page", pg.missing_page_ordinals(pv, catalog).select(
-            "workspace_name", "report_name", "page_name", "page_ordinal")),
-        ("bucket", pg.views_distribution(pv, catalog)),
+        ("top_page", pg.top_pages(pv, totals=totals)),
+        ("underused_page", pg.underused_dashboard(pv, totals=totals)),
+        ("unused_page", missing.select("workspace_name", "report_name", "page_name", "page_ordinal")),
+        ("bucket", pg.views_distribution(pv, catalog, totals=totals, missing=missing)),
     ]
     out = None
     for name, df in parts:
