@@ -113,3 +113,16 @@ def test_raw_fact_scans_read_only_needed_columns(spark):
         schema = s[s.index("ReadSchema: struct<") + len("ReadSchema: struct<"):].split(">")[0]
         cols = {c.split(":")[0] for c in schema.split(",")}
         assert cols <= {"l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate"}, cols
+
+
+def test_shared_totals_give_the_same_sections(spark):
+    from leafstat.operators.common import page_totals
+    from leafstat.operators import reports as rp
+    lh = Lakehouse.from_star(spark, SF001)
+    pv, cat = lh.page_views, lh.page_catalog
+    t, m = page_totals(pv), pg.missing_page_ordinals(pv, cat)
+    assert _same_rows(pg.page_detail(pv, cat), pg.page_detail(pv, cat, totals=t, missing=m))
+    assert _same_rows(pg.views_distribution(pv, cat), pg.views_distribution(pv, cat, totals=t, missing=m))
+    assert _same_rows(pg.top_pages(pv), pg.top_pages(pv, totals=t))
+    assert _same_rows(pg.underused_dashboard(pv), pg.underused_dashboard(pv, totals=t))
+    assert _same_rows(rp.dashboard_meta(pv, cat), rp.dashboard_meta(pv, cat, totals=t, missing=m))
