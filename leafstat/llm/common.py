@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +19,22 @@ ROWS_PER_RANGE = 2_000_000
 TRUSTED_ROWS = 50_000   # trusted labelled documents that a quality model is fitted on, at most
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package where they would not find it:
+    neither on PYTHONPATH nor in the working folder."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or any(os.path.realpath(p or ".") == os.path.realpath(root) for p in known):
+        return
+    _SHIPPED.add(app)
+    to = os.path.join(tempfile.mkdtemp(prefix="leafstat-ship-"), "leafstat")
+    spark.sparkContext.addPyFile(shutil.make_archive(to, "zip", root, "leafstat"))
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import dsir, llr_rules
-from leafstat.llm.common import documents
+from leafstat.llm import bottomk, dsir, llr_rules, shard
+from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,8 +20,13 @@ SQL: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+
+    run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -35,3 +40,17 @@ def op9_llr_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts, mean log-likelihood ratio and verdict of every document."""
     trusted = documents(spark, sf_dir, "labels").where("quality = 1")
     return llr_rules.judged(documents(spark, sf_dir), trusted).select("row.doc_id", "rules.*")
+
+
+@query
+def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document among 40 shards; row counts differ by one at most."""
+    placed = shard.sharded(documents(spark, sf_dir), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "row")
+
+
+@query
+def op10_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited text, and their likeness."""
+    return bottomk.compared(documents(spark, sf_dir))
