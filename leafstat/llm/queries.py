@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, dsir, llr_rules, shard
+from leafstat.llm import bottomk, dsir, llr_rules, packing, shard, vbyte
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +55,15 @@ def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited text, and their likeness."""
     return bottomk.compared(documents(spark, sf_dir))
+
+
+@query
+def op6_ranked_vbyte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, count and checksum of every document's ids, read back from the files."""
+    return vbyte.written_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query
+def op7_linear_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and offset of every piece of every document."""
+    return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)

@@ -2,11 +2,12 @@
 
 The tokenizer lower-cases a text and splits it at white space and between
 letters, digits and other marks; each piece is encoded alone and ends in a
-token that closes a word.  Natural text repeats its words, so a worker keeps
-the ids of the words it has met, encodes the new pieces of a batch in one call
-and puts the texts' ids together from them.  Texts with characters outside a
-plain alphabet, or with something that may be a special token, are encoded
-whole.  Either way the ids are those that the library gives for the text.
+token that closes a word.  Natural text repeats its words, so a block of texts
+is split and dictionary-encoded by Arrow, the library encodes the pieces that
+the worker has not met, and numpy puts the texts' ids together.  Texts with
+characters outside a plain alphabet, or with something that may be a special
+token, are encoded whole.  Either way the ids are those that the library gives
+for the text.
 """
 
 from __future__ import annotations
@@ -15,15 +16,30 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHED_WORDS = 400_000     # words whose ids a worker remembers
+CACHED_PIECES = 600_000    # pieces whose ids a worker remembers
 # Lower-casing, composition and the splitting classes of these characters depend on nothing around them.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+_PIECES = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+)"
+
+
+def spread(values: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values`` holds runs of the given lengths; the runs in ``order``, and their lengths."""
+    starts = np.cumsum(lengths) - lengths
+    out = lengths[order]
+    shift = starts[order] - (np.cumsum(out) - out)
+    return values[np.arange(out.sum()) + np.repeat(shift, out)], out
+
+
+def sums(lengths: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of ``lengths`` between neighbouring offsets."""
+    return np.diff(np.concatenate([[0], np.cumsum(lengths)])[offsets])
 
 
 class Encoder:
-    """Whole texts -> ids; holds the library's tokenizer and the word cache."""
+    """Whole texts -> ids; holds the library's tokenizer and the ids of known pieces."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -35,18 +51,15 @@ class Encoder:
         ends = [i for t, i in self.library.get_vocab(with_added_tokens=False).items() if t.endswith("</w>")]
         self.closes = np.zeros(self.vocabulary, bool)
         self.closes[ends] = True
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        """Ids of words not met before: the library encodes their new pieces, set apart by spaces."""
-        split = {w: _PIECES.findall(w.lower()) for w in words}
-        new = list(set().union(*split.values()).difference(self.pieces))
-        for at in range(0, len(new), 500):
-            some = new[at:at + 500]
+    def _learn(self, pieces: list[str]) -> None:
+        """Have the library encode new pieces, set apart by spaces."""
+        for at in range(0, len(pieces), 500):
+            some = pieces[at:at + 500]
             ids = np.asarray(self.library.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
             ends = (4 * np.flatnonzero(self.closes[ids]) + 4).tolist()
             if len(ends) == len(some):
@@ -54,23 +67,32 @@ class Encoder:
                 self.pieces.update((p, run[i:j]) for p, i, j in zip(some, [0, *ends], ends))
             else:
                 self.pieces.update((p, self._whole(p)) for p in some)
-        known = self.pieces
-        for w, ps in split.items():
-            self.words[w] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain texts, one after another, and the number of each text's ids."""
+        words = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        split = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), _PIECES, "\\1 "))
+        parts = split.flatten().dictionary_encode()
+        pieces = parts.dictionary.to_pylist()
+        if len(self.pieces) > CACHED_PIECES:    # the pieces of this block stand for the frequent ones
+            self.pieces = {p: self.pieces[p] for p in {"", *pieces} if p in self.pieces}
+        self._learn([p for p in pieces if p not in self.pieces])
+        found = [self.pieces[p] for p in pieces]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids, lengths = spread(ids, lengths, parts.indices.to_numpy())              # by piece of a word
+        lengths = sums(lengths, split.offsets.to_numpy())                          # by word
+        ids, lengths = spread(ids, lengths, coded.indices.to_numpy())              # by word of a text
+        return ids, sums(lengths, words.offsets.to_numpy())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text (null: none) as little-endian unsigned 32-bit integers."""
-        texts = [t or "" for t in texts]
-        split = [t.split() if _PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
-        met = set().union(*(ws for ws in split if ws))
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces = {}
-        self._learn(met.difference(self.words))
-        known = self.words
-        out = [self._whole(t) if ws is None else b"".join([known[w] for w in ws]) for t, ws in zip(texts, split)]
-        if len(known) > CACHED_WORDS:       # the words of this batch stand for the frequent ones
-            self.words = {w: known[w] for w in met}
-        return out
+        plain = [t is None or bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
+        ids, counts = self._plain([t or "" if simple else "" for t, simple in zip(texts, plain)])
+        run, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [run[i:j] if simple else self._whole(t)
+                for t, simple, i, j in zip(texts, plain, [0, *ends], ends)]
 
 
 @lru_cache(maxsize=2)
