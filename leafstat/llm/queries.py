@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, dsir, llr_rules, packing, shard, vbyte
+from leafstat.llm import bottomk, dsir, llr_rules, packing, shard, vbyte, warc
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,21 @@ def op6_ranked_vbyte_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_linear_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequence and offset of every piece of every document."""
     return packing.packed_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op2_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the WARC files that its ARC file became."""
+    got = warc.archived(documents(spark, sf_dir, "pages"))
+    return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op2_arc_to_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS digest FROM p),
+     g AS (SELECT n, digest, max(page_id) AS first FROM d WHERE n >= 1000 GROUP BY n, digest)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d LEFT JOIN g USING (n, digest)
+"""
