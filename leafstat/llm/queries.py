@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, dsir, llr_rules, packing, shard, vbyte, warc
+from leafstat.llm import bottomk, bpe_automaton, dsir, llr_rules, packing, shard, vbyte, warc
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,11 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM d LEFT JOIN g USING (n, digest)
 """
+
+
+@query
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count and digests of every document's ids and of the text decoded from them."""
+    got = bpe_automaton.coded(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return got.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
