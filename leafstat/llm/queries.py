@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, bpe_automaton, dsir, llr_rules, packing, shard, vbyte, warc
+from leafstat.llm import bottomk, bpe_automaton, dsir, licenses, llr_rules, packing, shard, vbyte, warc
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +93,12 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = bpe_automaton.coded(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     return got.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical digest, licence of the entire text and licences of entire lines of every document."""
+    return licenses.scanned(documents(spark, sf_dir), licenses.known_texts(spark))
+
+
+SQL["op4_license_digests"] = licenses.oracle_sql()
