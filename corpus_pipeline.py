@@ -12,13 +12,15 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from leafstat.llm import dsir, llr_rules
-from leafstat.llm.common import documents, landed
+from leafstat.llm import dsir, llr_rules, lsh_forest, packing
+from leafstat.llm.common import documents, landed, ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     sampler, _ = dsir.resample(docs, documents(spark, sf_dir, "labels"))
     return dsir.drawn(docs, sampler)
 
@@ -28,7 +30,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return llr_rules.judged(docs, trusted).where("rules.kept").select("row.*")
 
 
-STAGES = [("quality classifier", quality_classifier), ("quality rules", quality_rules)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return lsh_forest.representatives(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+STAGES = [("quality classifier", quality_classifier), ("quality rules", quality_rules),
+          ("near duplicates", near_duplicates), ("best-fit packing", best_fit_packing)]
 
 #: Hashed n-grams, noise and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, bpe_automaton, dsir, licenses, llr_rules, packing, shard, vbyte, warc
+from leafstat.llm import bottomk, bpe_automaton, dsir, licenses, llr_rules, lsh_forest, packing, shard, vbyte, warc
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,9 @@ def op4_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op4_license_digests"] = licenses.oracle_sql()
+
+
+@query
+def op5_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, number of links and copies of every document."""
+    return lsh_forest.joined(documents(spark, sf_dir))
