@@ -27,7 +27,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trusted = documents(spark, sf_dir, "labels").where("quality = 1")
-    return llr_rules.judged(docs, trusted).where("rules.kept").select("row.*")
+    return llr_rules.kept(docs, trusted)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,9 +7,9 @@ the k largest keys are drawn, which samples k documents without replacement
 in proportion to their weights.
 
 Tokens are the runs of word characters and the runs of other marks, in lower
-case.  The raw counts cover every document whole.  The target model is
-smoothed towards the raw model, so an n-gram that the target never saw costs
-no more than the evidence supports.
+case.  The raw counts cover every document whole.  Both models' counts of a
+bucket start at EVIDENCE (the raw one scaled to the target's size), so n-grams
+too rare to judge by do not count against documents that no label covers.
 
 Defined cases: a null or empty text has weight 0; a null doc_id is a
 document of its own noise; rows that are equal have equal keys, and rows that
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from leafstat.llm.common import landed, marked_trusted, size_batches
 
 BUCKETS = 1 << 16          # hashed n-gram buckets of either model
-PRIOR = BUCKETS // 2       # pseudo-counts of the target, spread as the raw model
+EVIDENCE = 16              # occurrences of a bucket before which its ratio stays near one
 SEED = 20
 FIXED = 1 << 20            # weights are summed as integers of 2**-20: exact in any order
 BLOCK_CHARS = 1 << 20      # characters worked on at once
@@ -128,9 +128,8 @@ def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: s
         raw[bucket], target[bucket] = in_raw, in_target
     if not target.sum():
         return Model(np.zeros(BUCKETS, np.int64))
-    p = (raw + 1) / (raw.sum() + BUCKETS)
-    q = (target + PRIOR * p) / (target.sum() + PRIOR)
-    return Model(np.rint(np.log(q / p) * FIXED).astype(np.int64))
+    due = raw * (target.sum() / raw.sum())
+    return Model(np.rint(np.log((target + EVIDENCE) / (due + EVIDENCE)) * FIXED).astype(np.int64))
 
 
 def gumbel(doc_id: int | None, text: str | None, seed: int = SEED) -> float:
