@@ -21,7 +21,7 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
     within ``group_cols`` ordered by ``order_cols`` (unique inside a group),
     and ``group_totals`` ({out: source out name}) = the group's full sums.
 
-    Group keys must be non-NULL.
+    Rows whose group keys are NULL form a group of their own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -59,7 +59,14 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
     for out, src in (group_totals or {}).items():
         chunks = chunks.withColumn(out, F.sum(f"_rt_c{names.index(src)}").over(whole))
     chunks = chunks.drop(*[f"_rt_c{i}" for i in range(len(names))])
-    res = t.join(chunks, ["_rt_pid", *group_cols])
+    chunks = chunks.select(*[F.col(c).alias(f"_rt_g{i}") if c in group_cols else F.col(c)
+                             for i, c in enumerate(chunks.columns)])
+    keys = [F.col(c).eqNullSafe(F.col(f"_rt_g{i}")) for i, c in enumerate(["_rt_pid", *group_cols]) if i]
+    chunks = chunks.withColumnRenamed("_rt_pid", "_rt_cpid")
+    on = F.col("_rt_pid") == F.col("_rt_cpid")
+    for k in keys:
+        on = on & k
+    res = t.join(chunks, on).drop("_rt_cpid", *[f"_rt_g{i}" for i in range(1, len(group_cols) + 1)])
     for i, out in enumerate(names):
         res = res.withColumn(out, F.col(f"_rt_l{i}") + F.col(f"_rt_o{i}"))
     drop = ["_rt_pid"] + [f"_rt_{k}{i}" for i in range(len(names)) for k in ("v", "l", "o")]

@@ -19,9 +19,18 @@ def retain_silver(facts: DataFrame, as_of: _dt.date, days: int = 90, col: str =
 
 
 def forget_user(user_views: DataFrame, upn: str) -> DataFrame:
-    """The user-day facts without one person's rows (hash of the UPN via X1)."""
-    h = user_views.sparkSession.range(1).select(hash_user(F.lit(upn)).alias("h")).first()["h"]
-    return user_views.filter(F.col("user_id_hash") != F.lit(h))
+    """The user-day facts without one person's rows (hash of the UPN via X1);
+    rows without a hash stay."""
+    return user_views.filter(~F.col("user_id_hash").eqNullSafe(F.lit(_hash_of(user_views.sparkSession, upn))))
+
+
+def _hash_of(spark: SparkSession, upn: str) -> str:
+    """The stored hash of one person; a blank UPN names nobody, and its hash
+    would be that of every blank user, so it is refused."""
+    h = spark.range(1).select(hash_user(F.lit(upn)).alias("h")).first()["h"]
+    if not h or not upn.strip():
+        raise ValueError("erasure needs a non-blank UPN")
+    return h
 
 
 def forget_user_in_table(spark: SparkSession, root: str, upn: str, table: str = "user_views") -> int:
@@ -33,15 +42,13 @@ def forget_user_in_table(spark: SparkSession, root: str, upn: str, table: str =
     if not path_exists(spark, path):
         return 0
     part = sch.PARTITION_COL[table]
-    h = spark.range(1).select(hash_user(F.lit(upn)).alias("h")).first()["h"]
-    if not h:
-        return 0
+    h = _hash_of(spark, upn)
     t = read_table(spark, root, table)
     # One value per day, bounded by the calendar.
     days = [r[0] for r in t.filter(F.col("user_id_hash") == F.lit(h)).select(part).distinct().collect()]
     if not days:
         return 0
-    kept = t.filter(F.col(part).isin(days) & (F.col("user_id_hash") != F.lit(h)))
+    kept = t.filter(F.col(part).isin(days) & ~F.col("user_id_hash").eqNullSafe(F.lit(h)))
     # Cut the lineage before overwriting the partitions it was read from.
     kept = kept.checkpoint(eager=True)
     (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

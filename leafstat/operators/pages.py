@@ -11,8 +11,8 @@ from leafstat.functions.scalars import safe_div
 from leafstat.operators.common import explode_range, latest, page_totals, report_attrs
 from leafstat.operators.silver import dedup_catalog
 
-# Dashboard histogram buckets (closed ranges) and labels.
-BUCKETS = [(0, 0), (1, 10), (11, 50), (51, 200), (201, 1000), (1001, 5000), (5001, 10**9)]
+# Dashboard histogram buckets (closed ranges, the last one open) and labels.
+BUCKETS = [(0, 0), (1, 10), (11, 50), (51, 200), (201, 1000), (1001, 5000), (5001, None)]
 BUCKET_LABELS = ["0 (never)", "1–10", "11–50", "51–200", "201–1k", "1k–5k", "5k+"]
 
 
@@ -37,9 +37,9 @@ def missing_page_ordinals(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     allp = allp.withColumn("page_ordinal", F.col("page_ordinal").cast("int"))
     miss = allp.join(seen, [*sch.REPORT_KEY, "page_ordinal"], "left_anti")
     names = (dedup_catalog(catalog.select(*sch.PAGE_CATALOG.fieldNames()))
-             .groupBy("report_id", "page_ordinal")
+             .groupBy(*sch.REPORT_KEY, "page_ordinal")
              .agg(F.min("page_name").alias("_cat_name")))
-    miss = miss.join(names, ["report_id", "page_ordinal"], "left")
+    miss = miss.join(names, [*sch.REPORT_KEY, "page_ordinal"], "left")
     return miss.select(
         "workspace_id", "workspace_name", "capacity_name", "report_id", "report_name",
         F.format_string("%s::p%03d", F.col("report_id"), F.col("page_ordinal") - 1).alias("page_id"),
@@ -129,7 +129,8 @@ def views_distribution(pv: DataFrame, catalog: DataFrame, totals: DataFrame | No
     views = t.select("views").unionByName(m.select(F.lit(0).cast("bigint").alias("views")))
     b = F.lit(None).cast("int")
     for i, (lo, hi) in reversed(list(enumerate(BUCKETS))):
-        b = F.when(F.col("views").between(lo, hi), F.lit(i)).otherwise(b)
+        inside = F.col("views") >= lo if hi is None else F.col("views").between(lo, hi)
+        b = F.when(inside, F.lit(i)).otherwise(b)
     counts = views.groupBy(b.alias("bucket_order")).agg(F.count(F.lit(1)).alias("pages"))
     label = F.element_at(F.array(*[F.lit(x) for x in BUCKET_LABELS]), F.col("id").cast("int") + 1)
     dim = spark.range(len(BUCKETS)).select(F.col("id").cast("int").alias("bucket_order"), label.alias("bucket"))

@@ -102,7 +102,7 @@ def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int =
         F.count(F.when((F.col("views") > 0) & (F.col("views") < underused_threshold), 1))).scalar()
     miss = pg._scalars((missing if missing is not None else pg.missing_page_ordinals(pv, catalog)).agg(
         F.count(F.lit(1)).alias("unused_count"),
-        F.count_distinct("workspace_name", "report_name").alias("unused_reports_count")))
+        F.count_distinct(*sch.REPORT_KEY).alias("unused_reports_count")))
     return pg._one_row(
         spark,
         date_from=facts["date_from"], date_to=facts["date_to"], days=facts["days"],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
@@ -53,10 +53,10 @@ def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
                      since=None, until=None) -> DataFrame:
     """A1: raw events -> page-day facts (sum views, distinct users, mean dwell, top persona).
 
-    One pass over the events: first per (page-day, persona) - views, distinct
-    users, dwell sum and event count - then per page-day.  The persona is an
-    attribute of the user (J14: from the people lookup), so the per-persona
-    distinct users partition the page-day's users and their sum is exact.
+    One pass over the events, per (page-day, user, persona): views, dwell sum
+    and event count.  The page-day's totals and its distinct users come from
+    these rows, and its persona totals too, so a user whose events carry
+    several personas counts once.
     top_persona = the persona with most views, ties -> larger name.
     Names are attached after aggregation from the (deduplicated) catalog and
     the report dimension; J9: ordinal and report_total_pages come from the
@@ -64,16 +64,21 @@ def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
     """
     keys = [*sch.PAGE_KEY, "view_date"]
     ev = window_filter(events, since, until)
-    per = ev.groupBy(*keys, F.coalesce("persona", F.lit("")).alias("persona")).agg(
+    per = ev.groupBy(*keys, norm_user("user_upn").alias("_u"), F.coalesce("persona", F.lit("")).alias("persona")).agg(
         F.sum("views").alias("_v"),
-        F.count_distinct(norm_user("user_upn")).alias("_u"),
         F.sum("dwell_seconds").alias("_d"),
         F.count("dwell_seconds").alias("_n"))
-    base = per.groupBy(*keys).agg(
+    # Per user first, then per page-day: the distinct users are a count of rows,
+    # and a user's few personas travel in a map to the second step.
+    users = per.groupBy(*keys, "_u").agg(
+        F.sum("_v").alias("_v"), F.sum("_d").alias("_d"), F.sum("_n").alias("_n"))
+    totals = users.groupBy(*keys).agg(
         F.sum("_v").alias("view_count"),
-        F.sum("_u").alias("unique_users"),
-        safe_div(F.sum("_d"), F.sum("_n")).alias("avg_dwell_seconds"),
-        F.max_by("persona", F.struct("_v", "persona")).alias("top_persona"))
+        F.count("_u").alias("unique_users"),
+        safe_div(F.sum("_d"), F.sum("_n")).alias("avg_dwell_seconds"))
+    personas = (per.groupBy(*keys, "persona").agg(F.sum("_v").alias("_v"))
+                .groupBy(*keys).agg(F.max_by("persona", F.struct("_v", "persona")).alias("top_persona")))
+    base = totals.join(personas, keys, "left")
     cat = catalog.select(*sch.PAGE_KEY, "page_name", "page_ordinal")
     out = (base.join(cat, sch.PAGE_KEY, "left")
            .join(rdim, sch.REPORT_KEY, "left"))
@@ -175,12 +180,18 @@ def enrich_blank_identity(rows: DataFrame, workspaces: DataFrame, reports: DataF
     Rows whose workspace_id, workspace_name and report_name are all set pass
     through unchanged (a blank capacity then stays blank).
     """
-    ctx = (reports.select("report_id", F.col("workspace_id").alias("_ws_id"),
-                          F.col("report_name").alias("_rep_name"))
-           .join(workspaces.select(F.col("workspace_id").alias("_ws_id"),
-                                   F.col("workspace_name").alias("_ws_name"),
-                                   F.col("capacity_name").alias("_cap")), "_ws_id", "left"))
-    j = rows.join(ctx, "report_id", "left").withColumn(
+    ctx = (reports.groupBy("report_id", F.col("workspace_id").alias("_ws_id"))
+           .agg(F.max("report_name").alias("_rep_name"))
+           .join(workspaces.groupBy(F.col("workspace_id").alias("_ws_id"))
+                 .agg(F.max("workspace_name").alias("_ws_name"), F.max("capacity_name").alias("_cap")), "_ws_id", "left"))
+    # A report id may be in several workspaces: the row's own workspace decides, and
+    # without one the smallest, so a row never becomes two.
+    ctx = ctx.withColumn("_first", F.min("_ws_id").over(Window.partitionBy("report_id")))
+    lookup = (ctx.select("report_id", F.col("_ws_id").alias("_own"), "_ws_id", "_rep_name", "_ws_name", "_cap")
+              .unionByName(ctx.where(F.col("_ws_id") == F.col("_first"))
+                           .select("report_id", F.lit("").alias("_own"), "_ws_id", "_rep_name", "_ws_name", "_cap")))
+    own = F.when(blank("workspace_id"), F.lit("")).otherwise(F.col("workspace_id"))
+    j = rows.withColumn("_own", own).join(lookup, ["report_id", "_own"], "left").withColumn(
         "_complete", ~blank("workspace_id") & ~blank("workspace_name") & ~blank("report_name"))
 
     def fill(c, ctx_col):

@@ -76,8 +76,8 @@ def owner_accountability(pv: DataFrame, owners: DataFrame, unused: DataFrame | N
 
 def resolve_known_users(uv: DataFrame, people: DataFrame) -> DataFrame:
     """Hash known UPNs and join to user facts (for a governed model only)."""
-    known = people.select(hash_user("upn").alias("user_id_hash"), "display_name").filter(
-        F.col("user_id_hash") != "")
+    known = (people.select(hash_user("upn").alias("user_id_hash"), "display_name").filter(F.col("user_id_hash") != "")
+             .groupBy("user_id_hash").agg(F.max("display_name").alias("display_name")))   # spellings of one UPN
     views = uv.groupBy("user_id_hash").agg(F.sum("view_count").alias("views"))
     return views.join(known, "user_id_hash")
 
@@ -86,7 +86,7 @@ def persona_enrichment(events: DataFrame, people: DataFrame) -> DataFrame:
     """Top persona per page-day from a people/department lookup:
     events -> department of the user, then the department with most views
     (ties -> larger name)."""
-    ppl = people.select(norm_user("upn").alias("_u"), F.col("department").alias("persona"))
+    ppl = people.groupBy(norm_user("upn").alias("_u")).agg(F.max("department").alias("persona"))  # one row a user
     ev = events.select(*sch.PAGE_KEY, "view_date", "views", norm_user("user_upn").alias("_u"))
     j = ev.join(ppl, "_u", "left").withColumn("persona", F.coalesce("persona", F.lit("")))
     per = j.groupBy(*sch.PAGE_KEY, "view_date", "persona").agg(F.sum("views").alias("_v"))

@@ -37,8 +37,8 @@ class Lakehouse:
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str, source=None) -> "Lakehouse":
-        from leafstat.sources.files import path_exists, read_table
-        tables = {n: read_table(spark, root, n) for n in sch.SILVER
+        from leafstat.sources.files import load_table, path_exists
+        tables = {n: load_table(spark, "parquet", root, n) for n in sch.SILVER
                   if path_exists(spark, f"{root.rstrip('/')}/{n}")}
         return cls(spark, source=source, tables=tables)
 

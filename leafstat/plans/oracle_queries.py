@@ -32,7 +32,7 @@ FROM pv90 GROUP BY workspace_id, report_id, top_persona""")
 q("views_distribution", """
 SELECT CAST(b.bucket_order AS INTEGER) AS bucket_order, b.bucket, CAST(COUNT(a.v) AS BIGINT) AS pages
 FROM (VALUES (0, '0 (never)', 0, 0), (1, '1–10', 1, 10), (2, '11–50', 11, 50), (3, '51–200', 51, 200),
-             (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 1000000000))
+             (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 9223372036854775807))
      b(bucket_order, bucket, lo, hi)
 LEFT JOIN (SELECT views AS v FROM pt UNION ALL SELECT 0 FROM miss) a ON a.v BETWEEN b.lo AND b.hi
 GROUP BY b.bucket_order, b.bucket ORDER BY 1""")
@@ -164,7 +164,7 @@ SELECT (SELECT MIN(view_date) FROM pv90) AS date_from, (SELECT MAX(view_date) FR
        100 AS underused_threshold,
        (SELECT COUNT(*) FROM pt WHERE views > 0 AND views < 100) AS underused_count,
        (SELECT COUNT(*) FROM miss) AS unused_count,
-       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_name, report_name FROM miss)) AS unused_reports_count""")
+       (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id FROM miss)) AS unused_reports_count""")
 
 # -- trends, users, governance, ops -----------------------------------------
 ROLLING = """
@@ -521,14 +521,14 @@ WITH meta AS (
          (SELECT CAST(SUM(view_count) AS BIGINT) FROM pv90) AS total_views, 100 AS underused_threshold,
          (SELECT COUNT(*) FROM pt WHERE views > 0 AND views < 100) AS underused_count,
          (SELECT COUNT(*) FROM miss) AS unused_count,
-         (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_name, report_name FROM miss)) AS unused_reports_count),
+         (SELECT COUNT(*) FROM (SELECT DISTINCT workspace_id, report_id FROM miss)) AS unused_reports_count),
 wsum AS (SELECT workspace_id, MAX(workspace_name) AS workspace_name, COUNT(DISTINCT report_id) AS report_count,
                 COUNT(DISTINCT report_id || '|' || page_id) AS page_count,
                 CAST(SUM(view_count) AS BIGINT) AS total_views FROM pv90 GROUP BY workspace_id),
 buckets AS (
   SELECT CAST(b.bucket_order AS INTEGER) AS bucket_order, b.bucket, CAST(COUNT(a.v) AS BIGINT) AS pages
   FROM (VALUES (0, '0 (never)', 0, 0), (1, '1–10', 1, 10), (2, '11–50', 11, 50), (3, '51–200', 51, 200),
-               (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 1000000000))
+               (4, '201–1k', 201, 1000), (5, '1k–5k', 1001, 5000), (6, '5k+', 5001, 9223372036854775807))
        b(bucket_order, bucket, lo, hi)
   LEFT JOIN (SELECT views AS v FROM pt UNION ALL SELECT 0 FROM miss) a ON a.v BETWEEN b.lo AND b.hi
   GROUP BY b.bucket_order, b.bucket)

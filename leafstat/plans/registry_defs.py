@@ -318,7 +318,9 @@ def _s6(lh: Lakehouse):
     root = _scratch(lh, "s6")
     pl.overlay_docs(unused(lh)).write.mode("overwrite").text(f"{root}/overlay")
     ov = pl.parse_overlay(lh.spark.read.text(f"{root}/overlay"))
-    rdim = lh.page_catalog.select(*sch.REPORT_KEY, "workspace_name", "report_name").distinct()
+    # The overlay names no workspace: a report id in several takes the smallest.
+    rdim = (lh.page_catalog.groupBy("report_id")
+            .agg(F.min(F.struct("workspace_id", "workspace_name", "report_name")).alias("r")).select("report_id", "r.*"))
     pulled = F.lit(_dt.datetime.combine(lh.as_of, _dt.time())).cast("timestamp_ntz")
     overlay = ov.join(rdim, "report_id").withColumn("catalog_pulled_at", pulled)
     seen = pvw(lh).select(*sch.PAGE_KEY, "workspace_name", "report_name", "page_name", "page_ordinal",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,11 +54,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local runs, tests) do we
-    choose a private scratch folder.
+    A cluster names it; only a local session (tests) that names none gets a
+    private scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="leafstat-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -81,8 +84,6 @@ def path_bytes(spark: SparkSession, *paths: str) -> int:
 # Bytes of compressed fact input per initial reducer; AQE then merges
 # reducers below spark.sql.adaptive.advisoryPartitionSizeInBytes.
 BYTES_PER_REDUCER = 128 << 20
-MAX_REDUCERS = 100_000
-
 _INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -98,7 +99,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int, per_reducer: int = BYTE
     if spark.sparkContext.getConf().contains(_INITIAL):
         return int(spark.sparkContext.getConf().get(_INITIAL))
     base = int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    n = min(max(base, -(-input_bytes // per_reducer)), MAX_REDUCERS)
+    n = max(base, -(-input_bytes // per_reducer))
     if n > base:
         spark.conf.set(_INITIAL, str(n))
     return n

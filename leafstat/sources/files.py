@@ -40,11 +40,29 @@ def _blank_strings(df: DataFrame, schema: T.StructType) -> DataFrame:
 # -- CSV --------------------------------------------------------------------
 def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Typed read of a silver CSV: preamble skipped, header row, UTF-8,
-    RFC-4180 doubled quotes, quoted newlines."""
-    df = (spark.read.schema(schema).option("header", True).option("comment", "#")
+    RFC-4180 doubled quotes, quoted newlines.
+
+    Columns are found by their header names: their order does not matter, an
+    added one is left out, a missing one is an error.  A malformed value fails
+    the job that reads it."""
+    df = (spark.read.option("header", True).option("comment", "#")
           .option("escape", '"').option("quote", '"').option("multiLine", True)
           .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
-    return _blank_strings(df, schema)
+    missing = [n for n in schema.fieldNames() if n not in df.columns]
+    if missing:
+        raise SchemaVersionError(f"{path} lacks the columns {missing}")
+    return _blank_strings(df.select(*[_typed(f) for f in schema.fields]), schema)
+
+
+def _typed(f: T.StructField):
+    """A CSV column as its declared type.  X8: a timestamp may carry an offset
+    or ``Z``; it is kept as the UTC wall-clock time."""
+    c = F.nullif(F.col(f.name), F.lit(""))
+    if isinstance(f.dataType, T.TimestampNTZType):
+        zoned = c.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+        utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.when(zoned, c).cast("timestamp").cast("timestamp_ntz"))
+        return F.when(zoned, utc).otherwise(F.when(~zoned, c).cast("timestamp_ntz")).alias(f.name)
+    return c.cast(f.dataType).alias(f.name)
 
 
 def write_silver_csv(df: DataFrame, path: str, schema: T.StructType | None = None,
@@ -80,10 +98,10 @@ def write_schema_version(spark: SparkSession, table_path: str, version: str = sc
 
 
 def table_schema_versions(spark: SparkSession, table_path: str) -> list[str]:
-    try:
-        return sorted(r[0] for r in spark.read.text(_join(table_path, VERSION_DIR)).distinct().collect())
-    except Exception:  # noqa: BLE001 - no sidecar = unversioned table
+    sidecar = _join(table_path, VERSION_DIR)
+    if not path_exists(spark, sidecar):     # an unversioned table
         return []
+    return sorted(r[0] for r in spark.read.text(sidecar).distinct().collect())
 
 
 def assert_schema_version(found: list[str], expected: str = sch.SILVER_SCHEMA_VERSION,
@@ -135,14 +153,17 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return df.select(*schema.fieldNames())
 
 
-def load_table(spark: SparkSession, mode: str, location: str, table: str) -> DataFrame:
-    """The same five tables from a catalog table, a Parquet folder or a CSV export."""
+def load_table(spark: SparkSession, mode: str, location: str, table: str, minor_ok: bool = False) -> DataFrame:
+    """The same five tables from a catalog table, a Parquet folder or a CSV export.
+    S2: a stored version other than the expected one is refused."""
     schema = sch.SILVER[table]
     if mode == "table":
         return spark.table(location).select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     if mode == "parquet":
+        assert_schema_version(table_schema_versions(spark, _join(location, table)), minor_ok=minor_ok)
         return read_table(spark, location, table)
     if mode == "csv":
+        assert_schema_version(csv_schema_versions(spark, _join(location, table)), minor_ok=minor_ok)
         return read_silver_csv(spark, _join(location, table), schema)
     raise ValueError(f"unknown load mode {mode!r} (expected 'table', 'parquet' or 'csv')")
 
@@ -155,12 +176,11 @@ def read_catalog_sidecar(spark: SparkSession, path: str) -> DataFrame:
 # -- bronze -------------------------------------------------------------------
 def write_bronze(df: DataFrame, root: str, feed: str, run_date) -> str:
     """K1: replace only the ``dt=<run_date>`` partition of a feed; other days stay.
+    The day's folder itself is overwritten, so a run without rows empties it.
     Rows are clustered by (workspace, report) inside the day's files."""
     path = _join(root, feed)
-    (df.withColumn("dt", F.lit(run_date).cast("date"))
-     .sortWithinPartitions("workspace_id", "report_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("dt").parquet(path))
+    (df.sortWithinPartitions("workspace_id", "report_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/dt={run_date}"))
     return path
 
 

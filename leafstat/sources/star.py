@@ -37,16 +37,9 @@ class StarSource:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def fact_table(self, name: str, *cols: str) -> DataFrame:
-        """A fact-size input, pruned to ``cols``.  If the files give fewer
-        splits than the cluster has cores (e.g. one big row group), the rows
-        are spread round-robin so the joins and partial aggregations after
-        the scan run on every core; a large input with enough splits is left
-        as it is (no extra shuffle)."""
-        df = self.table(name).select(*cols)
-        want = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-        return df
+        """A fact-size input, pruned to ``cols``; the ``spark.sql.files.*``
+        settings alone decide its splits."""
+        return self.table(name).select(*cols)
 
     def fact_bytes(self) -> int:
         """Size of the fact inputs (lineitem, orders) from file metadata."""

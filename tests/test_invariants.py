@@ -98,7 +98,7 @@ def test_shuffle_sizing_only_raises(spark):
     try:
         assert size_shuffles(spark, 10 << 20) == base and spark.conf.get(key, None) is None
         assert size_shuffles(spark, 1 << 40) == 8192 and spark.conf.get(key) == "8192"
-        assert size_shuffles(spark, 100 << 40) == 100_000
+        assert size_shuffles(spark, 100 << 40) == 819_200
     finally:
         spark.conf.unset(key)
 
