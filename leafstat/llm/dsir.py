@@ -36,7 +36,7 @@ EVIDENCE = 16              # occurrences of a bucket before which its ratio stay
 SEED = 20
 FIXED = 1 << 20            # weights are summed as integers of 2**-20: exact in any order
 BLOCK_CHARS = 1 << 20      # characters worked on at once
-CACHED_WORDS = 300_000     # words whose hashes a worker remembers
+CACHED_WORDS = 150_000     # words whose hashes a worker remembers
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_PIECES = 600_000    # pieces whose ids a worker remembers
+CACHED_PIECES = 300_000    # pieces whose ids a worker remembers
 # Lower-casing, composition and the splitting classes of these characters depend on nothing around them.
 _PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ÿ]*")
 _PIECES = "('s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+)"
@@ -101,7 +101,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def batches_of(texts: list, most_chars: int = 4 << 20):
+def batches_of(texts: list, most_chars: int = 2 << 20):
     """Slices of a list of texts of about ``most_chars`` characters each, as (from, to)."""
     start, size = 0, 0
     for i, text in enumerate(texts):

@@ -58,15 +58,21 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of whole texts and the end id, as 32-bit integers."""
+def id_type(tokenizer: str, end_id: int) -> str:
+    """The narrowest integers that hold the tokenizer's ids on their way to the files."""
+    return "<u2" if max(encoder(tokenizer).vocabulary - 1, end_id) < 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: str, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): the token ids of whole texts and the end id, as integers of ``kind``."""
     end = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for i, j in batches_of(texts):
-                found = [x + end for x in encoder(tokenizer).encode(texts[i:j])]
+                found = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder(tokenizer).encode(texts[i:j])]
                 yield pa.record_batch([ids.slice(i, j - i), pa.array(found, pa.binary())], names=["doc_id", "ids"])
 
     size_batches(docs.sparkSession)
@@ -74,7 +80,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id"
             .mapInArrow(run, "doc_id long, ids binary"))
 
 
-def ranked(ids: DataFrame) -> np.ndarray:
+def ranked(ids: DataFrame, kind: str) -> np.ndarray:
     """Ids of the vocabulary that occur, most frequent first (ties: smaller id).
 
     The tasks count; the driver gets a row for each id of the vocabulary.
@@ -83,7 +89,7 @@ def ranked(ids: DataFrame) -> np.ndarray:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for run_ids in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(run_ids, "<u4"))
+                found = np.bincount(np.frombuffer(run_ids, kind))
                 if len(found) > len(total):
                     found[:len(total)] += total
                     total = found
@@ -103,8 +109,10 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
     are made once for the counts, the range bounds and the files.
     """
     spark = docs.sparkSession
-    ids = landed(encoded(docs, tokenizer, end_id), "token-ids")
-    by_rank = ranked(ids)
+    kind = id_type(tokenizer, end_id)
+    wide = np.dtype(kind).itemsize
+    ids = landed(encoded(docs, tokenizer, end_id, kind), "token-ids")
+    by_rank = ranked(ids, kind)
     with create(f"{folder}/ranks.u32") as out:
         out.write(by_rank.tobytes())
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, "<u4")
@@ -112,8 +120,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
     shared = spark.sparkContext.broadcast(rank_of)                # the vocabulary's size
 
     def block(rows: list[tuple[int | None, bytes]]) -> bytes:
-        counts = np.asarray([len(x) // 4 for _, x in rows], "<u8")
-        control, data = packed(shared.value[np.frombuffer(b"".join(x for _, x in rows), "<u4")])
+        counts = np.asarray([len(x) // wide for _, x in rows], "<u8")
+        control, data = packed(shared.value[np.frombuffer(b"".join(x for _, x in rows), kind)])
         head = np.asarray([len(rows), counts.sum(), len(control), len(data)], _HEADER)
         names = np.asarray([d or 0 for d, _ in rows], "<i8")
         nulls = np.asarray([d is None for d, _ in rows], np.uint8)
@@ -124,7 +132,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
         for batch in batches:
             for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.append(row)
-                size += len(row[1]) // 4
+                size += len(row[1]) // wide
                 if size >= BLOCK_IDS:
                     out = out or create(path)
                     out.write(block(held))
