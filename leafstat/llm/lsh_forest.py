@@ -82,7 +82,8 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     runs = flat.copy()
     with np.errstate(over="ignore"):
         for k in range(1, SHINGLE):                     # runs[i] covers words i to i + k
-            runs[:len(flat) - k] = runs[:len(flat) - k] * _M[0] + flat[k:]
+            covered = max(len(flat) - k, 0)
+            runs[:covered] = runs[:covered] * _M[0] + flat[k:]
         runs = _mixed(runs)
     out = []
     for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
