@@ -60,7 +60,7 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     every reader sees the same rows, also those that depend on the partition.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
