@@ -48,6 +48,8 @@ def read_silver_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     df = (spark.read.option("header", True).option("comment", "#")
           .option("escape", '"').option("quote", '"').option("multiLine", True)
           .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path))
+    if not df.columns:                      # nothing beside the preamble
+        return spark.createDataFrame([], schema)
     missing = [n for n in schema.fieldNames() if n not in df.columns]
     if missing:
         raise SchemaVersionError(f"{path} lacks the columns {missing}")
