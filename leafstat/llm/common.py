@@ -16,6 +16,7 @@ from leafstat.session import scratch_dir
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 _ROW_BITS = 33          # monotonically_increasing_id keeps the row in its low 33 bits
 ROWS_PER_RANGE = 2_000_000
+SALTS = 32                 # tasks that share the rows of one large group, at most
 TRUSTED_ROWS = 50_000   # trusted labelled documents that a quality model is fitted on, at most
 
 
@@ -53,17 +54,59 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"llm-{name}-{uuid.uuid4().hex}")
 
 
+_LANDED: list[str] = []    # folders that ``landed`` wrote and nobody removed yet
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     The lineage ends there, so a lost executor costs only its own tasks, and
     every reader sees the same rows, also those that depend on the partition.
+    The folder stays until ``release`` removes it.
     """
     path = shared_folder(df.sparkSession, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    _LANDED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def landed_so_far() -> int:
+    """A mark for ``release``: what is landed from here on."""
+    return len(_LANDED)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Remove the folders landed after the mark ``since``, but for the last
+    ``keep`` of them; returns how many.  For callers that have written the
+    results made from them: a DataFrame that still reads them ends here.
+    """
+    gone = _LANDED[since:len(_LANDED) - keep]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
+    del _LANDED[since:len(_LANDED) - keep]
+    return len(gone)
+
+
+def salt(col: Column, salts: int = SALTS) -> Column:
+    """One of ``salts`` numbers by the hash of ``col``."""
+    return F.pmod(F.xxhash64(col), F.lit(salts)).cast("int")
+
+
+def with_group_value(rows: DataFrame, keys: list[str], by: str, value: Column, merge, out: str) -> DataFrame:
+    """``rows`` with ``out``: an aggregate of their group, without one task for a large group.
+
+    ``value`` aggregates the rows of a group that share a salt of column
+    ``by``, ``merge`` those salts' values.  The join back is by group and
+    salt, so a group of any size is met by up to SALTS tasks.
+    """
+    salted = rows.withColumn("_salt", salt(F.col(by)))
+    part = salted.groupBy(*keys, "_salt").agg(value.alias("_v"))
+    whole = part.groupBy(*keys).agg(merge("_v").alias(out))
+    return salted.join(part.drop("_v").join(whole, keys), [*keys, "_salt"]).drop("_salt")
+
+
 def size_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Rows in an Arrow batch, where the session names none: texts are long,
     and a Python worker holds one batch at a time."""

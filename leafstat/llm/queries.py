@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafstat.llm import bottomk, bpe_automaton, dsir, licenses, llr_rules, lsh_forest, packing, shard, vbyte, warc
+from leafstat.llm import (bottomk, bpe_automaton, concatenated, covering, dsir, licenses, llr_rules, lsh_forest, packing,
+                          prefix_trie, shard, vbyte, warc)
 from leafstat.llm.common import documents, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +109,22 @@ SQL["op4_license_digests"] = licenses.oracle_sql()
 def op5_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, number of links and copies of every document."""
     return lsh_forest.joined(documents(spark, sf_dir))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    return prefix_trie.rebuilt_trie(documents(spark, sf_dir, "conversations")).drop("n1", "n2")
+
+
+@query
+def op12_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    return covering.linked(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id", "n_equal")
+
+
+@query
+def op13_concatenated_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features, weight, score and rank of every document, drawn towards the benchmark's texts."""
+    found = concatenated.resampled(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank", "n_words")
