@@ -24,7 +24,6 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
     Rows whose group keys are NULL form a group of their own.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(o) if isinstance(o, str) else o for o in order_cols]
     names = list(values)
     t = df
@@ -34,14 +33,18 @@ def running_totals(df: DataFrame, group_cols: list[str], order_cols: list, value
         elif isinstance(v, str):
             v = F.col(v)
         t = t.withColumn(f"_rt_v{i}", v)
-    # Explicit partition count: AQE must not coalesce these partitions,
-    # since the partition id is part of the chunk key.  The partition id is
-    # then frozen with a reliable checkpoint (written to the shared
-    # spark.checkpoint.dir): both branches below read the same assignment
-    # even if a branch is recomputed after an executor loss, and range
-    # bounds sampled from a shuffled input cannot differ between them.
-    t = (t.repartitionByRange(n, *[F.col(g) for g in group_cols], *order)
-         .withColumn("_rt_pid", F.spark_partition_id()))
+    # Without a count AQE starts from its initial partition number, which
+    # ``session.size_shuffles`` raises with the input, and merges neighbouring
+    # ranges up to its advisory size: the chunks follow the bytes that arrive.
+    # The partition id is then frozen with a reliable checkpoint (written to
+    # the shared spark.checkpoint.dir): both branches below read the same
+    # assignment even if a branch is recomputed after an executor loss, and
+    # range bounds sampled from a shuffled input cannot differ between them.
+    # ``get_spark`` has Spark remove the checkpoint's files when the result
+    # is no longer referenced.
+    by = [*[F.col(g) for g in group_cols], *order]
+    ranged = t.repartitionByRange(num_partitions, *by) if num_partitions else t.repartitionByRange(*by)
+    t = ranged.withColumn("_rt_pid", F.spark_partition_id())
     from leafstat.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     t = t.checkpoint(eager=True)

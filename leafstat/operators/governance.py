@@ -35,12 +35,15 @@ def _hash_of(spark: SparkSession, upn: str) -> str:
 
 def forget_user_in_table(spark: SparkSession, root: str, upn: str, table: str = "user_views") -> int:
     """G3 on storage: rewrite only the day partitions that hold the person's
-    hash, without their rows (dynamic partition overwrite); returns the number
-    of rewritten days.  Gold tables are rebuilt from silver afterwards."""
+    hash, without their rows (by the redo log of ``sources.days``); returns the
+    number of rewritten days.  Gold tables are rebuilt from silver afterwards."""
+    from leafstat.sources import days as dy
+    from leafstat.sources import versions
     from leafstat.sources.files import path_exists, read_table, write_schema_version
-    path = f"{root.rstrip('/')}/{table}"
+    path = versions.current(spark, f"{root.rstrip('/')}/{table}")
     if not path_exists(spark, path):
         return 0
+    dy.recover(spark, path)
     part = sch.PARTITION_COL[table]
     h = _hash_of(spark, upn)
     t = read_table(spark, root, table)
@@ -49,19 +52,8 @@ def forget_user_in_table(spark: SparkSession, root: str, upn: str, table: str =
     if not days:
         return 0
     kept = t.filter(F.col(part).isin(days) & ~F.col("user_id_hash").eqNullSafe(F.lit(h)))
-    # Cut the lineage before overwriting the partitions it was read from.
-    kept = kept.checkpoint(eager=True)
-    (kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part).parquet(path))
-    # A day that held only this person's rows gets no output above, so dynamic
-    # overwrite would leave it in place: drop its folder instead.
-    left = {r[0] for r in kept.select(part).distinct().collect()}
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in days:
-        if d not in left:
-            hp = jvm.org.apache.hadoop.fs.Path(f"{path}/{part}={d.isoformat()}")
-            hp.getFileSystem(conf).delete(hp, True)
+    # A day that held only this person's rows is emptied.
+    dy.replace_days(kept, path, part, sch.KEYS[table], days)
     write_schema_version(spark, path)
     return len(days)
 
@@ -129,3 +121,26 @@ def retain_bronze(spark: SparkSession, root: str, today: _dt.date, days: int = 9
         hp = jvm.org.apache.hadoop.fs.Path(p)
         hp.getFileSystem(conf).delete(hp, True)
     return dropped
+
+
+def retain_bronze_table(spark: SparkSession, name: str, today: _dt.date, days: int = 90, part: str = "dt") -> list[str]:
+    """G1 on a catalog table: drop the day partitions older than the cut-off.
+    Only partition metadata and whole folders change, no row is read."""
+    cutoff = (today - _dt.timedelta(days=days)).isoformat()
+    have = [r[0].split("/")[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()]
+    old = sorted({d for d in have if d < cutoff})
+    if old:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS " + ", ".join(f"PARTITION ({part} = '{d}')" for d in old))
+    return old
+
+
+def write_bronze_table(df: DataFrame, name: str, run_date: _dt.date, part: str = "dt") -> None:
+    """K1 on a catalog table: the run's day partition is replaced, other days stay.
+    An empty run clears its day, which overwriting by rows alone would not."""
+    spark = df.sparkSession
+    rows = df.withColumn(part, F.lit(run_date.isoformat()))
+    if not spark.catalog.tableExists(name):
+        rows.write.format("parquet").partitionBy(part).saveAsTable(name)
+        return
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part} = '{run_date.isoformat()}')")
+    rows.select(*spark.table(name).columns).write.mode("append").insertInto(name)

@@ -8,8 +8,6 @@ the whole log are fine here; no window in this module runs over facts.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,59 +130,38 @@ def run_severity(runs: DataFrame, fail_pct: int = 22, sev2_pct: int = 25, sev2_s
                     "hours_since_ok", sev.alias("severity"))
 
 
-def run_scope_drop(runs: DataFrame, col: str = "reports") -> DataFrame:
-    """A run whose scope (reports) is smaller than the previous run's."""
+def run_scope_drop(runs: DataFrame, cols: tuple[str, ...] = ("reports", "workspaces")) -> DataFrame:
+    """A run whose scope (reports or workspaces, as far as the log has them) is
+    smaller than the previous run's."""
+    cols = tuple(c for c in cols if c in runs.columns)
     w = Window.orderBy("run_date")
-    prev = F.lag(col).over(w)
-    return runs.select("run_date", col, prev.alias(f"prev_{col}"),
-                       F.coalesce(F.col(col) < prev, F.lit(False)).alias("scope_dropped"))
-
-
-def run_summary(since: _dt.date, until: _dt.date, pv: DataFrame, catalog: DataFrame, rv: DataFrame,
-                uv: DataFrame, unused: DataFrame, workspaces: DataFrame, reports: DataFrame,
-                not_bootstrapped: DataFrame | None = None, sample: int = 10) -> DataFrame:
-    """K5: one summary record for a collection run (counts per feed, unused
-    counts and a first-10 sample, back-compat ``rows``)."""
-    spark = pv.sparkSession
-    cnt = (lambda df: df.select(F.count(F.lit(1))).scalar())
-    first = (unused.select(F.struct("workspace_name", "report_name", "page_ordinal", "page_id", "page_name").alias("s"))
-             .orderBy("s").limit(sample)
-             .agg(F.sort_array(F.collect_list("s")).alias("a"))
-             .select(F.transform("a", lambda x: F.struct(
-                 x["workspace_name"].alias("workspace_name"), x["report_name"].alias("report_name"),
-                 x["page_name"].alias("page_name"), x["page_ordinal"].alias("page_ordinal"))).alias("a")))
-    nb = (not_bootstrapped.select(F.sort_array(F.collect_set("workspace_name"))).scalar()
-          if not_bootstrapped is not None else F.array().cast("array<string>"))
-    pvc = cnt(pv)
-    return spark.range(1).select(
-        F.lit(sch.SILVER_SCHEMA_VERSION).alias("schema_version"),
-        F.lit(since).alias("since"), F.lit(until).alias("until"),
-        cnt(workspaces).alias("workspaces"), cnt(reports).alias("reports"),
-        pvc.alias("page_view_rows"), cnt(catalog).alias("page_catalog_rows"),
-        cnt(rv).alias("report_view_rows"), cnt(uv).alias("user_view_rows"),
-        cnt(unused.select(*sch.PAGE_KEY).distinct()).alias("unused_pages"),
-        cnt(unused.select(*sch.REPORT_KEY).distinct()).alias("reports_with_unused_pages"),
-        F.to_json(first.scalar()).alias("unused_pages_sample"),
-        pvc.alias("rows"),
-        F.to_json(nb).alias("workspaces_not_bootstrapped"),
-        F.lit("[]").alias("errors"),
-    )
+    prev = {c: F.lag(c).over(w) for c in cols}
+    smaller = F.lit(False)
+    for c in cols:
+        smaller = smaller | F.coalesce(F.col(c) < prev[c], F.lit(False))
+    return runs.select("run_date", *cols, *[p.alias(f"prev_{c}") for c, p in prev.items()], smaller.alias("scope_dropped"))
+
+
+#: What a run's row says of its results, without its times and places.
+SUMMARY = [c for c in sch.RUNS.fieldNames() if c not in ("run_id", "run_date", "started_at", "ended_at", "silver_path", "bronze_path")]
+
+
+def run_summary(runs: DataFrame) -> DataFrame:
+    """K5: the summary records of collection runs (``plans.collect`` appends them)."""
+    return runs.select(*SUMMARY)
 
 
 def run_metrics_json(summary: DataFrame, metric: str = "leafstat.run") -> DataFrame:
     """K6: the summary as one JSON line (ok = no errors)."""
     return summary.select(F.to_json(F.struct(
-        F.lit(metric).alias("metric"), "schema_version", "workspaces", "reports",
-        F.lit(0).alias("datasets"), "rows", F.json_array_length("errors").alias("errors"),
-        (F.json_array_length("errors") == 0).alias("ok"))).alias("line"))
+        F.lit(metric).alias("metric"), "schema_version", "workspaces", "reports", "datasets", "rows",
+        F.col("n_errors").alias("errors"), "ok")).alias("line"))
 
 
 def run_metrics_gauges(summary: DataFrame, prefix: str = "leafstat_run") -> DataFrame:
     """K6: six gauge lines labelled with the schema version."""
     g = summary.select("schema_version", F.expr(
-        "stack(6, 'workspaces', CAST(workspaces AS BIGINT), 'reports', CAST(reports AS BIGINT), "
-        "'datasets', CAST(0 AS BIGINT), 'rows', CAST(rows AS BIGINT), "
-        "'errors', CAST(json_array_length(errors) AS BIGINT), "
-        "'ok', CAST(IF(json_array_length(errors) = 0, 1, 0) AS BIGINT)) AS (gauge, value)"))
+        "stack(6, 'workspaces', workspaces, 'reports', reports, 'datasets', datasets, 'rows', rows, "
+        "'errors', n_errors, 'ok', CAST(ok AS BIGINT)) AS (gauge, value)"))
     return g.select(F.format_string(f"{prefix}_%s{{schema_version=\"%s\"}} %d",
                                     "gauge", "schema_version", "value").alias("line"))

@@ -54,9 +54,10 @@ def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
     """A1: raw events -> page-day facts (sum views, distinct users, mean dwell, top persona).
 
     One pass over the events, per (page-day, user, persona): views, dwell sum
-    and event count.  The page-day's totals and its distinct users come from
-    these rows, and its persona totals too, so a user whose events carry
-    several personas counts once.
+    and event count.  Of a user's rows in a page-day the one with the smallest
+    persona stands for the user, so that a user whose events carry several
+    personas counts once; the rows then sum up per persona and per page-day,
+    in one chain, so the raw joins run once.
     top_persona = the persona with most views, ties -> larger name.
     Names are attached after aggregation from the (deduplicated) catalog and
     the report dimension; J9: ordinal and report_total_pages come from the
@@ -68,17 +69,17 @@ def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
         F.sum("views").alias("_v"),
         F.sum("dwell_seconds").alias("_d"),
         F.count("dwell_seconds").alias("_n"))
-    # Per user first, then per page-day: the distinct users are a count of rows,
-    # and a user's few personas travel in a map to the second step.
-    users = per.groupBy(*keys, "_u").agg(
-        F.sum("_v").alias("_v"), F.sum("_d").alias("_d"), F.sum("_n").alias("_n"))
-    totals = users.groupBy(*keys).agg(
+    # The window holds one user's personas of one page-day.  Rows without a user are no user's,
+    # and spread over their personas.
+    w = Window.partitionBy(*keys, "_u", F.when(F.col("_u").isNull(), F.col("persona"))).orderBy("persona")
+    stands = F.col("_u").isNotNull() & (F.row_number().over(w) == 1)
+    personas = per.withColumn("_one", stands.cast("long")).groupBy(*keys, "persona").agg(
+        *[F.sum(c).alias(c) for c in ("_v", "_d", "_n", "_one")])
+    base = personas.groupBy(*keys).agg(
         F.sum("_v").alias("view_count"),
-        F.count("_u").alias("unique_users"),
-        safe_div(F.sum("_d"), F.sum("_n")).alias("avg_dwell_seconds"))
-    personas = (per.groupBy(*keys, "persona").agg(F.sum("_v").alias("_v"))
-                .groupBy(*keys).agg(F.max_by("persona", F.struct("_v", "persona")).alias("top_persona")))
-    base = totals.join(personas, keys, "left")
+        F.sum("_one").alias("unique_users"),
+        safe_div(F.sum("_d"), F.sum("_n")).alias("avg_dwell_seconds"),
+        F.max_by("persona", F.struct("_v", "persona")).alias("top_persona"))
     cat = catalog.select(*sch.PAGE_KEY, "page_name", "page_ordinal")
     out = (base.join(cat, sch.PAGE_KEY, "left")
            .join(rdim, sch.REPORT_KEY, "left"))

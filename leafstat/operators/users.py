@@ -100,6 +100,21 @@ def workspace_owner_rls(df: DataFrame, owners: DataFrame, upn: str) -> DataFrame
     return df.join(mine, "workspace_id", "left_semi")
 
 
+def business_unit_rls(df: DataFrame, units: DataFrame, members: DataFrame, upn: str | None = None) -> DataFrame:
+    """F10 by business unit: rows of the workspaces whose unit has the caller among
+    its members.  Without ``upn`` the caller is the session's user, resolved
+    when the query runs, so a view made of the result filters for its reader.
+    Several units, or several ways into one, give a row once (left semi joins)."""
+    caller = F.lower(F.current_user()) if upn is None else F.lit(upn.strip().lower())
+    mine = members.filter(F.lower(F.trim("member_upn")) == caller).select("business_unit")
+    return df.join(units.join(mine, "business_unit", "left_semi").select("workspace_id"), "workspace_id", "left_semi")
+
+
+def secured_view(df: DataFrame, units: DataFrame, members: DataFrame, name: str) -> None:
+    """A temporary view in which every reader sees the rows of their own business units."""
+    business_unit_rls(df, units, members).createOrReplaceTempView(name)
+
+
 def strip_identifying_names(df: DataFrame, cols=("workspace_name", "report_name")) -> DataFrame:
     """drop name columns that may carry personal identifiers before sharing."""
     return df.drop(*[c for c in cols if c in df.columns])

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leafstat.plans.lakehouse import Lakehouse
+from leafstat.sources import paths
 
 REGISTRY: dict[str, Callable[[Lakehouse], DataFrame]] = {}
 
@@ -41,13 +42,14 @@ def _load() -> None:
         REGISTRY.setdefault(alias, REGISTRY[name])
 
 
-_LAKEHOUSES: dict[tuple[str, str], Lakehouse] = {}
+_LAKEHOUSES: dict[tuple, Lakehouse] = {}
 
 
 def lakehouse_for(spark: SparkSession, sf_dir: str) -> Lakehouse:
-    """One Lakehouse per (application, input folder): the anchor date and the
-    checkpointed page catalog are computed once and shared by every query."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    """One Lakehouse per (application, input folder as it is now): the anchor date
+    and the checkpointed page catalog are computed once and shared by every
+    query, until the names, sizes or times of the input files change."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), paths.state(spark, sf_dir))
     lh = _LAKEHOUSES.get(key)
     if lh is None:
         lh = _LAKEHOUSES[key] = Lakehouse.from_star(spark, sf_dir)

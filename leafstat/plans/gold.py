@@ -69,9 +69,14 @@ def dim_report(pv: DataFrame) -> DataFrame:
         F.max_by("report_total_pages", F.struct("view_date", "report_total_pages")).alias("report_total_pages"))
 
 
-def dim_page(pv: DataFrame) -> DataFrame:
-    return pv.groupBy(*sch.PAGE_KEY).agg(
+def dim_page(pv: DataFrame, catalog: DataFrame) -> DataFrame:
+    """M4: latest name and ordinal of every page that was viewed, and those of the
+    catalog for pages that nobody viewed yet."""
+    seen = pv.groupBy(*sch.PAGE_KEY).agg(
         latest("page_name"), F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"))
+    never = dedup_catalog(catalog.select(*sch.PAGE_CATALOG.fieldNames())).join(
+        seen.select(*sch.PAGE_KEY), sch.PAGE_KEY, "left_anti")
+    return seen.unionByName(never.select(*seen.columns))
 
 
 def dim_date(pv: DataFrame) -> DataFrame:
@@ -92,7 +97,7 @@ def dashboard_payload(pv: DataFrame, catalog: DataFrame, as_of: _dt.date | None
     """K7: the dashboard data as tagged JSON lines (section, json).
 
     The reference nests every page of every report in one document; here
-    each section row (meta, workspace, report, page, day, top page,
+    each section row (meta, workspace, report, page, persona, day, top page,
     under-used page, unused page, histogram bucket) is its own line, so no
     report's page list is ever gathered into a single row or task.
     """
@@ -111,6 +116,7 @@ def dashboard_payload(pv: DataFrame, catalog: DataFrame, as_of: _dt.date | None
         ("workspace", pg.workspace_summary(pv)),
         ("report", pg.report_summary(pv)),
         ("page", pg.page_detail(pv, catalog, totals=totals, missing=missing)),
+        ("persona", pg.persona_breakdown(pv)),
         ("day", rp.daily_trend(pv)),
         ("top_page", pg.top_pages(pv, totals=totals)),
         ("underused_page", pg.underused_dashboard(pv, totals=totals)),

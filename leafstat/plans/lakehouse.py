@@ -1,9 +1,10 @@
 """The silver set: the five conformed tables plus the feeds they come from.
 
 ``Lakehouse.from_star`` derives everything lazily from the supplied tables
-(no data moves until a query runs); ``Lakehouse.from_path`` reads tables
-written by ``leafstat.sources.files.write_silver``.  Every query function
-takes a Lakehouse, so the same code answers on raw-derived or stored silver.
+(no data moves until a query runs); ``Lakehouse.from_path`` reads what
+``Lakehouse.store`` wrote.  Every query function takes a Lakehouse, so the
+same code answers on raw-derived or stored silver, and on any source: a feed
+that a source lacks is empty (``sources.telemetry``).
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.dates import DEFAULT_DAYS, as_of_date, window_bounds
 from leafstat.operators import silver as sv
+from leafstat.sources.telemetry import Feeds
 
 
 class Lakehouse:
@@ -24,7 +26,9 @@ class Lakehouse:
                  as_of: _dt.date | None = None):
         self.spark = spark
         self.source = source
+        self.feeds = Feeds(spark, source)
         self._tables = tables or {}
+        self.stored: dict[str, str] = {}        # folders that queries wrote once for several of them
         self._as_of = as_of
 
     @classmethod
@@ -37,19 +41,35 @@ class Lakehouse:
 
     @classmethod
     def from_path(cls, spark: SparkSession, root: str, source=None) -> "Lakehouse":
+        """Silver and side feeds as stored; a side feed that ``source`` has wins."""
         from leafstat.sources.files import load_table, path_exists
+        from leafstat.sources.stored import StoredSource
         tables = {n: load_table(spark, "parquet", root, n) for n in sch.SILVER
                   if path_exists(spark, f"{root.rstrip('/')}/{n}")}
-        return cls(spark, source=source, tables=tables)
+        return cls(spark, source=source or StoredSource(spark, root), tables=tables)
+
+    def store(self, root: str) -> "Lakehouse":
+        """Land the silver tables and side feeds, each once, and read them back.
+        ``unused_pages`` is made from the landed catalog and facts."""
+        from leafstat.sources.files import write_table
+        from leafstat.sources.stored import store_side
+        pulled = _dt.datetime.combine(self.as_of, _dt.time())
+        store_side(self.feeds, root, catalog=(pulled,) if self.source is not None else ())
+        for name in ("page_catalog", "page_views", "report_views", "user_views"):
+            write_table(getattr(self, name), root, name)
+        landed = Lakehouse.from_path(self.spark, root)
+        write_table(landed.unused_pages, root, "unused_pages")
+        return Lakehouse.from_path(self.spark, root)
 
     # -- anchor ----------------------------------------------------------
     @cached_property
     def as_of(self) -> _dt.date:
         if self._as_of is not None:
             return self._as_of
-        if self.source is not None and hasattr(self.source, "as_of") and "page_views" not in self._tables:
-            return self.source.as_of()
-        return as_of_date(self.page_views)
+        if "page_views" in self._tables:
+            return as_of_date(self.page_views)
+        raw = self.feeds.has("raw_page_events")         # the facts need the anchor for their catalog
+        return self.feeds.date("as_of") or as_of_date(self.events if raw else self.page_views)
 
     def window(self, days: int = DEFAULT_DAYS) -> tuple[_dt.date, _dt.date]:
         return window_bounds(self.as_of, days)
@@ -57,7 +77,7 @@ class Lakehouse:
     # -- feeds -----------------------------------------------------------
     @cached_property
     def events(self) -> DataFrame:
-        return self.source.raw_page_events()
+        return self.feeds.get("raw_page_events")
 
     def land_events(self, storage_level=None) -> DataFrame:
         """Materialise the raw events once (the landing step) so the three
@@ -71,31 +91,29 @@ class Lakehouse:
 
     @cached_property
     def visits(self) -> DataFrame:
-        return self.source.report_visits(self.events)
+        return self.feeds.get("report_visits", self.events)
 
     @cached_property
     def workspaces(self) -> DataFrame:
-        return self.source.workspaces()
+        return self.feeds.get("workspaces")
 
     @cached_property
     def reports(self) -> DataFrame:
-        return self.source.reports()
+        return self.feeds.get("reports")
 
     @cached_property
     def first_date(self) -> _dt.date:
-        if self.source is not None and hasattr(self.source, "first_date") and "page_views" not in self._tables:
-            return self.source.first_date()
-        return self.page_views.select(F.min("view_date")).first()[0]
+        known = None if "page_views" in self._tables else self.feeds.date("first_date")
+        return known or self.page_views.select(F.min("view_date")).first()[0] or self.as_of
 
     def side(self, name: str) -> DataFrame:
-        """Side tables of the source: workspace_owners, people, datasets,
-        runs_from_events, runs_from_volume."""
-        return getattr(self.source, name)()
+        """A side feed (``sources.telemetry.SIDE_FEEDS``), empty where the source lacks it."""
+        return self.feeds.get(name)
 
     @cached_property
     def catalog_full(self) -> DataFrame:
         """Catalog with the report_total_pages sidecar column."""
-        return self.source.catalog(_dt.datetime.combine(self.as_of, _dt.time()))
+        return self.feeds.get("catalog", _dt.datetime.combine(self.as_of, _dt.time()))
 
     @cached_property
     def rdim(self) -> DataFrame:
@@ -113,17 +131,28 @@ class Lakehouse:
     def page_catalog(self) -> DataFrame:
         return self._t("page_catalog", lambda: sv.conform(self.catalog_full, sch.PAGE_CATALOG))
 
+    def _daily(self, name: str, raw: str, build) -> DataFrame:
+        """A fact table: built from its raw feed, or the daily rows that the source has instead."""
+        if self.feeds.has(raw):
+            return build()
+        return sv.conform(self.feeds.get(name), sch.SILVER[name])
+
     @property
     def page_views(self) -> DataFrame:
-        return self._t("page_views", lambda: sv.page_views_daily(self.events, self.catalog_full, self.rdim))
+        return self._t("page_views", lambda: self._daily(
+            "page_views", "raw_page_events", lambda: sv.page_views_daily(self.events, self.catalog_full, self.rdim)))
 
     @property
     def report_views(self) -> DataFrame:
-        return self._t("report_views", lambda: sv.report_views_daily(self.visits, self.rdim))
+        if not (self.feeds.has("report_visits") or self.feeds.has("report_views")):
+            return self._t("report_views", lambda: sv.report_views_rollup(self.page_views))     # A4
+        return self._t("report_views", lambda: self._daily(
+            "report_views", "report_visits", lambda: sv.report_views_daily(self.visits, self.rdim)))
 
     @property
     def user_views(self) -> DataFrame:
-        return self._t("user_views", lambda: sv.user_views_daily(self.events, self.rdim))
+        return self._t("user_views", lambda: self._daily(
+            "user_views", "raw_page_events", lambda: sv.user_views_daily(self.events, self.rdim)))
 
     @property
     def unused_pages(self) -> DataFrame:

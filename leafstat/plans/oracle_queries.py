@@ -1,6 +1,6 @@
 """Oracle SQL bodies, one per catalogue query (see ``oracle.STAR``)."""
 
-from leafstat.plans.oracle import CAT_COLS, PV_COLS, q
+from leafstat.plans.oracle import CAT_COLS, PV_COLS, _Q, q
 
 q("page_views_daily", f"SELECT {PV_COLS} FROM pv")
 q("report_views_daily", "SELECT * FROM rv")
@@ -359,19 +359,29 @@ SELECT run_date, reports, errors, failed, consecutive_failures, hours_since_ok,
             WHEN consecutive_failures >= 2 OR errors * 100 > reports * 25 THEN 'SEV-2'
             WHEN failed THEN 'SEV-3' ELSE '' END AS severity
 FROM c""")
-q("run_scope_drop", "WITH " + ERUNS + """
-SELECT run_date, reports, LAG(reports) OVER (ORDER BY run_date) AS prev_reports,
-       COALESCE(reports < LAG(reports) OVER (ORDER BY run_date), false) AS scope_dropped FROM er""")
-q("bronze_snapshot_diff", """
-WITH a AS (SELECT DISTINCT workspace_id, report_id, workspace_name AS name_before FROM pv, anchor
-           WHERE view_date = anchor.as_of - 1),
-b AS (SELECT DISTINCT workspace_id, report_id, workspace_name AS name_after FROM pv, anchor
-      WHERE view_date = anchor.as_of)
-SELECT COALESCE(a.workspace_id, b.workspace_id) AS workspace_id, COALESCE(a.report_id, b.report_id) AS report_id,
-       a.name_before, b.name_after,
+q("run_scope_drop", """
+WITH er AS (SELECT CAST(ts AS DATE) AS run_date, COUNT(*) AS reports, COUNT(DISTINCT user_id) AS workspaces FROM events GROUP BY 1),
+p AS (SELECT *, LAG(reports) OVER (ORDER BY run_date) AS prev_reports,
+             LAG(workspaces) OVER (ORDER BY run_date) AS prev_workspaces FROM er)
+SELECT *, COALESCE(reports < prev_reports, false) OR COALESCE(workspaces < prev_workspaces, false) AS scope_dropped FROM p""")
+_FEEDS = {"page_views": "pv", "page_catalog": "catalog", "report_views": "rv", "user_views": "uv"}
+
+
+def _snapshot(feed: str, table: str) -> str:
+    at = (lambda back: "" if feed == "page_catalog" else f"AND t.view_date = anchor.as_of - {back}")
+    return f"""
+SELECT '{feed}' AS feed, COALESCE(a.workspace_id, b.workspace_id) AS workspace_id,
+       COALESCE(a.report_id, b.report_id) AS report_id, a.name_before, b.name_after,
        CASE WHEN b.name_after IS NULL THEN 'missing' WHEN a.name_before IS NULL THEN 'new'
             WHEN a.name_before <> b.name_after THEN 'renamed' ELSE 'same' END AS status
-FROM a FULL JOIN b ON a.workspace_id = b.workspace_id AND a.report_id = b.report_id""")
+FROM (SELECT DISTINCT t.workspace_id, t.report_id, t.workspace_name AS name_before FROM {table} t, anchor
+      WHERE true {at(1)}) a
+FULL JOIN (SELECT DISTINCT t.workspace_id, t.report_id, CASE WHEN t.workspace_id = 'ws-1' THEN t.workspace_name || ' (new)'
+                  ELSE t.workspace_name END AS name_after FROM {table} t, anchor WHERE true {at(0)}) b
+  ON a.workspace_id = b.workspace_id AND a.report_id = b.report_id"""
+
+
+q("bronze_snapshot_diff", " UNION ALL ".join(_snapshot(f, t) for f, t in _FEEDS.items()))
 q("workspace_capacity", "SELECT workspace_id, workspace_name, capacity_name FROM ws")
 q("active_workspaces", "SELECT 'Workspace' AS type, 'Active' AS state, * FROM ws")
 q("standard_reports", """
@@ -390,10 +400,13 @@ GROUP BY w.workspace_name"""
 q("not_bootstrapped_workspaces", NB)
 SUMMARY = f"""
 WITH nb AS ({NB}),
+failed AS (SELECT 'event ' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS scope, event_type AS error FROM events
+           WHERE event_type = 'error' AND CAST(ts AS DATE) = (SELECT MAX(CAST(ts AS DATE)) FROM events)),
 summary AS (
 SELECT '1.2.0' AS schema_version, win.lo AS since, win.hi AS until,
        (SELECT COUNT(*) FROM ws) AS workspaces,
        (SELECT COUNT(*) FROM (SELECT DISTINCT report_id FROM cat)) AS reports,
+       (SELECT COUNT(DISTINCT n_regionkey) FROM nation WHERE starts_with(n_name, 'NATION_5')) AS datasets,
        (SELECT COUNT(*) FROM pv90) AS page_view_rows, (SELECT COUNT(*) FROM catalog) AS page_catalog_rows,
        (SELECT COUNT(*) FROM rv90) AS report_view_rows, (SELECT COUNT(*) FROM uv90) AS user_view_rows,
        (SELECT COUNT(*) FROM unused) AS unused_pages,
@@ -404,60 +417,73 @@ SELECT '1.2.0' AS schema_version, win.lo AS since, win.hi AS until,
         FROM (SELECT * FROM unused ORDER BY workspace_name, report_name, page_ordinal, page_id, page_name LIMIT 10))
          AS unused_pages_sample,
        (SELECT COUNT(*) FROM pv90) AS "rows",
-       (SELECT to_json(list(DISTINCT workspace_name ORDER BY workspace_name)) FROM nb) AS workspaces_not_bootstrapped,
-       '[]' AS errors
+       CAST((SELECT COALESCE(SUM(reports_skipped), 0) FROM nb) AS BIGINT) AS reports_skipped_no_bootstrap,
+       (SELECT COALESCE(to_json(list(workspace_name ORDER BY workspace_name)), '[]')
+        FROM (SELECT workspace_name FROM nb ORDER BY workspace_name LIMIT 100)) AS workspaces_not_bootstrapped,
+       '[]' AS reports_without_catalog,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT report_id FROM cat) r
+        WHERE report_id NOT IN (SELECT report_id FROM catalog)) AS n_reports_without_catalog,
+       (SELECT COALESCE(to_json(list(struct_pack(scope := scope, error := error) ORDER BY scope, error)), '[]')
+        FROM (SELECT * FROM failed ORDER BY scope, error LIMIT 100)) AS errors,
+       (SELECT COUNT(*) FROM failed) AS n_errors, (SELECT COUNT(*) FROM failed) = 0 AS ok
 FROM win)
 """
 q("run_summary", SUMMARY + "SELECT * FROM summary")
 q("run_metrics_json", SUMMARY + """
 SELECT to_json(struct_pack(metric := 'leafstat.run', schema_version := schema_version, workspaces := workspaces,
-                           reports := reports, datasets := 0, "rows" := "rows", errors := 0, ok := true)) AS line
+                           reports := reports, datasets := datasets, "rows" := "rows", errors := n_errors, ok := ok)) AS line
 FROM summary""")
 q("run_metrics_gauges", SUMMARY + """
 SELECT printf('leafstat_run_%s{schema_version="%s"} %d', g, schema_version, v) AS line FROM (
   SELECT 'workspaces' AS g, workspaces AS v, schema_version FROM summary
   UNION ALL SELECT 'reports', reports, schema_version FROM summary
-  UNION ALL SELECT 'datasets', 0, schema_version FROM summary
+  UNION ALL SELECT 'datasets', datasets, schema_version FROM summary
   UNION ALL SELECT 'rows', "rows", schema_version FROM summary
-  UNION ALL SELECT 'errors', 0, schema_version FROM summary
-  UNION ALL SELECT 'ok', 1, schema_version FROM summary)""")
+  UNION ALL SELECT 'errors', n_errors, schema_version FROM summary
+  UNION ALL SELECT 'ok', CAST(ok AS BIGINT), schema_version FROM summary)""")
+q("business_unit_rls", f"""
+WITH members AS (
+  SELECT 'BU-' || CAST(n_regionkey % 3 AS VARCHAR) AS unit, lower(n_name) || '@example.com' AS upn FROM nation
+  UNION ALL SELECT 'BU-' || CAST(n_nationkey % 2 AS VARCHAR), lower(n_name) || '@example.com' FROM nation WHERE n_nationkey < 7)
+SELECT {PV_COLS} FROM pv90 WHERE workspace_id IN (
+  SELECT 'ws-' || CAST(r_regionkey AS VARCHAR) FROM region
+  JOIN members ON unit = 'BU-' || CAST(r_regionkey % 3 AS VARCHAR) WHERE upn = 'nation_6@example.com')""")
 
 # -- storage, payloads, gold -------------------------------------------------
-q("silver_csv_roundtrip", f"SELECT {PV_COLS} FROM pv90")
-q("silver_parquet_roundtrip", f"SELECT {PV_COLS} FROM pv90")
-q("upsert_page_views", f"""
-SELECT {PV_COLS.replace('view_count,', 'CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,')}
-FROM pv90, win""")
-q("upsert_report_views", """
-SELECT workspace_id, workspace_name, capacity_name, report_id, report_name, view_date,
-       CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,
-       unique_users, avg_session_seconds FROM rv90, win""")
-q("upsert_user_views", """
-SELECT workspace_id, workspace_name, report_id, report_name, user_id_hash, view_date,
-       CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count,
-       distinct_pages_viewed FROM uv90, win""")
+RV_COLS = ("workspace_id, workspace_name, capacity_name, report_id, report_name, view_date, view_count, unique_users, "
+           "avg_session_seconds")
+UV_COLS = ("workspace_id, workspace_name, report_id, report_name, user_id_hash, view_date, view_count, distinct_pages_viewed")
+_SILVER = {"page_views": (PV_COLS, "pv"), "page_catalog": (CAT_COLS, "catalog"), "report_views": (RV_COLS, "rv"),
+           "user_views": (UV_COLS, "uv"), "unused_pages": (CAT_COLS, "unused")}
+for _mode in ("csv", "parquet"):
+    for _table, (_cols, _cte) in _SILVER.items():
+        q(f"silver_{_mode}_roundtrip" + ("" if _table == "page_views" else f"_{_table}"), f"SELECT {_cols} FROM {_cte}")
+_STALE = "CASE WHEN view_date < win.lo + 30 THEN view_count * 2 ELSE view_count END AS view_count"
+for _table in ("page_views", "report_views", "user_views"):
+    _cols, _cte = _SILVER[_table]
+    q(f"upsert_{_table}", f"SELECT {_cols.replace('view_count', _STALE)} FROM {_cte}, win")
 q("replace_page_catalog", f"SELECT {CAT_COLS} FROM catalog")
 q("replace_unused_pages", "SELECT * FROM unused")
-q("write_bronze", f"""
-SELECT {PV_COLS}, anchor.as_of - 1 AS dt FROM pv, anchor
-WHERE view_date BETWEEN anchor.as_of - 90 AND anchor.as_of - 1
+for _feed in _FEEDS:
+    _cols, _cte = _SILVER[_feed]
+    _upto = "true" if _feed == "page_catalog" else "view_date <= anchor.as_of - 1"
+    q("write_bronze" + ("" if _feed == "page_views" else f"_{_feed}"), f"""
+SELECT {_cols}, anchor.as_of - 1 AS dt FROM {_cte}, anchor WHERE {_upto}
 UNION ALL
-SELECT {PV_COLS}, anchor.as_of AS dt FROM pv, anchor WHERE view_date BETWEEN anchor.as_of - 89 AND anchor.as_of""")
-q("retain_bronze", f"""
-SELECT {PV_COLS}, view_date AS dt FROM pv, anchor
-WHERE view_date = anchor.as_of - 90 OR view_date = anchor.as_of""")
+SELECT {_cols}, anchor.as_of AS dt FROM {_cte}, anchor""")
+q("retain_bronze", f"SELECT {PV_COLS}, view_date AS dt FROM pv, anchor WHERE view_date >= anchor.as_of - 90")
 q("export_unused_by_workspace", "SELECT * FROM unused")
-q("table_row_counts", """
-SELECT 'page_views' AS table_name, (SELECT COUNT(*) FROM pv90) AS row_count
-UNION ALL SELECT 'page_catalog', (SELECT COUNT(*) FROM catalog)
-UNION ALL SELECT 'report_views', (SELECT COUNT(*) FROM rv90)
-UNION ALL SELECT 'user_views', (SELECT COUNT(*) FROM uv90)
-UNION ALL SELECT 'unused_pages', (SELECT COUNT(*) FROM unused)""")
+q("table_row_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {c}) AS row_count" for t, (_, c) in _SILVER.items()))
 q("read_catalog_sidecar", """
 SELECT workspace_id, workspace_name, report_id, report_name, page_id, page_name, page_ordinal, report_total_pages
 FROM catalog""")
 q("flatten_usage_payload", """
-SELECT report_id, page_name AS page_id, page_name, view_date, view_count, unique_users, avg_dwell_seconds FROM pv90""")
+SELECT report_id, page_name AS page_id, page_name, view_date, view_count, unique_users, avg_dwell_seconds FROM pv""")
+q("flatten_report_payload", "SELECT report_id, view_date, view_count, unique_users, avg_session_seconds FROM rv")
+q("flatten_user_payload", "SELECT report_id, user_id_hash, view_date, view_count, distinct_pages_viewed FROM uv")
+q("corrupt_payloads", """
+SELECT CAST((SELECT COUNT(*) FROM nation) AS BIGINT) AS corrupt, (SELECT COUNT(*) FROM rv) AS "rows" """)
 q("catalog_from_pages_payload", f"SELECT {CAT_COLS} FROM catalog")
 q("catalog_with_overlay", f"SELECT {CAT_COLS} FROM catalog")
 q("kpi_page_usage_daily", """
@@ -493,9 +519,14 @@ FROM pv GROUP BY workspace_id""")
 q("dim_report", """
 SELECT workspace_id, report_id, MAX(report_name) AS report_name, MAX(report_total_pages) AS report_total_pages
 FROM pv GROUP BY workspace_id, report_id""")
-q("dim_page", """
+DIM_PAGE = """
 SELECT workspace_id, report_id, page_id, MAX(page_name) AS page_name, MAX(page_ordinal) AS page_ordinal
-FROM pv GROUP BY workspace_id, report_id, page_id""")
+FROM pv GROUP BY workspace_id, report_id, page_id
+UNION ALL
+SELECT workspace_id, report_id, page_id, page_name, page_ordinal FROM catalog c
+WHERE NOT EXISTS (SELECT 1 FROM pv WHERE pv.workspace_id = c.workspace_id AND pv.report_id = c.report_id AND pv.page_id = c.page_id)"""
+q("dim_page", DIM_PAGE)
+q("gold_dim_page_refreshed", DIM_PAGE)
 q("dim_date", """
 SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
        CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS iso_day_of_week
@@ -536,6 +567,9 @@ SELECT 'meta' AS section, to_json(m) AS json FROM meta m
 UNION ALL SELECT 'workspace', to_json(w) FROM wsum w
 UNION ALL SELECT 'report', to_json(r) FROM rsum r
 UNION ALL SELECT 'page', to_json(d) FROM detail d
+UNION ALL SELECT 'persona', to_json(t) FROM (
+  SELECT workspace_id, report_id, top_persona AS persona, CAST(SUM(view_count) AS BIGINT) AS views
+  FROM pv90 GROUP BY workspace_id, report_id, top_persona) t
 UNION ALL SELECT 'day', to_json(t) FROM (SELECT view_date, CAST(SUM(view_count) AS BIGINT) AS views FROM pv90
                                         GROUP BY view_date) t
 UNION ALL SELECT 'top_page', to_json(t) FROM (
@@ -548,6 +582,9 @@ UNION ALL SELECT 'unused_page', to_json(t) FROM (
   SELECT workspace_name, report_name, page_name, page_ordinal FROM miss) t
 UNION ALL SELECT 'bucket', to_json(b) FROM buckets b""")
 
+_Q["gold_page_usage_refreshed"] = _Q["kpi_page_usage_daily"]
+_Q["gold_fact_refreshed"] = _Q["fact_page_views"]
+
 # -- filters and unions ------------------------------------------------------
 q("report_filter", f"SELECT {PV_COLS} FROM pv90 WHERE report_id = 'Brand#1'")
 q("enrich_blank_identity", f"SELECT {PV_COLS} FROM pv90")

@@ -49,6 +49,18 @@ CATALOG_SIDECAR = _st(
     ("page_id", S), ("page_name", S), ("page_ordinal", I), ("report_total_pages", I),
 )
 
+# One row for each collection run (K5).  Lists are JSON, of at most RUN_LIST entries; counts are whole.
+RUN_LIST = 100
+RUNS = _st(
+    ("run_id", S), ("schema_version", S), ("run_date", DT), ("started_at", TS), ("ended_at", TS), ("since", DT), ("until", DT),
+    ("workspaces", L), ("reports", L), ("datasets", L),
+    ("page_view_rows", L), ("page_catalog_rows", L), ("report_view_rows", L), ("user_view_rows", L),
+    ("unused_pages", L), ("reports_with_unused_pages", L), ("unused_pages_sample", S), ("rows", L),
+    ("reports_skipped_no_bootstrap", L), ("workspaces_not_bootstrapped", S),
+    ("reports_without_catalog", S), ("n_reports_without_catalog", L),
+    ("errors", S), ("n_errors", L), ("ok", T.BooleanType()), ("silver_path", S), ("bronze_path", S),
+)
+
 SILVER = {
     "page_views": PAGE_VIEWS,
     "page_catalog": PAGE_CATALOG,

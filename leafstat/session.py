@@ -18,6 +18,7 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -41,7 +42,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith(("spark.ui", "spark.driver", "spark.executor")):
+        if not k.startswith(("spark.ui", "spark.driver", "spark.executor", "spark.cleaner")):
             try:
                 spark.conf.set(k, v)
             except Exception:  # static conf on an existing session
@@ -105,6 +106,13 @@ def size_shuffles(spark: SparkSession, input_bytes: int, per_reducer: int = BYTE
     return n
 
 
+def write_tasks(spark: SparkSession) -> int:
+    """Tasks for a range-partitioned write: the initial shuffle partitions, which
+    ``size_shuffles`` raises with the input.  A fixed number keeps AQE from
+    merging a small table's thousands of day files into one task."""
+    return int(spark.conf.get(_INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint directory for written tables."""
     base = ensure_checkpoint_dir(spark)

@@ -1,9 +1,9 @@
 """Landed API payloads -> typed rows.
 
-Documents are read with ``spark.read.text(wholetext=True)`` (one row per
-file) or taken from a string column, parsed JVM-side with ``from_json``
-(PERMISSIVE: a malformed document becomes NULL and yields no rows) and
-exploded.  Key lookups try the qualified column name first, then the bare
+Documents are read by ``landed_documents``, one a line or one a file, or taken
+from a string column, parsed JVM-side with ``from_json`` (PERMISSIVE: a
+malformed document becomes NULL and yields no rows) and exploded.
+``corrupt_documents`` counts those by file, so a run can report them.  Key lookups try the qualified column name first, then the bare
 one, as the API returns either form.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
@@ -45,6 +45,21 @@ ROSTER_SCHEMA = "struct<value: array<struct<name: string, displayName: string, o
 OVERLAY_ITEM_SCHEMA = "array<struct<page_id: string, page_name: string, page_ordinal: string>>"
 
 
+def landed_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """(value, file): the documents below ``path``, one a line, or one a file
+    where responses are stored as they came (pretty-printed over many lines)."""
+    docs = spark.read.text(path, wholetext=whole_files)
+    return docs.select("value", F.col("_metadata.file_path").alias("file"))
+
+
+def corrupt_documents(docs: DataFrame, col: str = "value", schema: str = RESULT_SCHEMA, key: str = "results") -> DataFrame:
+    """Per file: documents, and how many of them are no document of the expected
+    shape (not JSON, cut short, or without its top-level key).  Blank lines are none."""
+    bad = F.from_json(F.col(col), schema).getField(key).isNull()
+    return (docs.where(F.trim(F.col(col)) != "").groupBy("file")
+            .agg(F.count(F.lit(1)).alias("documents"), F.count(F.when(bad, 1)).alias("corrupt")))
+
+
 def _first_key(m: Column, keys: list[str]) -> Column:
     return F.coalesce(*[m.getItem(k) for k in keys])
 
@@ -132,43 +147,71 @@ def parse_overlay(docs: DataFrame, col: str = "value") -> DataFrame:
 
 
 # -- serialisers used to land fixtures from the silver tables ---------------
-def page_payload_docs(pv: DataFrame, page_block: int = 1000) -> DataFrame:
-    """Page-day rows re-serialised into the API result shape: one document per
-    (report, day, block of ``page_block`` ordinals) - the API answers per
-    report and window and caps a response, so a document stays bounded."""
-    row = F.create_map(
-        F.lit(PAGE_KEYS["report_id"][0]), F.col("report_id"),
-        F.lit(PAGE_KEYS["page_name"][0]), F.col("page_name"),
-        F.lit(PAGE_KEYS["view_date"][0]), F.date_format("view_date", "yyyy-MM-dd'T'00:00:00"),
-        F.lit("[Views]"), F.col("view_count").cast("string"),
-        F.lit("[UniqueUsers]"), F.col("unique_users").cast("string"),
-        F.lit("[AvgDwellSeconds]"), F.col("avg_dwell_seconds").cast("string"))
-    blk = F.floor(F.col("page_ordinal") / page_block).alias("_b")
-    g = pv.groupBy("report_id", "view_date", blk).agg(F.collect_list(row).alias("rows"))
-    doc = F.struct(F.array(F.struct(F.array(F.struct(F.col("rows").alias("rows"))).alias("tables")))
-                   .alias("results"))
+DOC_ROWS = 500             # rows of a document, about
+
+
+def _blocked(rows: DataFrame, keys: list[str], by: Column) -> DataFrame:
+    """``rows`` with ``_b``: blocks of about DOC_ROWS rows of a key.  A key's rows are
+    dealt by the hash of ``by``, over as many blocks as its count asks for, so no
+    document grows with its report."""
+    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / DOC_ROWS).cast("int").alias("_blocks"))
+    return rows.join(sizes, keys).withColumn("_b", F.pmod(F.xxhash64(by), F.col("_blocks")).cast("int")).drop("_blocks")
+
+
+def _midnight(day: str) -> Column:
+    """A date as the API writes it: an ISO time stamp at midnight."""
+    return F.date_format(day, "yyyy-MM-dd'T'00:00:00")
+
+
+def _result_docs(rows: DataFrame, by: Column, fields: dict[str, Column]) -> DataFrame:
+    """Rows re-serialised into the API result shape, a document for each (report, day, block)."""
+    keys = ["report_id", "view_date"]
+    pairs = [x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))]
+    g = _blocked(rows, keys, by).groupBy(*keys, "_b").agg(F.collect_list(F.create_map(*pairs)).alias("rows"))
+    doc = F.struct(F.array(F.struct(F.array(F.struct(F.col("rows").alias("rows"))).alias("tables"))).alias("results"))
     return g.select("report_id", "view_date", F.to_json(doc).alias("value"))
 
 
-def roster_docs(catalog: DataFrame, page_block: int = 1000) -> DataFrame:
-    """Catalog re-serialised as roster documents, at most ``page_block`` pages
-    per document (one report's roster never becomes one giant row)."""
-    blk = F.floor((F.col("page_ordinal") - 1) / page_block)
+def page_payload_docs(pv: DataFrame) -> DataFrame:
+    """Page-day rows as result documents of the page target."""
+    return _result_docs(pv, F.col("page_id"), {
+        PAGE_KEYS["report_id"][0]: F.col("report_id"), PAGE_KEYS["page_name"][0]: F.col("page_name"),
+        PAGE_KEYS["view_date"][0]: _midnight("view_date"), "[Views]": F.col("view_count"),
+        "[UniqueUsers]": F.col("unique_users"), "[AvgDwellSeconds]": F.col("avg_dwell_seconds")})
+
+
+def report_payload_docs(rv: DataFrame) -> DataFrame:
+    """Report-day rows as result documents of the report target."""
+    return _result_docs(rv, F.col("workspace_id"), {
+        REPORT_KEYS["report_id"][0]: F.col("report_id"), REPORT_KEYS["view_date"][0]: _midnight("view_date"),
+        "[Views]": F.col("view_count"), "[UniqueUsers]": F.col("unique_users"),
+        "[AvgSessionSeconds]": F.col("avg_session_seconds")})
+
+
+def user_payload_docs(user_days: DataFrame) -> DataFrame:
+    """(report_id, view_date, user_upn, view_count, distinct_pages_viewed) as result
+    documents of the user target, in which users are still named."""
+    return _result_docs(user_days, F.col("user_upn"), {
+        USER_KEYS["report_id"][0]: F.col("report_id"), USER_KEYS["user"][0]: F.col("user_upn"),
+        USER_KEYS["view_date"][0]: _midnight("view_date"), "[Views]": F.col("view_count"),
+        "[DistinctPagesViewed]": F.col("distinct_pages_viewed")})
+
+
+def roster_docs(catalog: DataFrame) -> DataFrame:
+    """Catalog re-serialised as roster documents of about DOC_ROWS pages
+    (one report's roster never becomes one giant row)."""
+    keys = ["workspace_id", "workspace_name", "report_id", "report_name"]
     item = F.struct(F.col("page_id").alias("name"), F.col("page_name").alias("displayName"),
                     F.col("page_ordinal").alias("order"))
-    g = catalog.groupBy("workspace_id", "workspace_name", "report_id", "report_name", blk.alias("_b")).agg(
-        F.collect_list(item).alias("value"))
-    return g.select("workspace_id", "workspace_name", "report_id", "report_name",
-                    F.to_json(F.struct("value")).alias("value"))
+    g = _blocked(catalog, keys, F.col("page_id")).groupBy(*keys, "_b").agg(F.collect_list(item).alias("value"))
+    return g.select(*keys, F.to_json(F.struct("value")).alias("value"))
 
 
-def overlay_docs(pages: DataFrame, comment: str = "pages that exist but were never viewed",
-                 page_block: int = 1000) -> DataFrame:
-    """Overlay documents (with a ``_comment`` key), one per report and block of
-    ``page_block`` ordinals, so no document grows with a report's size."""
+def overlay_docs(pages: DataFrame, comment: str = "pages that exist but were never viewed") -> DataFrame:
+    """Overlay documents (with a ``_comment`` key) of about DOC_ROWS pages of one
+    report, so no document grows with a report's size."""
     item = F.struct("page_id", "page_name", "page_ordinal")
-    blk = F.floor(F.col("page_ordinal") / page_block).alias("_b")
-    g = pages.groupBy("report_id", blk).agg(F.collect_list(item).alias("items"))
+    g = _blocked(pages, ["report_id"], F.col("page_id")).groupBy("report_id", "_b").agg(F.collect_list(item).alias("items"))
     # '["c"]' minus the brackets -> '"c"', then the map's members
     head = F.concat(F.lit('{"_comment":'), F.regexp_extract(F.to_json(F.array(F.lit(comment))), r"^\[(.*)\]$", 1))
     return g.select(F.concat(head, F.lit(","), F.expr("substring(to_json(map(report_id, items)), 2)"))

@@ -23,6 +23,7 @@ WORKSPACE_PREFIX = "ws-"
 CAPACITY_PREFIX = "Capacity-P"
 REPORT_NAME_PREFIX = "Report "
 UPN_DOMAIN = "@example.com"
+UNIT_PREFIX = "BU-"
 N_WORKSPACES = 5
 
 
@@ -109,7 +110,7 @@ class StarSource:
             pulled_at = _dt.datetime.combine(self.as_of(), _dt.time())
         p = self.table("part").select("p_partkey", "p_brand", "p_name")
         p = ordinal(p, ["p_brand"], ["p_partkey"], out="page_ordinal", group_total="report_total_pages")
-        ws = F.broadcast(self.workspaces())  # region: 5 rows by the TPC-H spec
+        ws = self.workspaces()      # Spark broadcasts it where its size allows that
         return (p.withColumn("workspace_id",
                              F.concat(F.lit(WORKSPACE_PREFIX), self._ws_no(F.col("p_brand")).cast("string")))
                 .join(ws, "workspace_id", "left")
@@ -174,6 +175,36 @@ class StarSource:
                         F.col("c_name").alias("display_name"),
                         F.col("c_mktsegment").alias("department"))
 
+    def workspace_units(self) -> DataFrame:
+        """Business unit of a workspace: 'BU-' || regionkey modulo 3."""
+        r = self.table("region")
+        return r.select(F.concat(F.lit(WORKSPACE_PREFIX), F.col("r_regionkey").cast("string")).alias("workspace_id"),
+                        F.concat(F.lit(UNIT_PREFIX), F.pmod("r_regionkey", F.lit(3)).cast("string")).alias("business_unit"))
+
+    def unit_members(self) -> DataFrame:
+        """Members of the units: every nation is in the one of its region, and the
+        owners (n_nationkey < 7) are in 'BU-' || nationkey modulo 2 as well."""
+        n = self.table("nation")
+        upn = F.concat(F.lower("n_name"), F.lit(UPN_DOMAIN)).alias("member_upn")
+        by_region = n.select(F.concat(F.lit(UNIT_PREFIX), F.pmod("n_regionkey", F.lit(3)).cast("string")).alias("business_unit"), upn)
+        owners = n.filter(F.col("n_nationkey") < 7).select(
+            F.concat(F.lit(UNIT_PREFIX), F.pmod("n_nationkey", F.lit(2)).cast("string")).alias("business_unit"), upn)
+        return by_region.unionByName(owners)
+
+    def collection_errors(self) -> DataFrame:
+        """Failures that the collection met: the ``error`` events of the last day of ``events``."""
+        e = self.table("events").select("event_id", "ts", "event_type")
+        last = e.select(F.max(F.to_date("ts"))).scalar()
+        return e.filter((F.col("event_type") == "error") & (F.to_date("ts") == last)).select(
+            F.concat(F.lit("event "), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("scope"),
+            F.col("event_type").alias("error"))
+
+    def runs_scope(self) -> DataFrame:
+        """Run log (scope): per day of ``events`` its events as reports, its users as workspaces."""
+        e = self.table("events").select("ts", "user_id")
+        return e.groupBy(F.to_date("ts").alias("run_date")).agg(
+            F.count(F.lit(1)).alias("reports"), F.count_distinct("user_id").alias("workspaces"))
+
     def runs_from_events(self) -> DataFrame:
         """Run log (quality): one run per day of ``events``."""
         e = self.table("events").select("ts", "event_type")

@@ -13,7 +13,7 @@ SF001 = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from leafstat.session import get_spark
-    s = get_spark("local[4]", 4, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="leafstat-test-ckpt-")})
+    s = get_spark("local[8]", 8, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="leafstat-test-ckpt-")})
     yield s
     s.stop()
 
