@@ -72,7 +72,10 @@ class Encoder:
         """Ids of plain texts, one after another, and the number of each text's ids."""
         words = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
         coded = words.flatten().dictionary_encode()
-        split = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(coded.dictionary), _PIECES, "\\1 "))
+        lower = pc.utf8_lower(coded.dictionary)
+        mixed = pc.invert(pc.utf8_is_alpha(lower))              # a word of letters alone is one piece
+        split = pc.utf8_split_whitespace(pc.replace_with_mask(
+            lower, mixed, pc.replace_substring_regex(lower.filter(mixed), _PIECES, "\\1 ")))
         parts = split.flatten().dictionary_encode()
         pieces = parts.dictionary.to_pylist()
         if len(self.pieces) > CACHED_PIECES:    # the pieces of this block stand for the frequent ones
@@ -86,13 +89,27 @@ class Encoder:
         ids, lengths = spread(ids, lengths, coded.indices.to_numpy())              # by word of a text
         return ids, sums(lengths, words.offsets.to_numpy())
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text (null: none) as little-endian unsigned 32-bit integers."""
+    def encode_run(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts (null: none), one after another, and the number of each text's ids."""
         plain = [t is None or bool(_PLAIN.fullmatch(t)) and "<|" not in t for t in texts]
         ids, counts = self._plain([t or "" if simple else "" for t, simple in zip(texts, plain)])
-        run, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
-        return [run[i:j] if simple else self._whole(t)
-                for t, simple, i, j in zip(texts, plain, [0, *ends], ends)]
+        others = [i for i, simple in enumerate(plain) if not simple]
+        if others:
+            whole = {i: np.frombuffer(self._whole(texts[i]), "<u4") for i in others}
+            ends = np.cumsum(counts).tolist()
+            parts, at = [], 0
+            for i in others:                                    # a plain text's ids lie before or after, never within
+                parts += [ids[at:ends[i]], whole[i]]
+                at = ends[i]
+            ids = np.concatenate([*parts, ids[at:]])
+            counts[others] = [len(whole[i]) for i in others]
+        return ids, counts
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text (null: none) as little-endian unsigned 32-bit integers."""
+        ids, counts = self.encode_run(texts)
+        run, ends = ids.astype("<u4", copy=False).tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [run[i:j] for i, j in zip([0, *ends], ends)]
 
 
 @lru_cache(maxsize=2)
@@ -101,6 +118,21 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def gathered(batches, column: int, most_chars: int, most_rows: int = 1 << 16):
+    """Record batches joined until the texts of a column have about ``most_chars``
+    characters: a longer run of texts repeats more of its words."""
+    held, size, rows = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(column).nbytes
+        rows += batch.num_rows
+        if size >= most_chars or rows >= most_rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, size, rows = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 def batches_of(texts: list, most_chars: int = 2 << 20):
     """Slices of a list of texts of about ``most_chars`` characters each, as (from, to)."""
     start, size = 0, 0

@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from leafstat.llm.common import landed, shared_folder, size_batches
 from leafstat.llm.store import create, one_file_a_task, opened, rows_of, task_file
-from leafstat.llm.tokens import batches_of, encoder
+from leafstat.llm.tokens import batches_of, encoder, gathered
 
 BLOCK_IDS = 1 << 20        # ids in a block, or one document's where it has more
 RANGE_BYTES = 64 << 20     # of ids in a file, about
+GATHERED = 8 << 20        # characters that a worker encodes at once, or one text's where it has more
 _HEADER = np.dtype("<u8")
 # Rows: control bytes; columns: whether byte j of rank i is there (4 ranks of 4 bytes).
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -65,54 +66,64 @@ def id_type(tokenizer: str, end_id: int) -> str:
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of whole texts and the end id, as integers of ``kind``."""
-    end = np.asarray([end_id], "<u4").tobytes()
+    """(doc_id, ids, id, n): the token ids of whole texts and the end id, as integers of
+    ``kind``; and for each task, in rows without ``ids``, how often it met each id.
+
+    A run of texts is encoded at once and its ids lie in one array: the end ids
+    are set into it, it is cast once, and the rows are slices of its bytes.
+    """
+    wide = np.dtype(kind).itemsize
+
+    def rows(ids, found, token, n):
+        return pa.record_batch([ids, found, token, n], schema=_ENCODED)
 
     def run(batches):
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for i, j in batches_of(texts):
-                found = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in encoder(tokenizer).encode(texts[i:j])]
-                yield pa.record_batch([ids.slice(i, j - i), pa.array(found, pa.binary())], names=["doc_id", "ids"])
+        total = np.zeros(max(encoder(tokenizer).vocabulary, end_id + 1), np.int64)
+        for table in gathered(batches, 1, GATHERED):
+            names, texts = table.column(0).combine_chunks(), table.column(1).to_pylist()
+            for i, j in batches_of(texts, GATHERED):
+                ids, counts = encoder(tokenizer).encode_run(texts[i:j])
+                ends = np.cumsum(counts + 1)
+                run_ids = np.empty(len(ids) + len(counts), kind)
+                inner = np.ones(len(run_ids), bool)
+                inner[ends - 1] = False
+                run_ids[inner] = ids
+                run_ids[ends - 1] = end_id
+                total += np.bincount(run_ids, minlength=len(total))
+                offsets = np.concatenate([[0], ends * wide]).astype(np.int64)
+                found = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer(offsets), pa.py_buffer(run_ids)])
+                none = pa.nulls(j - i, pa.int64())
+                yield rows(names.slice(i, j - i), found.cast(pa.binary()), none, none)
+        at = np.flatnonzero(total)
+        yield rows(pa.nulls(len(at), pa.int64()), pa.nulls(len(at), pa.binary()), pa.array(at), pa.array(total[at]))
 
     size_batches(docs.sparkSession)
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id long, ids binary"))
+            .mapInArrow(run, "doc_id long, ids binary, id long, n long"))
 
 
-def ranked(ids: DataFrame, kind: str) -> np.ndarray:
-    """Ids of the vocabulary that occur, most frequent first (ties: smaller id).
+_ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("id", pa.int64()), ("n", pa.int64())])
 
-    The tasks count; the driver gets a row for each id of the vocabulary.
-    """
-    def run(batches):
-        total = np.zeros(0, np.int64)
-        for batch in batches:
-            for run_ids in batch.column(0).to_pylist():
-                found = np.bincount(np.frombuffer(run_ids, kind))
-                if len(found) > len(total):
-                    found[:len(total)] += total
-                    total = found
-                else:
-                    total[:len(found)] += found
-        at = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    counts = ids.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    return np.asarray([r.id for r in sorted(counts, key=lambda r: (-r.n, r.id))], "<u4")
+def ranked(landed_ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Ids of the vocabulary that occur, most frequent first (ties: smaller id), and the
+    number of all ids.  The driver gets a row for each id of the vocabulary."""
+    counts = landed_ids.where("ids IS NULL").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    order = sorted(counts, key=lambda r: (-r.n, r.id))
+    return np.asarray([r.id for r in order], "<u4"), sum(r.n for r in order)
 
 
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFrame:
     """Encode ``docs`` and write the files below ``folder``; returns the manifest.
 
     The texts are encoded where they lie.  The ids are landed, so that they
-    are made once for the counts, the range bounds and the files.
+    are made once for the range bounds and the files; their counts come along.
     """
     spark = docs.sparkSession
     kind = id_type(tokenizer, end_id)
     wide = np.dtype(kind).itemsize
     ids = landed(encoded(docs, tokenizer, end_id, kind), "token-ids")
-    by_rank = ranked(ids, kind)
+    by_rank, total = ranked(ids)
     with create(f"{folder}/ranks.u32") as out:
         out.write(by_rank.tobytes())
     rank_of = np.zeros(int(by_rank.max()) + 1 if len(by_rank) else 1, "<u4")
@@ -146,10 +157,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> DataFram
             part = int(path.rsplit("/", 1)[1].split("-")[1])
             yield pa.record_batch([[part], [path], [n_docs], [n_ids]], names=["part", "path", "n_docs", "n_ids"])
 
-    total = ids.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total * wide // RANGE_BYTES))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("ids"), F.col("ids")]
-    dealt = ids.repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order).select("doc_id", "ids")
+    dealt = ids.where("ids IS NOT NULL").repartitionByRange(parts, *order[:2]).sortWithinPartitions(*order).select("doc_id", "ids")
     return landed(dealt.mapInArrow(run, "part long, path string, n_docs long, n_ids long"), "id-files")
 
 
