@@ -11,7 +11,10 @@ Everything is built from DataFrame functions.
 
 Defined cases: a null text counts as empty; two empty sketches resemble each
 other fully, an empty and another one not at all; documents with equal ids
-follow each other by the hash of their text, those without an id come first.
+follow each other by the hash of their text, those without an id come first;
+of repeated rows each is followed by the next, so all but the last by an equal
+one; a single document follows itself; an empty table gives no row; extra
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from leafstat.llm.common import landed, numbered, words_of
 
 K = 128
 SHINGLE = 5
-BLOCK_ROWS = 64            # documents in a block of consecutive ids, about
+BLOCK_ROWS = 64            # documents in a block, about
+FAN = 256                  # blocks in a run of them
+MOST_BLOCKS = FAN * FAN    # blocks, at most: beyond, they grow
 
 
 def sketched(docs: DataFrame, text: Column, out: str, k: int = K) -> DataFrame:
@@ -80,14 +85,46 @@ def merged(sketches: DataFrame, key: str, sketch: str, k: int = K) -> DataFrame:
             .withColumn(sketch, F.coalesce(sketch, F.array().cast("array<long>"))))
 
 
+def _key(doc_id: Column, h: Column) -> Column:
+    """The order of documents: by id, those without one first, then by the hash of the text."""
+    return F.struct(doc_id.isNotNull().alias("named"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"), h.alias("h"))
+
+
+def _bounds(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    """The first keys of the blocks after the first, in runs of FAN, as one array value.
+
+    Thin rows (id, text hash) are numbered in global order, and every so many
+    rows a block begins; there are at most MOST_BLOCKS, so the array has a
+    bound whatever the table's size.
+    """
+    thin = landed(docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                              F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h")), "keys")
+    n = thin.count()
+    rows = max(BLOCK_ROWS, -(-n // MOST_BLOCKS))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h")]
+    firsts = (numbered(thin, order, "_r", "key-order", n).where((F.col("_r") > 0) & (F.pmod("_r", F.lit(rows)) == 0))
+              .select((F.col("_r") / rows - 1).cast("long").alias("_i"), _key(F.col("doc_id"), F.col("h")).alias("_k")))
+    runs = firsts.groupBy(F.floor(F.col("_i") / FAN).alias("_g")).agg(F.sort_array(F.collect_list(F.struct("_i", "_k"))).alias("_s"))
+    every = landed(runs.select("_g", F.col("_s._k").alias("_keys")), "block-keys")
+    return every.agg(F.sort_array(F.collect_list(F.struct("_g", "_keys"))).alias("bounds")).scalar()
+
+
 def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, block): blocks of consecutive ids, about BLOCK_ROWS documents each."""
-    low, high, n = docs.agg(F.min(id_col), F.max(id_col), F.count(id_col)).first()
-    width = max(1, -(-(high - low + 1) * BLOCK_ROWS // n)) if n else 1
-    first = (low // width - 2) if n else 0
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       F.coalesce(F.floor(F.col(id_col).cast("decimal(20,0)") / F.lit(width)).cast("long"),
-                                  F.lit(first)).alias("block"))
+    """(doc_id, h, text, block): blocks of documents that follow each other, about
+    BLOCK_ROWS each (more where MOST_BLOCKS would not do).
+
+    A row finds its block by its key in two steps, run and place, so the texts
+    need no join for it.  Ids may lie anywhere, and many documents may share
+    one; only rows of equal id and text cannot be told apart.
+    """
+    key = _key(F.col("doc_id"), F.col("h"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text").withColumn("_key", key)
+    rows = rows.withColumn("_bounds", _bounds(docs, id_col, text_col))
+    rows = rows.withColumn("_g", F.size(F.filter("_bounds", lambda x: F.get(x["_keys"], F.lit(0)) <= F.col("_key"))))
+    inner = F.size(F.filter(F.get("_bounds", F.col("_g") - 1)["_keys"], lambda k: k <= F.col("_key")))
+    block = F.when(F.col("_g") == 0, 0).otherwise((F.col("_g") - 1) * FAN + inner)
+    return rows.select("doc_id", "h", "text", block.cast("long").alias("block"))
 
 
 def with_next(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,7 +140,7 @@ def with_next(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str
     n = blocks.count()
     placed = numbered(blocks, [F.col("block")], "_place", "block-order", n)
     after = placed.select(F.col("block").alias("_next"), F.pmod(F.col("_place") - 1, F.lit(max(n, 1))).alias("_place"))
-    order = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
+    order = Window.partitionBy("block").orderBy(F.col("doc_id").asc_nulls_first(), "h", "text")
     dealt = rows.repartition(F.col("block"))
     every = sketched(dealt, F.col("text"), "sketch", k)
     inner = (every.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sketch", F.lead("sketch").over(order))
