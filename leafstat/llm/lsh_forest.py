@@ -4,20 +4,23 @@ A text is the set of its five-word shingles (a text of one to four words is
 one shingle).  Texts with equal sets form a class; classes are linked where
 the Jaccard similarity of their sets is 0.8 or more.
 
-Each class has TREES x DEPTH MinHash values.  A tree is the sorted trie of its
-DEPTH values; two classes meet in a tree where their prefixes match.  Matching
-starts with whole prefixes and shortens them, level by level, until a pair at
-the threshold meets in some tree with the target probability
-(``matched_depth``).  Pairs that meet are verified on their whole sets.
+Each class has TREES x DEPTH MinHash values.  A tree is the trie of its DEPTH
+values; two classes meet in a tree where their prefixes match.  Matching starts
+with whole signatures, the deepest level of the tries, and shortens the
+prefixes level by level.  Pairs that meet for the first time at a level are
+verified on their whole sets.  After each level the recall is measured: a link
+of similarity s is met at depth d with a known chance, so the links found, by
+similarity, tell how many there are.  When the share found reaches the target,
+matching stops; data whose links are close copies need only the deep levels,
+links near the threshold take it down to LEAST_DEPTH.
 
 No pair is a row.  A prefix with many classes is cut into blocks by class, and
 each pair of blocks is a task's work (``_groups``), so no group is ever
-gathered whole.  A pair that meets in several trees belongs to the first of
-them; a first pass over the prefixes alone keeps the classes that have such
+gathered whole.  A pair that meets in several trees of a level belongs to the
+first of them, and one that met at a deeper level is not met again; a first pass over the prefixes alone keeps the classes that have such
 pairs, and the sets travel only for these.  A task returns the number of links
 of each class and a spanning forest of its links, so its output grows with the
-classes, not with the pairs.  Components of the links are found by alternating
-large-star and small-star steps, each landed in the shared folder.
+classes, not with the pairs.  Components of the links are those of ``linked``.
 
 Defined cases: null and empty texts have no shingle and form one class; a
 repeated row is a copy; a null doc_id comes last when a class or component is
@@ -36,12 +39,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafstat.llm.common import landed, numbered, size_batches
+from leafstat.llm.linked import components
 from leafstat.llm.tokens import batches_of, spread
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, DEPTH = 16, 8
-TARGET = 0.995             # recall of pairs at the threshold
+TREES, DEPTH, LEAST_DEPTH = 16, 8, 5
+TARGET = 0.999             # measured share of the links at which matching stops
+BINS = 20                  # similarities from the threshold to 1 that links are counted by
 BLOCK_CLASSES = 1024       # classes of one prefix in a block, about
 BLOCK_SHINGLES = 1 << 20   # and shingles
 FEW = 8                    # partners that are intersected one by one
@@ -56,11 +61,13 @@ def recall(depth: int, similarity: float = THRESHOLD, trees: int = TREES) -> flo
     return 1 - (1 - similarity ** depth) ** trees
 
 
-def matched_depth(threshold: float = THRESHOLD, target: float = TARGET, trees: int = TREES, depth: int = DEPTH) -> int:
-    """Shorten the matched prefixes from ``depth`` on until the recall at the threshold suffices."""
-    while depth > 1 and recall(depth, threshold, trees) < target:
-        depth -= 1
-    return depth
+def measured(found: np.ndarray, depth: int) -> float:
+    """Share of all links that are found at a depth, judged by those found (by similarity bin).
+
+    One link at the threshold is added on either side, so that nothing found is no proof."""
+    middle = THRESHOLD + (np.arange(BINS) + .5) * (1 - THRESHOLD) / BINS
+    there = (found / [recall(depth, s) for s in middle]).sum() + 1 / recall(depth)
+    return float((found.sum() + 1) / there)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -96,21 +103,33 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
-def prefixes(shingles: np.ndarray, depth: int) -> np.ndarray:
-    """For each tree, a hash of the first ``depth`` MinHash values (signed 64-bit)."""
+def prefixes(shingles: np.ndarray) -> np.ndarray:
+    """For each depth from LEAST_DEPTH to DEPTH, and each tree, a hash of the first
+    ``depth`` MinHash values (signed 64-bit)."""
     least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
+    out = []
     with np.errstate(over="ignore"):
         for i in range(0, len(shingles), 2048):
             part = shingles[i:i + 2048, None] * _FACTORS + _SHIFTS
             np.minimum(least, (part >> np.uint64(24)).min(0), out=least)
-        tree = least.reshape(TREES, DEPTH)[:, :depth]
+        tree = least.reshape(TREES, DEPTH)
         key = np.arange(TREES, dtype=np.uint64) * _M[0]
-        for j in range(depth):
+        for j in range(DEPTH):
             key = _mixed(key * _M[0] + tree[:, j])
-    return key.view(np.int64)
+            if j + 1 >= LEAST_DEPTH:
+                out.append(key)
+    return np.concatenate(out).view(np.int64)
+
+
+LEVELS = DEPTH - LEAST_DEPTH + 1
+
+
+def at_depth(keys: Column, depth: int) -> Column:
+    """The trees' prefixes of a depth, out of ``prefixes``."""
+    return F.slice(keys, (depth - LEAST_DEPTH) * TREES + 1, TREES)
 
 
-def signatures(docs: DataFrame, depth: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text hash, the set's 128-bit fingerprint and size, and its prefixes."""
     def run(batches):
         for batch in batches:
@@ -118,11 +137,11 @@ def signatures(docs: DataFrame, depth: int, id_col: str = "doc_id", text_col: st
             for i, j in batches_of(texts):
                 sets = shingle_sets(texts[i:j])
                 prints = np.frombuffer(b"".join(xxhash.xxh128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
-                keys = np.concatenate([prefixes(s, depth) if len(s) else np.zeros(TREES, np.int64) for s in sets])
+                keys = np.concatenate([prefixes(s) if len(s) else np.zeros(TREES * LEVELS, np.int64) for s in sets])
                 yield pa.record_batch(
                     [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(prints[:, 0].copy()),
                      pa.array(prints[:, 1].copy()), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, TREES, dtype=np.int32)), pa.array(keys))],
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, TREES * LEVELS, dtype=np.int32)), pa.array(keys))],
                     names=["doc_id", "h", "f1", "f2", "n", "keys"])
 
     size_batches(docs.sparkSession)
@@ -143,10 +162,10 @@ def classes_of(signed: DataFrame) -> DataFrame:
     return landed(numbered(landed(grouped, "classes"), order, "cid", "class-order"), "classes-numbered")
 
 
-def _groups(classes: DataFrame) -> DataFrame:
-    """(key, tree, pair, block, cid): the classes of each prefix that several
-    have, once for each pair of blocks that theirs is in."""
-    members = classes.where("n > 0").select("cid", "n", F.posexplode("keys").alias("tree", "key"))
+def _groups(classes: DataFrame, depth: int) -> DataFrame:
+    """(key, tree, pair, block, cid): the classes of each prefix of a depth that
+    several have, once for each pair of blocks that theirs is in."""
+    members = classes.where("n > 0").select("cid", "n", F.posexplode(at_depth(F.col("keys"), depth)).alias("tree", "key"))
     shared = (members.groupBy("tree", "key").agg(F.count("*").alias("_c"), F.sum("n").alias("_s")).where("_c > 1")
               .select("tree", "key", F.greatest(F.ceil(F.col("_c") / BLOCK_CLASSES), F.ceil(F.col("_s") / BLOCK_SHINGLES))
                       .cast("int").alias("_blocks")))
@@ -177,32 +196,36 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _partners(i: int, keys: np.ndarray, tree: int, sizes: np.ndarray, blocks: np.ndarray, inner: bool) -> np.ndarray:
-    """Rows after ``i`` that meet it in this tree first, in the other block (or
-    the same), and are not too large or small to be similar."""
+def _partners(i: int, keys: np.ndarray, deeper: np.ndarray, tree: int, sizes: np.ndarray, blocks: np.ndarray,
+              inner: bool) -> np.ndarray:
+    """Rows after ``i`` that meet it at this depth first, in this tree first, in the other
+    block (or the same), and are not too large or small to be similar."""
     later = slice(i + 1, None)
     ok = np.minimum(sizes[later], sizes[i]) >= THRESHOLD * np.maximum(sizes[later], sizes[i])
     if not inner:
         ok &= blocks[later] != blocks[i]
     if tree:
         ok &= ~(keys[later, :tree] == keys[i, :tree]).any(1)
+    if deeper.shape[1]:
+        ok &= ~(deeper[later] == deeper[i]).any(1)
     return np.flatnonzero(ok) + i + 1
 
 
-def _columns(run: pa.RecordBatch) -> tuple[int, bool, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    pair = run.column("pair")[0].as_py().split("-")
-    keys = run.column("keys").flatten().to_numpy().reshape(-1, TREES)
-    return (run.column("tree")[0].as_py(), pair[0] == pair[1], keys, run.column("n").to_numpy(),
+def _columns(run: pa.RecordBatch):
+    """tree, whether the blocks are one, prefixes, those one deeper, sizes, blocks and numbers of a group."""
+    pair, n = run.column("pair")[0].as_py().split("-"), run.num_rows
+    keys = run.column("keys").flatten().to_numpy().reshape(n, -1)
+    return (run.column("tree")[0].as_py(), pair[0] == pair[1], keys[:, :TREES], keys[:, TREES:], run.column("n").to_numpy(),
             run.column("block").to_numpy(), run.column("cid").to_numpy())
 
 
 def _needed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows that have a partner."""
     for run in _runs(batches):
-        tree, inner, keys, sizes, blocks, _ = _columns(run)
+        tree, inner, keys, deeper, sizes, blocks, _ = _columns(run)
         has = np.zeros(len(sizes), bool)
         for i in range(len(sizes) - 1):
-            found = _partners(i, keys, tree, sizes, blocks, inner)
+            found = _partners(i, keys, deeper, tree, sizes, blocks, inner)
             if len(found):
                 has[i] = True
                 has[found] = True
@@ -233,18 +256,25 @@ class _Overlap:
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each class in a group (a, null, count), and a spanning forest of them (a, b, 0)."""
+    """Links of each class in a group (a, null, count), a spanning forest of them
+    (a, b, 0), and for each task their number by similarity (null, bin, count)."""
+    total = np.zeros(BINS, np.int64)
+    rows = lambda a, b, n: pa.record_batch([pa.array(x, pa.int64()) for x in (a, b, n)], names=["a", "b", "links"])
     for run in _runs(batches):
         run = run.filter(pa.array(np.concatenate([[True], np.diff(run.column("cid").to_numpy()) != 0])))
-        tree, inner, keys, sizes, blocks, cids = _columns(run)
+        tree, inner, keys, deeper, sizes, blocks, cids = _columns(run)
         overlap = _Overlap([np.frombuffer(x, np.uint64) for x in run.column("shingles").to_pylist()])
         links, part, edges = np.zeros(len(sizes), np.int64), np.arange(len(sizes)), []
         for i in range(len(sizes) - 1):
-            found = _partners(i, keys, tree, sizes, blocks, inner)
+            found = _partners(i, keys, deeper, tree, sizes, blocks, inner)
             if not len(found):
                 continue
             common = overlap.of(i, found)
-            linked = found[common >= THRESHOLD * (sizes[i] + sizes[found] - common) - 1e-9]
+            alike = common / (sizes[i] + sizes[found] - common)
+            close = alike >= THRESHOLD - 1e-9
+            linked = found[close]
+            total += np.bincount(np.clip((alike[close] - THRESHOLD) * (BINS / (1 - THRESHOLD)), 0, BINS - 1).astype(np.int64),
+                                 minlength=BINS)
             links[i] += len(linked)
             links[linked] += 1
             parts, at = np.unique(part[linked], return_index=True)
@@ -254,11 +284,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part[np.isin(part, parts[new])] = part[i]
         some = np.flatnonzero(links)
         if len(some):
-            a = np.concatenate([cids[some], [x for x, _ in edges]]).astype(np.int64)
-            b = [None] * len(some) + [int(y) for _, y in edges]
-            yield pa.record_batch([pa.array(a), pa.array(b, pa.int64()),
-                                   pa.array(np.concatenate([links[some], np.zeros(len(edges), np.int64)]))],
-                                  names=["a", "b", "links"])
+            yield rows(np.concatenate([cids[some], [x for x, _ in edges]]).astype(np.int64),
+                       [None] * len(some) + [int(y) for _, y in edges],
+                       np.concatenate([links[some], np.zeros(len(edges), np.int64)]))
+    at = np.flatnonzero(total)
+    yield rows([None] * len(at), at, total[at])
 
 
 def _shingled(rows: DataFrame) -> DataFrame:
@@ -273,56 +303,36 @@ def _shingled(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "cid long, shingles binary")
 
 
-def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Landed rows of ``_verified`` over all prefixes."""
+def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          target: float = TARGET) -> DataFrame:
+    """Landed rows of ``_verified`` over the prefixes, from the deepest level on until the target recall."""
     by = ["key", "tree", "pair"]
-    thin = _groups(classes).join(classes.select("cid", "n", "keys"), "cid")
-    thin = thin.select(*by, "block", "cid", "n", "keys")
     together = lambda d: d.repartition(*by).sortWithinPartitions(*by, "cid")
-    needed = landed(together(thin).mapInArrow(_needed, thin.schema), "candidates")
-    wanted = needed.select("cid").distinct().join(classes.select("cid", F.col("doc_id").alias("_d"), F.col("h").alias("_h")), "cid")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("text"), F.xxhash64(text).alias("_x"))
-    rows = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_x") == F.col("_h"))).select("cid", "text")
-    full = needed.join(_shingled(rows), "cid")
-    return landed(together(full).mapInArrow(_verified, "a long, b long, links long"), "links")
-
-
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
-    """(node, root) for every node of the edges (a, b): root is the smallest node of its component.
-
-    Large-star and small-star steps in turn; the star forest that they end in
-    does not change any more, which the sums over all edges tell.
-    """
-    def star(pairs: DataFrame, large: bool) -> DataFrame:
-        ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else pairs
-        least = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = ways.join(least, "a")
-        if large:
-            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-                least.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
-
-    down = F.struct(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now = landed(edges.where("a <> b").select(down.alias("e")).select("e.*").distinct(), "edges")
-    state = None
-    for _ in range(most):
-        sums = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if sums == state:
+    all_rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("text"), F.xxhash64(text).alias("_x"))
+    found, counts = None, np.zeros(BINS, np.int64)
+    for depth in range(DEPTH, LEAST_DEPTH - 1, -1):
+        kept = F.concat(*[at_depth(F.col("keys"), d) for d in (depth, depth + 1) if d <= DEPTH])
+        thin = _groups(classes, depth).join(classes.select("cid", "n", kept.alias("keys")), "cid")
+        thin = thin.select(*by, "block", "cid", "n", "keys")
+        needed = landed(together(thin).mapInArrow(_needed, thin.schema), "candidates")
+        wanted = needed.select("cid").distinct().join(
+            classes.select("cid", F.col("doc_id").alias("_d"), F.col("h").alias("_h")), "cid")
+        rows = all_rows.join(wanted, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_x") == F.col("_h"))).select("cid", "text")
+        full = needed.join(_shingled(rows), "cid")
+        level = landed(together(full).mapInArrow(_verified, "a long, b long, links long"), "links")
+        for r in level.where("a IS NULL").groupBy("b").agg(F.sum("links").alias("n")).collect():     # a row a bin
+            counts[r.b] += r.n
+        level = level.where("a IS NOT NULL")
+        found = level if found is None else found.unionByName(level)
+        if measured(counts, depth) >= target:
             break
-        state = sums
-        now = landed(star(star(now, True), False), "edges")
-    else:
-        raise RuntimeError(f"components did not settle in {most} rounds")
-    roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    return found
 
 
 def _resolved(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The signatures, and every class with its component's first class (root)."""
-    signed = landed(signatures(docs, matched_depth(), id_col, text_col), "signatures")
+    signed = landed(signatures(docs, id_col, text_col), "signatures")
     classes = classes_of(signed)
     found = links(docs, classes, id_col, text_col)
     roots = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "cid")

@@ -4,11 +4,15 @@ import collections
 import hashlib
 import random
 import re
+import struct
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from leafstat.llm import bottomk, licenses, lsh_forest
+from leafstat.llm.linked import components
 
 from small_tables import prose, table
 
@@ -95,15 +99,18 @@ def test_representatives(spark, odd, odd_rows, empty):
     assert lsh_forest.representatives(empty).count() == 0
 
 
-def test_matched_depth_shortens_until_the_target():
-    depths = [lsh_forest.matched_depth(target=t) for t in (0.5, 0.95, 0.99, 0.999)]
-    assert depths == sorted(depths, reverse=True) and depths[0] == lsh_forest.DEPTH
-    assert lsh_forest.recall(lsh_forest.matched_depth()) >= lsh_forest.TARGET
+def test_matching_stops_at_the_measured_recall():
+    close, far = np.zeros(lsh_forest.BINS), np.zeros(lsh_forest.BINS)
+    close[-1] = far[0] = 10_000
+    assert lsh_forest.measured(close, lsh_forest.DEPTH) >= lsh_forest.TARGET
+    shares = [lsh_forest.measured(far, d) for d in range(lsh_forest.DEPTH, lsh_forest.LEAST_DEPTH - 1, -1)]
+    assert shares == sorted(shares) and shares[0] < lsh_forest.TARGET and shares[-1] > 0.998
+    assert lsh_forest.measured(np.zeros(lsh_forest.BINS), lsh_forest.DEPTH) < lsh_forest.TARGET      # nothing found proves nothing
 
 
 def test_components_of_a_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (90, 95)], "a long, b long")
-    found = {r.node: r.root for r in lsh_forest.components(edges).collect()}
+    found = {r.node: r.root for r in components(edges).collect()}
     assert found == {**{i: 0 for i in range(41)}, 90: 90, 95: 90, 100: 90}
 
 
@@ -130,6 +137,47 @@ def test_fingerprints_equal_brute_force(spark, odd, odd_rows, empty):
     assert bottomk.compared(empty).count() == 0
 
 
+def plain_sketch(text):
+    """The k smallest shingle hashes, each a chain of XXH64 over the hashes of its words."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    words = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in WORD.findall(text or "")]
+    runs = [words[i:i + 5] for i in range(max(1, len(words) - 4))] if words else []
+    found = set()
+    for run in runs:
+        seed = 42
+        for w in run:
+            seed = xxhash.xxh64_intdigest(struct.pack("<q", w), seed)
+        found.add(signed(seed))
+    return "".join(f"{h % (1 << 64):016x}" for h in sorted(found)[:bottomk.K])
+
+
+def test_fingerprints_are_the_bottom_k(spark, odd, odd_rows):
+    want = sorted(plain_sketch(t) for _, t in odd_rows)
+    assert sorted(r.fingerprint for r in bottomk.compared(odd).collect()) == want
+
+
+def test_blocks_stay_small_wherever_the_ids_lie(spark, monkeypatch):
+    rows = [(i, f"t{i}") for i in range(2000)] + [(10 ** 13, "far")] + [(None, f"n{i}") for i in range(900)] + [(5, f"five{i}") for i in range(900)]
+    df = table(spark, rows)
+    sizes = [r["count"] for r in bottomk._blocked(df, "doc_id", "text").groupBy("block").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= bottomk.BLOCK_ROWS
+    monkeypatch.setattr(bottomk, "MOST_BLOCKS", 10)
+    monkeypatch.setattr(bottomk, "FAN", 4)
+    blocked = bottomk._blocked(df, "doc_id", "text")
+    assert blocked.select("block").distinct().count() == 10
+    bounds = blocked.groupBy("block").agg(F.min(bottomk._key(F.col("doc_id"), F.col("h"))).alias("a"),
+                                          F.max(bottomk._key(F.col("doc_id"), F.col("h"))).alias("z")).orderBy("block").collect()
+    assert all(tuple(x.z) < tuple(y.a) for x, y in zip(bounds, bounds[1:]))
+
+
+def test_null_ids_come_first_and_repeated_rows_follow_each_other(spark):
+    rows = [(2, "b " * 40), (None, "first " * 40), (1, "a " * 40), (1, "a " * 40)]
+    got = [(r.doc_id, r.edited_sha256) for r in bottomk.compared(table(spark, rows)).collect()]
+    edit = lambda t, n: hashlib.sha256((t[:len(t) - len(t) // 4] + n[:len(t) // 4]).encode()).hexdigest()
+    a, b, first = "a " * 40, "b " * 40, "first " * 40
+    assert sorted(got, key=str) == sorted([(None, edit(first, a)), (1, edit(a, a)), (1, edit(a, b)), (2, edit(b, first))], key=str)
+
+
 def test_last_document_is_followed_by_the_first(spark):
     rows = [(i * 10 ** 15, prose(i, 30)) for i in range(-3, 5)]
     got = {r.doc_id: r for r in bottomk.compared(table(spark, rows)).collect()}
@@ -177,6 +225,15 @@ def test_licences(spark, odd, odd_rows, empty):
     assert licenses.scanned(empty, licenses.known_texts(spark)).count() == 0
 
 
+def test_titled_licences_and_long_texts(spark):
+    rows = [(i, f"{title}\n\nCopyright (c) 2021 Someone\n\n{text}") for i, (text, title) in enumerate(
+        (text, title) for name, text in licenses.KNOWN if len(text) > 500 for title in licenses.TITLES[name])]
+    got = {r.license_id for r in licenses.scanned(table(spark, rows), licenses.known_texts(spark)).collect()}
+    assert got == {"MIT", "ISC", "0BSD"}
+    known = {r.digest: r.license_id for r in licenses.digests(licenses.known_texts(spark)).collect()}
+    assert licenses.DIGESTS.items() <= known.items()
+
+
 def test_licence_folder(spark, tmpdir_path):
     text = prose(1, 50)
     with open(f"{tmpdir_path}/Own-1.0", "w") as file:

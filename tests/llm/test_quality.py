@@ -3,6 +3,7 @@
 import collections
 import math
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -42,7 +43,7 @@ def test_weights_and_draw_equal_brute_force(spark, odd, odd_rows, labels):
     want = sorted((i is not None, i or 0, sum(ratio[b] for b in grams(t)) + dsir.gumbel(i, t)) for i, t in odd_rows)
     found = sorted((r.doc_id is not None, r.doc_id or 0, r.key) for r in got.collect())
     assert [x[:2] for x in found] == [x[:2] for x in want]
-    assert all(abs(a[2] - b[2]) < 0.2 for a, b in zip(found, want))
+    assert [x[2] for x in found] == pytest.approx([x[2] for x in want], rel=1e-4, abs=1e-4)
     cut = sorted((x[2] for x in found), reverse=True)[5]
     rows = got.collect()
     assert all(r.kept == (r.key >= cut) for r in rows) and sum(r.kept for r in rows) >= 6
@@ -109,6 +110,46 @@ def test_base_counts_equal_brute_force(spark, odd, labels, which):
         assert r.kept == (not r.base_failed and r.mean_llr >= llr_rules.THRESHOLD)
 
 
+def rule_grams(text):
+    """Buckets of unigrams and bigrams, hashed as chains of XXH64 from seed 42."""
+    tokens = [t for t in re.split(r"[\x20\x09-\x0D]+", re.sub(r"([!-/:-@\[-`{-~]+)", r" \1 ", (text or "").lower())) if t]
+    ones = [xxhash.xxh64_intdigest(t.encode(), 42) for t in tokens]
+    pairs = []
+    for i, h in enumerate(ones):
+        seed = xxhash.xxh64_intdigest(struct.pack("<Q", ones[i - 1]), 42) if i else 42
+        pairs.append(xxhash.xxh64_intdigest(struct.pack("<Q", h), seed))
+    return [h % llr_rules.BUCKETS for h in ones + pairs]
+
+
+@pytest.mark.parametrize("which", ["odd", "table"])
+def test_log_ratios_equal_brute_force(spark, odd, labels, which):
+    if which == "odd":
+        docs, trusted = odd, labels.where("quality = 1")
+    else:
+        docs, trusted = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+        trusted = trusted.where("quality = 1")
+    ids = {r.doc_id for r in trusted.collect()} - {None}
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    raw, target = collections.Counter(), collections.Counter()
+    for i, t in rows:
+        raw.update(rule_grams(t))
+        if i in ids:
+            target.update(rule_grams(t))
+    share, e = sum(target.values()) / sum(raw.values()), llr_rules.EVIDENCE
+    ratio = {b: math.log((target[b] + e) / (share * n + e)) for b, n in raw.items()}
+    want = {}
+    for i, t in rows:
+        g = rule_grams(t)
+        want.setdefault(i, []).append(sum(ratio[b] for b in g) / len(g) if g else 0.0)
+    found = {}
+    for r in llr_rules.judged(docs, trusted).select("row.doc_id", "rules.*").collect():
+        found.setdefault(r.doc_id, []).append(r.mean_llr)
+        assert r.kept == (not r.base_failed and r.mean_llr >= llr_rules.THRESHOLD)
+    assert found.keys() == want.keys()
+    for i in want:
+        assert sorted(found[i]) == pytest.approx(sorted(want[i]), abs=1e-9)
+
+
 def test_repeated_windows_overlap(spark):
     run = "a b c d e f g h i"
     texts = [run + " x " + run, (run + " ") * 3, "w " * 30, "a b c d e f g x a b c d e f g y", "the of " * 9]
