@@ -41,9 +41,10 @@ def sums(lengths: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class Encoder:
     """Whole texts -> ids; holds the library's tokenizer and the ids of known pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached: int = CACHED_PIECES):
         from tokenizers import Tokenizer
 
+        self.cached = cached
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -78,7 +79,7 @@ class Encoder:
             lower, mixed, pc.replace_substring_regex(lower.filter(mixed), _PIECES, "\\1 ")))
         parts = split.flatten().dictionary_encode()
         pieces = parts.dictionary.to_pylist()
-        if len(self.pieces) > CACHED_PIECES:    # the pieces of this block stand for the frequent ones
+        if len(self.pieces) > self.cached:    # the pieces of this block stand for the frequent ones
             self.pieces = {p: self.pieces[p] for p in {"", *pieces} if p in self.pieces}
         self._learn([p for p in pieces if p not in self.pieces])
         found = [self.pieces[p] for p in pieces]
@@ -113,9 +114,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached: int = CACHED_PIECES) -> Encoder:
     """The worker's encoder for a tokenizer file."""
-    return Encoder(path)
+    return Encoder(path, cached)
 
 
 def gathered(batches, column: int, most_chars: int, most_rows: int = 1 << 16):

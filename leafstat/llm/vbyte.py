@@ -33,6 +33,7 @@ from leafstat.llm.tokens import batches_of, encoder, gathered
 BLOCK_IDS = 1 << 20        # ids in a block, or one document's where it has more
 RANGE_BYTES = 64 << 20     # of ids in a file, about
 GATHERED = 8 << 20        # characters that a worker encodes at once, or one text's where it has more
+CACHED = 600_000           # pieces whose ids a worker remembers
 _HEADER = np.dtype("<u8")
 # Rows: control bytes; columns: whether byte j of rank i is there (4 ranks of 4 bytes).
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -78,11 +79,12 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, kind: str, id_col: str
         return pa.record_batch([ids, found, token, n], schema=_ENCODED)
 
     def run(batches):
-        total = np.zeros(max(encoder(tokenizer).vocabulary, end_id + 1), np.int64)
+        coder = encoder(tokenizer, CACHED)
+        total = np.zeros(max(coder.vocabulary, end_id + 1), np.int64)
         for table in gathered(batches, 1, GATHERED):
             names, texts = table.column(0).combine_chunks(), table.column(1).to_pylist()
             for i, j in batches_of(texts, GATHERED):
-                ids, counts = encoder(tokenizer).encode_run(texts[i:j])
+                ids, counts = coder.encode_run(texts[i:j])
                 ends = np.cumsum(counts + 1)
                 run_ids = np.empty(len(ids) + len(counts), kind)
                 inner = np.ones(len(run_ids), bool)
