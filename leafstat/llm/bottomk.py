@@ -117,13 +117,18 @@ def _blocked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     need no join for it.  Ids may lie anywhere, and many documents may share
     one; only rows of equal id and text cannot be told apart.
     """
-    key = _key(F.col("doc_id"), F.col("h"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text").withColumn("_key", key)
-    rows = rows.withColumn("_bounds", _bounds(docs, id_col, text_col))
-    rows = rows.withColumn("_g", F.size(F.filter("_bounds", lambda x: F.get(x["_keys"], F.lit(0)) <= F.col("_key"))))
-    inner = F.size(F.filter(F.get("_bounds", F.col("_g") - 1)["_keys"], lambda k: k <= F.col("_key")))
-    block = F.when(F.col("_g") == 0, 0).otherwise((F.col("_g") - 1) * FAN + inner)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("h"), "text").withColumn("_bounds", _bounds(docs, id_col, text_col))
+    bounds = F.col("_bounds")
+    least = lambda run, k: F.get(run["_keys"], F.lit(0)) <= k
+
+    def place(k: Column) -> Column:
+        run = F.size(F.filter(bounds, lambda x: least(x, k)))
+        return F.transform(F.array(run), lambda g: F.when(g == 0, 0).otherwise(
+            (g - 1) * FAN + F.size(F.filter(F.get(bounds, g - 1)["_keys"], lambda y: y <= k))))[0]
+
+    # As elements of arrays the key and the run are computed once a row, not once a comparison.
+    block = F.transform(F.array(_key(F.col("doc_id"), F.col("h"))), place)[0]
     return rows.select("doc_id", "h", "text", block.cast("long").alias("block"))
 
 
