@@ -7,17 +7,18 @@ the Jaccard similarity of their sets is 0.8 or more.
 Each class has TREES x DEPTH MinHash values.  A tree is the trie of its DEPTH
 values; two classes meet in a tree where their prefixes match.  Matching starts
 with whole signatures, the deepest level of the tries, and shortens the
-prefixes level by level.  Pairs that meet for the first time at a level are
-verified on their whole sets.  After each level the recall is measured: a link
-of similarity s is met at depth d with a known chance, so the links found, by
-similarity, tell how many there are.  When the share found reaches the target,
-matching stops; data whose links are close copies need only the deep levels,
-links near the threshold take it down to LEAST_DEPTH.
+prefixes.  Pairs that meet for the first time at a depth are verified on their
+whole sets.  After each depth the recall is measured: a link of similarity s is
+met at depth d with a known chance, so the links found, by similarity, tell how
+many there are.  When the share found reaches the target, matching stops; else
+it goes on with the longest prefixes that promise it.  Data whose links are
+close copies need only whole signatures; links near the threshold take it down
+to LEAST_DEPTH.
 
 No pair is a row.  A prefix with many classes is cut into blocks by class, and
 each pair of blocks is a task's work (``_groups``), so no group is ever
 gathered whole.  A pair that meets in several trees of a level belongs to the
-first of them, and one that met at a deeper level is not met again; a first pass over the prefixes alone keeps the classes that have such
+first of them, and one that met by longer prefixes is not met again; a first pass over the prefixes alone keeps the classes that have such
 pairs, and the sets travel only for these.  A task returns the number of links
 of each class and a spanning forest of its links, so its output grows with the
 classes, not with the pairs.  Components of the links are those of ``linked``.
@@ -61,13 +62,25 @@ def recall(depth: int, similarity: float = THRESHOLD, trees: int = TREES) -> flo
     return 1 - (1 - similarity ** depth) ** trees
 
 
-def measured(found: np.ndarray, depth: int) -> float:
-    """Share of all links that are found at a depth, judged by those found (by similarity bin).
+_MIDDLES = THRESHOLD + (np.arange(BINS) + .5) * (1 - THRESHOLD) / BINS
 
-    One link at the threshold is added on either side, so that nothing found is no proof."""
-    middle = THRESHOLD + (np.arange(BINS) + .5) * (1 - THRESHOLD) / BINS
-    there = (found / [recall(depth, s) for s in middle]).sum() + 1 / recall(depth)
-    return float((found.sum() + 1) / there)
+
+def predicted(found: np.ndarray, depth: int, shorter: int) -> float:
+    """Share of all links that prefixes of ``shorter`` values find, judged by the
+    links found at ``depth`` (by similarity bin): of similarity s, their number
+    over the chance of finding one is how many there are.
+
+    One link at the threshold counts as well, so that nothing found is no proof."""
+    there = np.append(found / [recall(depth, s) for s in _MIDDLES], 1 / recall(depth))
+    return float(there @ [recall(shorter, s) for s in (*_MIDDLES, THRESHOLD)] / there.sum())
+
+
+def next_depth(found: np.ndarray, depth: int, target: float) -> int | None:
+    """The longest prefixes that promise the target recall, LEAST_DEPTH where none
+    do; None where those of ``depth`` have reached it."""
+    if predicted(found, depth, depth) >= target or depth == LEAST_DEPTH:
+        return None
+    return next((d for d in range(depth - 1, LEAST_DEPTH, -1) if predicted(found, depth, d) >= target), LEAST_DEPTH)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -198,7 +211,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _partners(i: int, keys: np.ndarray, deeper: np.ndarray, tree: int, sizes: np.ndarray, blocks: np.ndarray,
               inner: bool) -> np.ndarray:
-    """Rows after ``i`` that meet it at this depth first, in this tree first, in the other
+    """Rows after ``i`` that meet it by these prefixes first, in this tree first, in the other
     block (or the same), and are not too large or small to be similar."""
     later = slice(i + 1, None)
     ok = np.minimum(sizes[later], sizes[i]) >= THRESHOLD * np.maximum(sizes[later], sizes[i])
@@ -212,7 +225,7 @@ def _partners(i: int, keys: np.ndarray, deeper: np.ndarray, tree: int, sizes: np
 
 
 def _columns(run: pa.RecordBatch):
-    """tree, whether the blocks are one, prefixes, those one deeper, sizes, blocks and numbers of a group."""
+    """tree, whether the blocks are one, prefixes, the longer ones before, sizes, blocks and numbers of a group."""
     pair, n = run.column("pair")[0].as_py().split("-"), run.num_rows
     keys = run.column("keys").flatten().to_numpy().reshape(n, -1)
     return (run.column("tree")[0].as_py(), pair[0] == pair[1], keys[:, :TREES], keys[:, TREES:], run.column("n").to_numpy(),
@@ -305,14 +318,14 @@ def _shingled(rows: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           target: float = TARGET) -> DataFrame:
-    """Landed rows of ``_verified`` over the prefixes, from the deepest level on until the target recall."""
+    """Landed rows of ``_verified`` over the prefixes, from whole signatures on until the target recall."""
     by = ["key", "tree", "pair"]
     together = lambda d: d.repartition(*by).sortWithinPartitions(*by, "cid")
     text = F.coalesce(F.col(text_col), F.lit(""))
     all_rows = docs.select(F.col(id_col).cast("long").alias("_id"), text.alias("text"), F.xxhash64(text).alias("_x"))
-    found, counts = None, np.zeros(BINS, np.int64)
-    for depth in range(DEPTH, LEAST_DEPTH - 1, -1):
-        kept = F.concat(*[at_depth(F.col("keys"), d) for d in (depth, depth + 1) if d <= DEPTH])
+    found, counts, depth, met = None, np.zeros(BINS, np.int64), DEPTH, None
+    while depth is not None:
+        kept = F.concat(*[at_depth(F.col("keys"), d) for d in (depth, met) if d])
         thin = _groups(classes, depth).join(classes.select("cid", "n", kept.alias("keys")), "cid")
         thin = thin.select(*by, "block", "cid", "n", "keys")
         needed = landed(together(thin).mapInArrow(_needed, thin.schema), "candidates")
@@ -325,8 +338,7 @@ def links(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col:
             counts[r.b] += r.n
         level = level.where("a IS NOT NULL")
         found = level if found is None else found.unionByName(level)
-        if measured(counts, depth) >= target:
-            break
+        depth, met = next_depth(counts, depth, target), depth
     return found
 
 

@@ -100,12 +100,14 @@ def test_representatives(spark, odd, odd_rows, empty):
 
 
 def test_matching_stops_at_the_measured_recall():
-    close, far = np.zeros(lsh_forest.BINS), np.zeros(lsh_forest.BINS)
+    close, far, none = (np.zeros(lsh_forest.BINS) for _ in range(3))
     close[-1] = far[0] = 10_000
-    assert lsh_forest.measured(close, lsh_forest.DEPTH) >= lsh_forest.TARGET
-    shares = [lsh_forest.measured(far, d) for d in range(lsh_forest.DEPTH, lsh_forest.LEAST_DEPTH - 1, -1)]
-    assert shares == sorted(shares) and shares[0] < lsh_forest.TARGET and shares[-1] > 0.998
-    assert lsh_forest.measured(np.zeros(lsh_forest.BINS), lsh_forest.DEPTH) < lsh_forest.TARGET      # nothing found proves nothing
+    after = lambda found, d=lsh_forest.DEPTH, t=lsh_forest.TARGET: lsh_forest.next_depth(found, d, t)
+    assert after(close) is None and after(far) == lsh_forest.LEAST_DEPTH and after(far, lsh_forest.LEAST_DEPTH) is None
+    assert after(none) == lsh_forest.LEAST_DEPTH                    # nothing found proves nothing
+    assert [after(far, t=t) for t in (0.9, 0.97, 0.99)] == [None, 7, 6]
+    shares = [lsh_forest.predicted(far, lsh_forest.DEPTH, d) for d in range(lsh_forest.DEPTH, lsh_forest.LEAST_DEPTH - 1, -1)]
+    assert shares == sorted(shares) and shares[-1] > 0.998
 
 
 def test_components_of_a_path(spark):
