@@ -21,7 +21,9 @@ Texts are split first, as byte-level tokenizers do, and special tokens are cut
 out before.  Words repeat, so a worker keeps the ids of those that it has met.
 
 Defined cases: a null text counts as empty and has no ids; bytes that do not
-form UTF-8 after decoding become the replacement character.
+form UTF-8 after decoding become the replacement character; a null id stays
+null and repeated rows are coded each; an empty table gives no row; extra
+columns are not looked at.
 """
 
 from __future__ import annotations

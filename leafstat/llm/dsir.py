@@ -14,7 +14,8 @@ too rare to judge by do not count against documents that no label covers.
 Defined cases: a null or empty text has weight 0; a null doc_id is a
 document of its own noise; rows that are equal have equal keys, and rows that
 tie with the k-th key are all drawn, so a repeated row shares one verdict.
-Without target texts every weight is 0 and every document is kept.
+Without target texts every weight is 0 and every document is kept; an empty
+table gives no row; extra columns stay, under any name.
 """
 
 from __future__ import annotations

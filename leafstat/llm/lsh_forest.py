@@ -25,7 +25,8 @@ classes, not with the pairs.  Components of the links are those of ``linked``.
 
 Defined cases: null and empty texts have no shingle and form one class; a
 repeated row is a copy; a null doc_id comes last when a class or component is
-named by its smallest doc_id.
+named by its smallest doc_id; an empty table gives no row; extra columns stay,
+under any name.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ The pieces are numbered in descending order of length by a range sort of thin
 rows, and each finds its sequence and offset from its number and the plan.
 
 Defined cases: a null text counts as empty and is a piece with the end id
-alone; equal rows are packed each; an empty table has no sequence.
+alone; equal rows are packed each; a null id stays null and is packed like any;
+an empty table has no sequence; extra columns are not looked at.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ row count and the seed alone (``place_of``), as the row from shard and slot
 (``row_of``).
 
 Defined cases: documents without an id are numbered first; equal ids follow
-each other by size, checksum and hash of the text; a null text has no bytes.
+each other by size, checksum and hash of the text; a null text has no bytes;
+repeated rows take a slot each; an empty table has no slot; extra columns are
+not looked at.
 """
 
 from __future__ import annotations

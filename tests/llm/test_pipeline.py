@@ -65,6 +65,30 @@ def test_run_is_the_stages_in_turn(spark, sf_dir):
     assert got and max(rooms.values()) <= 4096
 
 
+def test_stages_on_empty_tables_and_clashing_columns(spark, sf_dir, odd, empty):
+    for docs in (empty, odd):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, docs, sf_dir)
+            assert kept.columns == docs.columns
+            ids = {r.doc_id for r in docs.select("doc_id").collect()}
+            assert {r.doc_id for r in kept.select("doc_id").collect()} <= ids
+        packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+        assert (packed.count() == 0) == (docs is empty)
+
+
+def test_landed_tables_are_released(spark, empty, odd):
+    import os
+
+    from leafstat.llm import common
+    mark = common.landed_so_far()
+    landed(odd.select("doc_id"), "a")
+    kept = landed(odd.select("doc_id"), "b")
+    gone = common._LANDED[mark].removeprefix("file:")
+    assert os.path.isdir(gone) and common.release(spark, mark, keep=1) == 1
+    assert not os.path.isdir(gone) and kept.count() == odd.count() and common.landed_so_far() == mark + 1
+    assert common.release(spark, mark) == 1 and common.landed_so_far() == mark
+
+
 def test_registered():
     import __spark_entry__ as entry
     found = entry.queries()
