@@ -6,8 +6,14 @@
 4. packing: the documents left are cut and packed into sequences.
 
 Each stage works on all that the one before it kept, is written as Parquet in
-the shared folder and read again as the next one's documents.  The first three
-return the columns of ``documents``.
+the shared folder and read again as the next one's documents; what a stage
+landed on its way is removed then.  The first three return the columns of
+``documents``.
+
+Defined cases: null and empty texts are too short for the rules and go there;
+of repeated rows one stays at the third stage; a null id is an id of its own
+and comes last where the smallest names a class; extra columns stay up to
+the packing, under any name; an empty table gives no sequence.
 """
 
 from __future__ import annotations
@@ -16,7 +22,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from leafstat.llm import dsir, llr_rules, lsh_forest, packing
-from leafstat.llm.common import documents, landed, ship_package
+from leafstat.llm.common import documents, landed, landed_so_far, release, ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
+        mark = landed_so_far()
         docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark, mark, keep=1)
     return STAGES[-1][1](spark, docs, sf_dir)
