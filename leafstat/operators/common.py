@@ -13,29 +13,42 @@ def latest(name: str, order: str = "view_date") -> Column:
     return F.max_by(F.col(name), F.struct(F.col(order), F.col(name))).alias(name)
 
 
+_MERGED = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+_FIRST = {**_MERGED, "count": F.count}
+
+
+def with_latest(df: DataFrame, keys: list[str], attrs: list[str], order: str = "view_date", at: str | None = None,
+                **totals: tuple[str, Column | str]) -> DataFrame:
+    """Per key the latest value of each of ``attrs`` (T13) and the ``totals``, given as
+    out=(sum | count | min | max, column); ``at`` names the last ``order`` seen.
+
+    The rows are aggregated on key and attributes together, so their buffers are
+    numbers and dates and Spark hashes them; the values are picked from what is left,
+    a row for each value a key ever had.
+    """
+    per = df.groupBy(*keys, *attrs).agg(F.max(order).alias("_at"),
+                                        *[_FIRST[f](c).alias(out) for out, (f, c) in totals.items()])
+    return per.groupBy(*keys).agg(*[latest(a, "_at") for a in attrs],
+                                  *[_MERGED[f](out).alias(out) for out, (f, _) in totals.items()],
+                                  *([F.max("_at").alias(at)] if at else []))
+
+
 def page_totals(pv: DataFrame) -> DataFrame:
     """Per page (composite key, T8): views, peak users, dwell parts, first/last seen."""
-    return pv.groupBy(*sch.PAGE_KEY).agg(
-        latest("workspace_name"), latest("report_name"), latest("capacity_name"),
-        latest("page_name"),
-        F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"),
-        F.max_by("report_total_pages", F.struct("view_date", "report_total_pages")).alias("report_total_pages"),
-        F.sum("view_count").alias("views"),
-        F.max("unique_users").alias("users_peak"),
-        F.sum("unique_users").alias("user_days"),
-        F.sum(F.col("view_count") * F.col("avg_dwell_seconds")).alias("dwell_weighted_sum"),
-        F.avg("avg_dwell_seconds").alias("avg_dwell_unweighted"),
-        F.min("view_date").alias("first_seen"),
-        F.max("view_date").alias("last_seen"),
-    )
+    t = with_latest(
+        pv, sch.PAGE_KEY,
+        ["workspace_name", "report_name", "capacity_name", "page_name", "page_ordinal", "report_total_pages"],
+        views=("sum", "view_count"), users_peak=("max", "unique_users"), user_days=("sum", "unique_users"),
+        dwell_weighted_sum=("sum", F.col("view_count") * F.col("avg_dwell_seconds")),
+        _dwell=("sum", "avg_dwell_seconds"), _dwells=("count", "avg_dwell_seconds"),
+        first_seen=("min", "view_date"), last_seen=("max", "view_date"))
+    return t.withColumn("avg_dwell_unweighted", F.try_divide("_dwell", "_dwells")).drop("_dwell", "_dwells")
 
 
 def report_attrs(pv: DataFrame) -> DataFrame:
     """Per report (ids): latest names, capacity and total pages from the facts."""
-    return pv.groupBy(*sch.REPORT_KEY).agg(
-        latest("workspace_name"), latest("report_name"), latest("capacity_name"),
-        F.max_by("report_total_pages", F.struct("view_date", "report_total_pages")).alias("report_total_pages"),
-    )
+    return with_latest(pv, sch.REPORT_KEY,
+                       ["workspace_name", "report_name", "capacity_name", "report_total_pages"])
 
 
 def explode_range(df: DataFrame, lo: str, hi: str, out: str, keys: list[str] | None = None,

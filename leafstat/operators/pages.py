@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.prefix import running_total
 from leafstat.functions.scalars import safe_div
-from leafstat.operators.common import explode_range, latest, page_totals, report_attrs
+from leafstat.operators.common import explode_range, latest, page_totals, report_attrs, with_latest
 from leafstat.operators.silver import dedup_catalog
 
 # Dashboard histogram buckets (closed ranges, the last one open) and labels.
@@ -69,9 +69,8 @@ def page_detail(pv: DataFrame, catalog: DataFrame, totals: DataFrame | None = No
 def page_coverage_rate(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     """Defined vs viewed pages per report; pct rounded to 1 dp."""
     cat = dedup_catalog(catalog.select(*sch.PAGE_CATALOG.fieldNames()))
-    defined = cat.groupBy(*sch.REPORT_KEY).agg(
-        latest("workspace_name", "catalog_pulled_at"), latest("report_name", "catalog_pulled_at"),
-        F.count_distinct("page_id").alias("pages_defined"))
+    defined = with_latest(cat, sch.REPORT_KEY, ["workspace_name", "report_name"], order="catalog_pulled_at",
+                          pages_defined=("count", "page_id"))
     viewed = pv.groupBy(*sch.REPORT_KEY).agg(F.count_distinct("page_id").alias("pages_viewed"))
     j = defined.join(viewed, sch.REPORT_KEY, "left")
     pv_ = F.coalesce("pages_viewed", F.lit(0)).cast("bigint")
@@ -85,10 +84,9 @@ def page_coverage_rate(pv: DataFrame, catalog: DataFrame) -> DataFrame:
 def workspace_summary(pv: DataFrame) -> DataFrame:
     """A5: reports, pages, views per workspace; views desc.
     Two-level: page totals first, so the distinct counts run on small data."""
-    per_page = pv.groupBy(*sch.PAGE_KEY).agg(
-        latest("workspace_name"), F.sum("view_count").alias("views"), F.max("view_date").alias("_d"))
+    per_page = with_latest(pv, sch.PAGE_KEY, ["workspace_name"], at="_d", views=("sum", "view_count"))
     return (per_page.groupBy("workspace_id").agg(
-                F.max_by("workspace_name", F.struct("_d", "workspace_name")).alias("workspace_name"),
+                latest("workspace_name", "_d"),
                 F.count_distinct("report_id").alias("report_count"),
                 F.count(F.lit(1)).alias("page_count"),
                 F.sum("views").alias("total_views"))
@@ -96,16 +94,17 @@ def workspace_summary(pv: DataFrame) -> DataFrame:
 
 
 def report_summary(pv: DataFrame) -> DataFrame:
-    """Per report totals; pages_never_viewed = total pages - viewed ordinals."""
-    per_page = pv.groupBy(*sch.PAGE_KEY).agg(
-        F.sum("view_count").alias("views"), F.max("unique_users").alias("peak"),
-        F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"))
-    agg = per_page.groupBy(*sch.REPORT_KEY).agg(
+    """Per report totals; pages_never_viewed = total pages - viewed ordinals.
+    The report's latest names are the latest of its pages' latest ones: one pass."""
+    attrs = ["workspace_name", "report_name", "capacity_name", "report_total_pages"]
+    per_page = with_latest(pv, sch.PAGE_KEY, [*attrs, "page_ordinal"], at="_d",
+                           views=("sum", "view_count"), peak=("max", "unique_users"))
+    out = per_page.groupBy(*sch.REPORT_KEY).agg(
+        *[latest(a, "_d") for a in attrs],
         F.count(F.when(F.col("views") > 0, 1)).alias("pages_with_views"),
         F.count_distinct("page_ordinal").alias("_ords"),
         F.sum("views").alias("total_views"),
         F.max("peak").alias("active_users_peak"))
-    out = agg.join(report_attrs(pv), sch.REPORT_KEY)
     return (out.select("workspace_id", "workspace_name", "capacity_name", "report_id", "report_name",
                        F.col("report_total_pages").alias("total_pages"), "pages_with_views",
                        (F.col("report_total_pages") - F.col("_ords")).cast("bigint").alias("pages_never_viewed"),
@@ -205,9 +204,9 @@ def viewed_keys_except(catalog: DataFrame, pv: DataFrame) -> DataFrame:
 
 def reports_with_unused(unused: DataFrame) -> DataFrame:
     """Unused pages per report."""
-    return (unused.groupBy(*sch.REPORT_KEY)
-            .agg(latest("workspace_name", "catalog_pulled_at"), latest("report_name", "catalog_pulled_at"),
-                 F.count_distinct("page_id").alias("unused_pages"))
+    per_page = with_latest(unused, sch.PAGE_KEY, ["workspace_name", "report_name"], "catalog_pulled_at", at="_d")
+    return (per_page.groupBy(*sch.REPORT_KEY)
+            .agg(latest("workspace_name", "_d"), latest("report_name", "_d"), F.count("page_id").alias("unused_pages"))
             .orderBy(F.col("unused_pages").desc(), "workspace_id", "report_id"))
 
 
@@ -271,10 +270,8 @@ def page_funnel(pv: DataFrame) -> DataFrame:
     """Page views / the report's max page views, per ordinal (all reports).
     The per-report max is an aggregate joined back, not a window, so a
     report with many pages is not one task."""
-    per_page = pv.groupBy(*sch.PAGE_KEY).agg(
-        latest("report_name"), latest("page_name"),
-        F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"),
-        F.sum("view_count").alias("page_views"))
+    per_page = with_latest(pv, sch.PAGE_KEY, ["report_name", "page_name", "page_ordinal"],
+                           page_views=("sum", "view_count"))
     mx = per_page.groupBy(*sch.REPORT_KEY).agg(F.max("page_views").alias("_max"))
     return (per_page.join(mx, sch.REPORT_KEY)
             .withColumn("pct_of_max", F.col("page_views") / F.col("_max").cast("double"))
@@ -284,9 +281,7 @@ def page_funnel(pv: DataFrame) -> DataFrame:
 
 def pct_of_first_page(pv: DataFrame) -> DataFrame:
     """Page views / views of ordinal 1 of the same report (same window both sides, T12)."""
-    per_page = pv.groupBy(*sch.PAGE_KEY).agg(
-        F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"),
-        F.sum("view_count").alias("views"))
+    per_page = with_latest(pv, sch.PAGE_KEY, ["page_ordinal"], views=("sum", "view_count"))
     first = per_page.groupBy(*sch.REPORT_KEY).agg(
         F.sum(F.when(F.col("page_ordinal") == 1, F.col("views"))).alias("first_page_views"))
     return (per_page.join(first, sch.REPORT_KEY)
@@ -300,10 +295,12 @@ def cumulative_views_by_ordinal(pv: DataFrame) -> DataFrame:
 
 
 def page_bar_share(pv: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Bar width = max(1, 100 * views / max(views in report, 1)), zero pages included."""
+    """Bar width = max(1, 100 * views / max(views in report, 1)), zero pages included.
+    They belong to viewed reports and never are the maximum, so it is that of the viewed pages."""
     d = page_detail(pv, catalog).select("workspace_id", "report_id", "page_id", "page_name",
                                         "page_ordinal", "views")
-    mx = d.groupBy(*sch.REPORT_KEY).agg(F.greatest(F.max("views"), F.lit(1)).alias("_max"))
+    mx = (pv.groupBy(*sch.PAGE_KEY).agg(F.sum("view_count").alias("_v"))
+          .groupBy(*sch.REPORT_KEY).agg(F.greatest(F.max("_v"), F.lit(1)).alias("_max")))
     return (d.join(mx, sch.REPORT_KEY)
             .withColumn("bar_pct", F.greatest(F.lit(1.0), (F.col("views") / F.col("_max").cast("double")) * 100))
             .drop("_max")

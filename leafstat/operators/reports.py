@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
 from leafstat.functions.scalars import safe_div
-from leafstat.operators.common import latest, page_totals
+from leafstat.operators.common import latest, page_totals, with_latest
 from leafstat.operators import pages as pg
 
 
@@ -19,14 +19,12 @@ def pages_per_session(pv: DataFrame, rv: DataFrame) -> DataFrame:
     days present on both sides, as the cookbook's join does.
     """
     p = pv.groupBy(*sch.REPORT_KEY, "view_date").agg(
-        latest("workspace_name"), latest("report_name"), F.sum("view_count").alias("pviews"))
+        F.sum("view_count").alias("pviews"))
     r = rv.groupBy(*sch.REPORT_KEY, "view_date").agg(
         F.sum("view_count").alias("sessions"), F.sum("avg_session_seconds").alias("_ss"),
         F.count(F.lit(1)).alias("_n"))
-    j = p.drop("workspace_name", "report_name").join(r, [*sch.REPORT_KEY, "view_date"])
-    names = p.groupBy(*sch.REPORT_KEY).agg(
-        F.max_by("workspace_name", F.struct("view_date", "workspace_name")).alias("workspace_name"),
-        F.max_by("report_name", F.struct("view_date", "report_name")).alias("report_name"))
+    j = p.join(r, [*sch.REPORT_KEY, "view_date"])
+    names = with_latest(pv, sch.REPORT_KEY, ["workspace_name", "report_name"])
     g = j.groupBy(*sch.REPORT_KEY).agg(
         F.sum("pviews").alias("total_page_views"), F.sum("sessions").alias("total_report_sessions"),
         (F.sum("_ss") / F.sum("_n")).alias("avg_session_seconds"))
@@ -67,14 +65,13 @@ def trend_page_vs_report(pv: DataFrame, rv: DataFrame) -> DataFrame:
 def report_matrix(pv: DataFrame, rv: DataFrame, unused: DataFrame) -> DataFrame:
     """Per report views, pages/session, mean session, top page share and
     unused pages with a band (red >= 5, yellow 1-4, '' otherwise)."""
-    per_page = pv.groupBy(*sch.PAGE_KEY).agg(F.sum("view_count").alias("v"))
-    pages = per_page.groupBy(*sch.REPORT_KEY).agg(F.sum("v").alias("views"), F.max("v").alias("_top"))
+    per_page = with_latest(pv, sch.PAGE_KEY, ["workspace_name", "report_name"], at="_d", v=("sum", "view_count"))
+    pages = per_page.groupBy(*sch.REPORT_KEY).agg(latest("workspace_name", "_d"), latest("report_name", "_d"),
+                                                  F.sum("v").alias("views"), F.max("v").alias("_top"))
     sess = rv.groupBy(*sch.REPORT_KEY).agg(F.sum("view_count").alias("report_views"),
                                            F.avg("avg_session_seconds").alias("avg_session_seconds"))
     un = unused.groupBy(*sch.REPORT_KEY).agg(F.count_distinct("page_id").alias("unused_pages"))
-    names = pv.groupBy(*sch.REPORT_KEY).agg(latest("workspace_name"), latest("report_name"))
-    j = (pages.join(names, sch.REPORT_KEY).join(sess, sch.REPORT_KEY, "left")
-         .join(un, sch.REPORT_KEY, "left"))
+    j = pages.join(sess, sch.REPORT_KEY, "left").join(un, sch.REPORT_KEY, "left")
     u = F.coalesce("unused_pages", F.lit(0)).cast("bigint")
     return j.select(
         "workspace_id", "report_id", "workspace_name", "report_name", "views",
@@ -87,9 +84,9 @@ def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int =
                    totals: DataFrame | None = None, missing: DataFrame | None = None) -> DataFrame:
     """One row - date range, days, totals, under-used and unused counts
     (the dashboard's zero-view rule, J2).  Four aggregates, one scalar
-    subquery each."""
+    subquery each; days and workspaces are counted on one row for each pair of them."""
     spark = pv.sparkSession
-    facts = pg._scalars(pv.agg(
+    facts = pg._scalars(pv.groupBy("view_date", "workspace_id").agg(F.sum("view_count").alias("view_count")).agg(
         F.min("view_date").alias("date_from"), F.max("view_date").alias("date_to"),
         F.count_distinct("view_date").alias("days"), F.count_distinct("workspace_id").alias("total_workspaces"),
         F.sum("view_count").alias("total_views")))

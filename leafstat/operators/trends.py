@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.prefix import running_totals
 from leafstat.functions.scalars import safe_div
-from leafstat.operators.common import latest
+from leafstat.operators.common import with_latest
 from leafstat.operators.silver import dedup_catalog
 
 
@@ -47,7 +47,7 @@ def report_half_life(pv: DataFrame, as_of: _dt.date) -> DataFrame:
                     & (F.col("rolling_7d") < F.col("peak_rolling_7d") / F.lit(2.0))))
     half = post.groupBy(*sch.REPORT_KEY, "peak_date", "peak_rolling_7d").agg(
         F.min("view_date").alias("half_date"))
-    names = pv.groupBy(*sch.REPORT_KEY).agg(latest("report_name"))
+    names = with_latest(pv, sch.REPORT_KEY, ["report_name"])
     return (half.join(names, sch.REPORT_KEY)
             .select("workspace_id", "report_id", "report_name", "peak_date", "half_date",
                     F.datediff("half_date", "peak_date").alias("half_life_days"), "peak_rolling_7d")
@@ -93,17 +93,15 @@ def wow_change(pv: DataFrame, as_of: _dt.date) -> DataFrame:
 def new_page_adoption(pv: DataFrame, as_of: _dt.date, new_days: int = 60) -> DataFrame:
     """W9 (T7, T19): for pages first viewed in the last ``new_days`` days, days
     from the first view to the first page-day reaching half the report's mean
-    page-day views; NULL = never."""
+    page-day views; NULL = never.  A new page has no day before the window, so only
+    the window's page-days meet the new pages."""
     f = pv.filter(F.col("view_date") <= F.lit(as_of))
-    pd_ = f.groupBy(*sch.PAGE_KEY, "view_date").agg(F.sum("view_count").alias("daily_views"),
-                                                    F.max("page_name").alias("_pn"))
-    first = pd_.groupBy(*sch.PAGE_KEY).agg(
-        F.min("view_date").alias("first_view"),
-        F.max_by("_pn", F.struct("view_date", "_pn")).alias("page_name"))
+    pd_ = f.groupBy(*sch.PAGE_KEY, "view_date").agg(F.sum("view_count").alias("daily_views"))
+    first = with_latest(f, sch.PAGE_KEY, ["page_name"], first_view=("min", "view_date"))
     avg = pd_.groupBy(*sch.REPORT_KEY).agg(F.avg("daily_views").alias("report_page_avg"))
     lo = as_of - _dt.timedelta(days=new_days - 1)
     new = first.filter(F.col("first_view") >= F.lit(lo))
-    j = pd_.join(new, sch.PAGE_KEY).join(avg, sch.REPORT_KEY)
+    j = pd_.filter(F.col("view_date") >= F.lit(lo)).join(new, sch.PAGE_KEY).join(avg, sch.REPORT_KEY)
     reach = F.when(F.col("daily_views") >= F.col("report_page_avg") / 2,
                    F.datediff("view_date", "first_view"))
     return (j.groupBy(*sch.PAGE_KEY, "page_name", "first_view").agg(F.min(reach).alias("days_to_half_avg"))

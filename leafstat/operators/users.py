@@ -7,18 +7,20 @@ from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
 from leafstat.functions.scalars import hash_user, norm_user
-from leafstat.operators.common import latest
+from leafstat.operators.common import with_latest
 
 
 def power_users_per_report(uv: DataFrame, min_views: int = 50, k: int = 50) -> DataFrame:
     """Per (workspace, report, user hash): views, page-days (T9), active days;
-    >= 50 views; top 50 by views (ties by key)."""
-    g = uv.groupBy(*sch.REPORT_KEY, "user_id_hash").agg(
-        latest("workspace_name"), latest("report_name"),
+    >= 50 views; top 50 by views (ties by key).  Numbers first; names join the users left."""
+    keys = [*sch.REPORT_KEY, "user_id_hash"]
+    g = uv.groupBy(*keys).agg(
         F.sum("view_count").alias("lifetime_page_views"),
         F.sum("distinct_pages_viewed").alias("page_days"),
         F.count_distinct("view_date").alias("active_days"))
-    return (g.filter(F.col("lifetime_page_views") >= min_views)
+    names = with_latest(uv, keys, ["workspace_name", "report_name"])
+    return (g.filter(F.col("lifetime_page_views") >= min_views).join(names, keys)
+            .select(*keys, "workspace_name", "report_name", "lifetime_page_views", "page_days", "active_days")
             .orderBy(F.col("lifetime_page_views").desc(), "workspace_id", "report_id", "user_id_hash")
             .limit(k))
 

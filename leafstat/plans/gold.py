@@ -12,7 +12,7 @@ from leafstat.functions.prefix import running_total
 from leafstat.functions.scalars import safe_div
 from leafstat.operators import pages as pg
 from leafstat.operators import reports as rp
-from leafstat.operators.common import latest, page_totals
+from leafstat.operators.common import page_totals, with_latest
 from leafstat.operators.silver import dedup_catalog
 
 LONG_REPORT_PAGES = 30  # "long" report cut-off
@@ -28,8 +28,7 @@ def kpi_page_usage_daily(pv: DataFrame) -> DataFrame:
 
 def kpi_underused_pages(pv: DataFrame, threshold: int = 100) -> DataFrame:
     """M2: every viewed page below the threshold (A13 without the display cap)."""
-    t = pv.groupBy(*sch.PAGE_KEY).agg(latest("workspace_name"), latest("report_name"), latest("page_name"),
-                                      F.sum("view_count").alias("views"))
+    t = with_latest(pv, sch.PAGE_KEY, ["workspace_name", "report_name", "page_name"], views=("sum", "view_count"))
     return t.filter((F.col("views") > 0) & (F.col("views") < threshold))
 
 
@@ -60,20 +59,17 @@ def kpi_long_report_engagement(pv: DataFrame, catalog: DataFrame, min_pages: int
 
 def dim_workspace(pv: DataFrame) -> DataFrame:
     """M4: latest name per workspace id."""
-    return pv.groupBy("workspace_id").agg(latest("workspace_name"), latest("capacity_name"))
+    return with_latest(pv, ["workspace_id"], ["workspace_name", "capacity_name"])
 
 
 def dim_report(pv: DataFrame) -> DataFrame:
-    return pv.groupBy(*sch.REPORT_KEY).agg(
-        latest("report_name"),
-        F.max_by("report_total_pages", F.struct("view_date", "report_total_pages")).alias("report_total_pages"))
+    return with_latest(pv, sch.REPORT_KEY, ["report_name", "report_total_pages"])
 
 
 def dim_page(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     """M4: latest name and ordinal of every page that was viewed, and those of the
     catalog for pages that nobody viewed yet."""
-    seen = pv.groupBy(*sch.PAGE_KEY).agg(
-        latest("page_name"), F.max_by("page_ordinal", F.struct("view_date", "page_ordinal")).alias("page_ordinal"))
+    seen = with_latest(pv, sch.PAGE_KEY, ["page_name", "page_ordinal"])
     never = dedup_catalog(catalog.select(*sch.PAGE_CATALOG.fieldNames())).join(
         seen.select(*sch.PAGE_KEY), sch.PAGE_KEY, "left_anti")
     return seen.unionByName(never.select(*seen.columns))
