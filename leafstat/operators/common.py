@@ -45,10 +45,15 @@ def page_totals(pv: DataFrame) -> DataFrame:
     return t.withColumn("avg_dwell_unweighted", F.try_divide("_dwell", "_dwells")).drop("_dwell", "_dwells")
 
 
-def report_attrs(pv: DataFrame) -> DataFrame:
-    """Per report (ids): latest names, capacity and total pages from the facts."""
-    return with_latest(pv, sch.REPORT_KEY,
-                       ["workspace_name", "report_name", "capacity_name", "report_total_pages"])
+REPORT_ATTRS = ["workspace_name", "report_name", "capacity_name", "report_total_pages"]
+
+
+def report_attrs(pv: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Per report (ids): latest names, capacity and total pages from the facts, or from
+    page_totals(pv) when the caller has them: the latest of the pages' latest ones."""
+    if totals is None:
+        return with_latest(pv, sch.REPORT_KEY, REPORT_ATTRS)
+    return totals.groupBy(*sch.REPORT_KEY).agg(*[latest(a, "last_seen") for a in REPORT_ATTRS])
 
 
 def explode_range(df: DataFrame, lo: str, hi: str, out: str, keys: list[str] | None = None,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.prefix import running_total
 from leafstat.functions.scalars import safe_div
-from leafstat.operators.common import explode_range, latest, page_totals, report_attrs, with_latest
+from leafstat.operators.common import REPORT_ATTRS, explode_range, latest, page_totals, report_attrs, with_latest
 from leafstat.operators.silver import dedup_catalog
 
 # Dashboard histogram buckets (closed ranges, the last one open) and labels.
@@ -28,10 +28,10 @@ def _scalars(agg: DataFrame) -> dict:
     return {c: s.getField(c) for c in agg.columns}
 
 
-def missing_page_ordinals(pv: DataFrame, catalog: DataFrame) -> DataFrame:
+def missing_page_ordinals(pv: DataFrame, catalog: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Ordinals 1..report_total_pages of each viewed report with no viewed page;
     name from the catalog else '(page N)', id 'report::pNNN' (zero based)."""
-    rep = report_attrs(pv).withColumn("_one", F.lit(1))
+    rep = report_attrs(pv, totals).withColumn("_one", F.lit(1))
     seen = pv.select(*sch.REPORT_KEY, "page_ordinal").distinct()
     allp = explode_range(rep, "_one", "report_total_pages", "page_ordinal", keys=sch.REPORT_KEY)
     allp = allp.withColumn("page_ordinal", F.col("page_ordinal").cast("int"))
@@ -81,30 +81,31 @@ def page_coverage_rate(pv: DataFrame, catalog: DataFrame) -> DataFrame:
             .orderBy(F.col("coverage_pct").asc(), F.col("pages_defined").desc(), "workspace_id", "report_id"))
 
 
-def workspace_summary(pv: DataFrame) -> DataFrame:
+def workspace_summary(pv: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """A5: reports, pages, views per workspace; views desc.
     Two-level: page totals first, so the distinct counts run on small data."""
-    per_page = with_latest(pv, sch.PAGE_KEY, ["workspace_name"], at="_d", views=("sum", "view_count"))
+    per_page = totals if totals is not None else with_latest(
+        pv, sch.PAGE_KEY, ["workspace_name"], at="last_seen", views=("sum", "view_count"))
     return (per_page.groupBy("workspace_id").agg(
-                latest("workspace_name", "_d"),
+                latest("workspace_name", "last_seen"),
                 F.count_distinct("report_id").alias("report_count"),
                 F.count(F.lit(1)).alias("page_count"),
                 F.sum("views").alias("total_views"))
             .orderBy(F.col("total_views").desc(), "workspace_id"))
 
 
-def report_summary(pv: DataFrame) -> DataFrame:
+def report_summary(pv: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Per report totals; pages_never_viewed = total pages - viewed ordinals.
     The report's latest names are the latest of its pages' latest ones: one pass."""
-    attrs = ["workspace_name", "report_name", "capacity_name", "report_total_pages"]
-    per_page = with_latest(pv, sch.PAGE_KEY, [*attrs, "page_ordinal"], at="_d",
-                           views=("sum", "view_count"), peak=("max", "unique_users"))
+    per_page = totals if totals is not None else with_latest(
+        pv, sch.PAGE_KEY, [*REPORT_ATTRS, "page_ordinal"], at="last_seen",
+        views=("sum", "view_count"), users_peak=("max", "unique_users"))
     out = per_page.groupBy(*sch.REPORT_KEY).agg(
-        *[latest(a, "_d") for a in attrs],
+        *[latest(a, "last_seen") for a in REPORT_ATTRS],
         F.count(F.when(F.col("views") > 0, 1)).alias("pages_with_views"),
         F.count_distinct("page_ordinal").alias("_ords"),
         F.sum("views").alias("total_views"),
-        F.max("peak").alias("active_users_peak"))
+        F.max("users_peak").alias("active_users_peak"))
     return (out.select("workspace_id", "workspace_name", "capacity_name", "report_id", "report_name",
                        F.col("report_total_pages").alias("total_pages"), "pages_with_views",
                        (F.col("report_total_pages") - F.col("_ords")).cast("bigint").alias("pages_never_viewed"),
@@ -168,22 +169,23 @@ def headline_kpis(pv: DataFrame, catalog: DataFrame) -> DataFrame:
     """Total views, distinct pages viewed/defined (composite keys),
     distinct reports/workspaces, unweighted mean dwell."""
     spark = pv.sparkSession
-    facts = _scalars(pv.agg(
-        F.sum("view_count").alias("total_views"),
-        F.avg("avg_dwell_seconds").alias("avg_dwell_unweighted")))
-    # distinct pages first; reports and workspaces are counted on that small set
-    pages = _scalars(pv.select(*sch.PAGE_KEY).distinct().agg(
+    # one row a page first; everything is counted on those
+    per_page = pv.groupBy(*sch.PAGE_KEY).agg(F.sum("view_count").alias("_v"), F.sum("avg_dwell_seconds").alias("_d"),
+                                             F.count("avg_dwell_seconds").alias("_n"))
+    pages = _scalars(per_page.agg(
+        F.sum("_v").alias("total_views"),
+        F.try_divide(F.sum("_d"), F.sum("_n")).alias("avg_dwell_unweighted"),
         F.count(F.lit(1)).alias("pages_viewed"),
         F.count_distinct(*sch.REPORT_KEY).alias("reports"),
         F.count_distinct("workspace_id").alias("workspaces")))
     return _one_row(
         spark,
-        total_views=facts["total_views"],
+        total_views=pages["total_views"],
         pages_viewed=pages["pages_viewed"],
         pages_defined=catalog.select(*sch.PAGE_KEY).distinct().select(F.count(F.lit(1))).scalar(),
         reports=pages["reports"],
         workspaces=pages["workspaces"],
-        avg_dwell_unweighted=facts["avg_dwell_unweighted"],
+        avg_dwell_unweighted=pages["avg_dwell_unweighted"],
     )
 
 

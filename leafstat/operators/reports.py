@@ -90,7 +90,7 @@ def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int =
         F.min("view_date").alias("date_from"), F.max("view_date").alias("date_to"),
         F.count_distinct("view_date").alias("days"), F.count_distinct("workspace_id").alias("total_workspaces"),
         F.sum("view_count").alias("total_views")))
-    rs = pg._scalars(pg.report_summary(pv).agg(
+    rs = pg._scalars(pg.report_summary(pv, totals).agg(
         F.count(F.lit(1)).alias("total_reports"),
         F.sum("total_pages").cast("bigint").alias("total_pages_defined"),
         F.sum("pages_with_views").alias("total_pages_with_views"),

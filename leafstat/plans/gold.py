@@ -98,19 +98,19 @@ def dashboard_payload(pv: DataFrame, catalog: DataFrame, as_of: _dt.date | None
     report's page list is ever gathered into a single row or task.
     """
     opts = {"ignoreNullFields": "false"}
-    # Page totals and the J2 zero-view pages feed four sections each.  Column
+    # Page totals feed seven sections, the J2 zero-view pages four.  Column
     # pruning makes every use a different plan (no exchange reuse), so they
     # are computed once - one row per page - and cut off with a reliable
     # checkpoint in the shared spark.checkpoint.dir.
     from leafstat.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(pv.sparkSession)
     totals = page_totals(pv).checkpoint(eager=True)
-    missing = pg.missing_page_ordinals(pv, catalog).checkpoint(eager=True)
+    missing = pg.missing_page_ordinals(pv, catalog, totals).checkpoint(eager=True)
     meta = rp.dashboard_meta(pv, catalog, totals=totals, missing=missing)
     parts = [
         ("meta", meta.select(F.to_json(F.struct(*meta.columns), opts).alias("json"))),
-        ("workspace", pg.workspace_summary(pv)),
-        ("report", pg.report_summary(pv)),
+        ("workspace", pg.workspace_summary(pv, totals)),
+        ("report", pg.report_summary(pv, totals)),
         ("page", pg.page_detail(pv, catalog, totals=totals, missing=missing)),
         ("persona", pg.persona_breakdown(pv)),
         ("day", rp.daily_trend(pv)),

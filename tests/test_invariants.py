@@ -124,5 +124,8 @@ def test_shared_totals_give_the_same_sections(spark):
     assert _same_rows(pg.page_detail(pv, cat), pg.page_detail(pv, cat, totals=t, missing=m))
     assert _same_rows(pg.views_distribution(pv, cat), pg.views_distribution(pv, cat, totals=t, missing=m))
     assert _same_rows(pg.top_pages(pv), pg.top_pages(pv, totals=t))
+    assert _same_rows(pg.missing_page_ordinals(pv, cat), pg.missing_page_ordinals(pv, cat, totals=t))
+    assert _same_rows(pg.report_summary(pv), pg.report_summary(pv, totals=t))
+    assert _same_rows(pg.workspace_summary(pv), pg.workspace_summary(pv, totals=t))
     assert _same_rows(pg.underused_dashboard(pv), pg.underused_dashboard(pv, totals=t))
     assert _same_rows(rp.dashboard_meta(pv, cat), rp.dashboard_meta(pv, cat, totals=t, missing=m))
