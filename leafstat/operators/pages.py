@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
@@ -94,21 +94,27 @@ def workspace_summary(pv: DataFrame, totals: DataFrame | None = None) -> DataFra
             .orderBy(F.col("total_views").desc(), "workspace_id"))
 
 
-def report_summary(pv: DataFrame, totals: DataFrame | None = None) -> DataFrame:
-    """Per report totals; pages_never_viewed = total pages - viewed ordinals.
-    The report's latest names are the latest of its pages' latest ones: one pass."""
+def report_pages(pv: DataFrame, totals: DataFrame | None = None, **more: Column) -> DataFrame:
+    """Per report, in one pass over the facts: latest attributes (the latest of its pages'
+    latest ones), page counts, views, peak; ``more``: further aggregates of its pages' rows."""
     per_page = totals if totals is not None else with_latest(
         pv, sch.PAGE_KEY, [*REPORT_ATTRS, "page_ordinal"], at="last_seen",
         views=("sum", "view_count"), users_peak=("max", "unique_users"))
     out = per_page.groupBy(*sch.REPORT_KEY).agg(
-        *[latest(a, "last_seen") for a in REPORT_ATTRS],
+        *[latest(a, "last_seen") for a in REPORT_ATTRS], *[c.alias(n) for n, c in more.items()],
         F.count(F.when(F.col("views") > 0, 1)).alias("pages_with_views"),
         F.count_distinct("page_ordinal").alias("_ords"),
         F.sum("views").alias("total_views"),
         F.max("users_peak").alias("active_users_peak"))
+    never = (F.col("report_total_pages") - F.col("_ords")).cast("bigint")
+    return out.withColumn("pages_never_viewed", never).drop("_ords")
+
+
+def report_summary(pv: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """Per report totals; pages_never_viewed = total pages - viewed ordinals."""
+    out = report_pages(pv, totals)
     return (out.select("workspace_id", "workspace_name", "capacity_name", "report_id", "report_name",
-                       F.col("report_total_pages").alias("total_pages"), "pages_with_views",
-                       (F.col("report_total_pages") - F.col("_ords")).cast("bigint").alias("pages_never_viewed"),
+                       F.col("report_total_pages").alias("total_pages"), "pages_with_views", "pages_never_viewed",
                        "total_views", "active_users_peak")
             .orderBy(F.col("total_views").desc(), "workspace_id", "report_id"))
 

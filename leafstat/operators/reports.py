@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from leafstat import schemas as sch
 from leafstat.functions.scalars import safe_div
-from leafstat.operators.common import latest, page_totals, with_latest
+from leafstat.operators.common import latest, with_latest
 from leafstat.operators import pages as pg
 
 
@@ -83,20 +83,20 @@ def report_matrix(pv: DataFrame, rv: DataFrame, unused: DataFrame) -> DataFrame:
 def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int = 100,
                    totals: DataFrame | None = None, missing: DataFrame | None = None) -> DataFrame:
     """One row - date range, days, totals, under-used and unused counts
-    (the dashboard's zero-view rule, J2).  Four aggregates, one scalar
-    subquery each; days and workspaces are counted on one row for each pair of them."""
+    (the dashboard's zero-view rule, J2).  Three aggregates, one
+    scalar subquery each; days and workspaces are counted on one row for each pair of them."""
     spark = pv.sparkSession
     facts = pg._scalars(pv.groupBy("view_date", "workspace_id").agg(F.sum("view_count").alias("view_count")).agg(
         F.min("view_date").alias("date_from"), F.max("view_date").alias("date_to"),
         F.count_distinct("view_date").alias("days"), F.count_distinct("workspace_id").alias("total_workspaces"),
         F.sum("view_count").alias("total_views")))
-    rs = pg._scalars(pg.report_summary(pv, totals).agg(
+    low = (F.col("views") > 0) & (F.col("views") < underused_threshold)
+    rs = pg._scalars(pg.report_pages(pv, totals, _low=F.count(F.when(low, 1))).agg(
         F.count(F.lit(1)).alias("total_reports"),
-        F.sum("total_pages").cast("bigint").alias("total_pages_defined"),
+        F.coalesce(F.sum("_low"), F.lit(0)).cast("bigint").alias("underused_count"),
+        F.sum("report_total_pages").cast("bigint").alias("total_pages_defined"),
         F.sum("pages_with_views").alias("total_pages_with_views"),
         F.sum("pages_never_viewed").alias("total_pages_never_viewed")))
-    under = (totals if totals is not None else page_totals(pv)).select(
-        F.count(F.when((F.col("views") > 0) & (F.col("views") < underused_threshold), 1))).scalar()
     miss = pg._scalars((missing if missing is not None else pg.missing_page_ordinals(pv, catalog)).agg(
         F.count(F.lit(1)).alias("unused_count"),
         F.count_distinct(*sch.REPORT_KEY).alias("unused_reports_count")))
@@ -109,6 +109,6 @@ def dashboard_meta(pv: DataFrame, catalog: DataFrame, underused_threshold: int =
         total_pages_never_viewed=rs["total_pages_never_viewed"],
         total_views=facts["total_views"],
         underused_threshold=F.lit(underused_threshold),
-        underused_count=under,
+        underused_count=rs["underused_count"],
         unused_count=miss["unused_count"], unused_reports_count=miss["unused_reports_count"],
     )
