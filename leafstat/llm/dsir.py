@@ -116,9 +116,9 @@ class Model:
 def fit(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Count both models over all of ``docs``; ``trusted`` holds the target's ids.
 
-    The raw model counts every document.  The target is the bounded sample of
-    ``trusted_sample``, hence the broadcast.  The shuffle carries at most
-    BUCKETS rows from each task, and BUCKETS rows reach the driver.
+    The raw model counts every document, the target every document of
+    ``trusted``.  The shuffle of counts carries at most BUCKETS rows from each
+    task, and BUCKETS rows reach the driver.
     """
     size_batches(docs.sparkSession)
     marked = marked_trusted(docs, trusted, id_col)
