@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.scalars import blank, hash_user_key, norm_user, safe_div
 
+SALTS = 16                 # tasks that share the users of one page-day, at most
+
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """S3: select the declared columns in order, cast to the declared types."""
@@ -58,23 +60,33 @@ def page_views_daily(events: DataFrame, catalog: DataFrame, rdim: DataFrame,
     persona stands for the user, so that a user whose events carry several
     personas counts once; the rows then sum up per persona and per page-day,
     in one chain, so the raw joins run once.
+
+    Two shuffles do all of it.  The first deals a page-day's users over SALTS
+    tasks (rows without a user by their values), so that a busy page-day is no
+    single task's; steps per user and per salt need no other.  The second
+    brings the salts' sums, at most SALTS a persona and page-day, to the page,
+    where the catalog's row is met as well.
     top_persona = the persona with most views, ties -> larger name.
     Names are attached after aggregation from the (deduplicated) catalog and
     the report dimension; J9: ordinal and report_total_pages come from the
     catalog (0 when the page is not in it).
     """
     keys = [*sch.PAGE_KEY, "view_date"]
-    ev = window_filter(events, since, until)
-    per = ev.groupBy(*keys, norm_user("user_upn").alias("_u"), F.coalesce("persona", F.lit("")).alias("persona")).agg(
+    persona = F.coalesce("persona", F.lit(""))
+    ev = window_filter(events, since, until).select(
+        *keys, norm_user("user_upn").alias("_u"), persona.alias("persona"), "views", "dwell_seconds")
+    dealt = F.when(F.col("_u").isNotNull(), F.xxhash64("_u")).otherwise(F.xxhash64("persona", "views", "dwell_seconds"))
+    ev = ev.withColumn("_s", F.pmod(dealt, F.lit(SALTS)).cast("int")).repartition(*keys, "_s")
+    per = ev.groupBy(*keys, "_s", "_u", "persona").agg(
         F.sum("views").alias("_v"),
         F.sum("dwell_seconds").alias("_d"),
         F.count("dwell_seconds").alias("_n"))
-    # The window holds one user's personas of one page-day.  Rows without a user are no user's,
-    # and spread over their personas.
-    w = Window.partitionBy(*keys, "_u", F.when(F.col("_u").isNull(), F.col("persona"))).orderBy("persona")
+    # The window holds one user's personas of one page-day.
+    w = Window.partitionBy(*keys, "_s", "_u", F.when(F.col("_u").isNull(), F.col("persona"))).orderBy("persona")
     stands = F.col("_u").isNotNull() & (F.row_number().over(w) == 1)
-    personas = per.withColumn("_one", stands.cast("long")).groupBy(*keys, "persona").agg(
-        *[F.sum(c).alias(c) for c in ("_v", "_d", "_n", "_one")])
+    sums = lambda: [F.sum(c).alias(c) for c in ("_v", "_d", "_n", "_one")]
+    salted = per.withColumn("_one", stands.cast("long")).groupBy(*keys, "_s", "persona").agg(*sums())
+    personas = salted.repartition(*sch.PAGE_KEY).groupBy(*keys, "persona").agg(*sums())
     base = personas.groupBy(*keys).agg(
         F.sum("_v").alias("view_count"),
         F.sum("_one").alias("unique_users"),
