@@ -21,6 +21,11 @@ from leafstat.operators import silver as sv
 from leafstat.sources.telemetry import Feeds
 
 
+# Bytes of the supplied compressed facts per initial reducer.  Joined and aggregated they
+# are several times as large, and a task sorts or hashes its share in memory.
+FACT_BYTES_PER_REDUCER = 4 << 20
+
+
 class Lakehouse:
     def __init__(self, spark: SparkSession, source=None, tables: dict | None = None,
                  as_of: _dt.date | None = None):
@@ -33,10 +38,11 @@ class Lakehouse:
 
     @classmethod
     def from_star(cls, spark: SparkSession, sf_dir: str, as_of=None) -> "Lakehouse":
-        from leafstat.session import size_shuffles
+        from leafstat.session import size_reducers, size_shuffles
         from leafstat.sources.star import StarSource
         src = StarSource(spark, sf_dir)
-        size_shuffles(spark, src.fact_bytes())
+        size_shuffles(spark, src.fact_bytes(), FACT_BYTES_PER_REDUCER)
+        size_reducers(spark)
         return cls(spark, source=src, as_of=as_of)
 
     @classmethod
