@@ -189,13 +189,26 @@ register("run_metrics_json")(lambda lh: ops.run_metrics_json(_summary(lh)))
 register("run_metrics_gauges")(lambda lh: ops.run_metrics_gauges(_summary(lh)))
 
 
-def _silver_stored(lh: Lakehouse) -> str:
-    """K2: the five whole tables as Parquet, written once for the queries that read them back."""
-    if "silver" not in lh.stored:
-        root = _scratch(lh, "silver")
-        io.write_silver(lh.silver(), root)
-        lh.stored["silver"] = root
-    return lh.stored["silver"]
+def _silver_stored(lh: Lakehouse, *tables: str) -> str:
+    """K2: whole silver tables as Parquet, each written once for the queries that read it
+    back; the unused pages are made from the stored catalog and facts."""
+    root = lh.stored.setdefault("silver", _scratch(lh, "silver"))
+    for table in tables:
+        if f"silver/{table}" in lh.stored:
+            continue
+        if table == "unused_pages":
+            _silver_stored(lh, "page_catalog", "page_views")
+            views, catalog = (io.read_table(lh.spark, root, t) for t in ("page_views", "page_catalog"))
+            rows = sv.unused_pages(catalog, views, *lh.window(90), order=False)
+        else:
+            rows = getattr(lh, table)
+        lh.stored[f"silver/{table}"] = io.write_table(rows, root, table)
+    return root
+
+
+def _stored(lh: Lakehouse, table: str) -> DataFrame:
+    """A silver table read back, for queries that use its rows several times."""
+    return io.read_table(lh.spark, _silver_stored(lh, table), table)
 
 
 def _round_trip(name: str, table: str, mode: str):
@@ -203,7 +216,7 @@ def _round_trip(name: str, table: str, mode: str):
     @register(name)
     def run(lh: Lakehouse):
         if mode == "parquet":
-            return io.load_table(lh.spark, mode, _silver_stored(lh), table)
+            return io.load_table(lh.spark, mode, _silver_stored(lh, table), table)
         root = _scratch(lh, mode)
         io.write_silver_csv(getattr(lh, table), f"{root}/{table}", sch.SILVER[table])
         return io.load_table(lh.spark, mode, root, table)
@@ -221,7 +234,7 @@ def _upserted(lh: Lakehouse, table: str, value_col: str):
     lo, hi = lh.window(90)
     mid_lo, mid_hi = lo + _dt.timedelta(days=30), lo + _dt.timedelta(days=59)
     root = _scratch(lh, "upsert")
-    df = getattr(lh, table)
+    df = _stored(lh, table)
     stale = df.filter(F.col("view_date") <= F.lit(mid_hi)).withColumn(value_col, F.col(value_col) * 2)
     io.write_table(stale, root, table)
     upsert(df.filter(F.col("view_date").between(F.lit(mid_lo), F.lit(hi))), root, table, stream="query", epoch=0)
@@ -266,7 +279,7 @@ def _bronze(name: str, feed: str):
     def run(lh: Lakehouse):
         """K1: two daily runs, each of the whole feed up to its day; the second run is
         written twice to show that its day partition is replaced, not appended."""
-        root, rows, hi = _scratch(lh, "bronze"), getattr(lh, feed), lh.as_of
+        root, rows, hi = _scratch(lh, "bronze"), _stored(lh, feed), lh.as_of
         for day in (hi - _dt.timedelta(days=1), hi, hi):
             landed = sv.window_filter(rows, None, day) if "view_date" in rows.columns else rows
             io.write_bronze(landed, root, feed, day)
@@ -317,7 +330,7 @@ def _k8(lh: Lakehouse):
 
 @register("table_row_counts")
 def _k9(lh: Lakehouse):
-    return io.table_row_counts(lh.spark, _silver_stored(lh), (*sch.SILVER, "no_such_table"))
+    return io.table_row_counts(lh.spark, _silver_stored(lh, *sch.SILVER), (*sch.SILVER, "no_such_table"))
 
 
 @register("read_catalog_sidecar")
@@ -329,26 +342,29 @@ def _s7(lh: Lakehouse):
 
 def _landed_docs(lh: Lakehouse, docs) -> DataFrame:
     root = _scratch(lh, "s4")
-    docs.select("value").write.mode("overwrite").text(f"{root}/landed")
+    docs.select("value").write.mode("overwrite").option("compression", "gzip").text(f"{root}/landed")
     return pl.landed_documents(lh.spark, f"{root}/landed")
 
 
 def _user_days(lh: Lakehouse) -> DataFrame:
-    """User-days as the API returns them, users still named."""
-    return lh.events.groupBy("report_id", "view_date", "user_upn").agg(
+    """User-days as the API returns them, users still named; landed, as the documents use them twice."""
+    days = lh.events.groupBy("report_id", "view_date", "user_upn").agg(
         F.sum("views").alias("view_count"), F.count_distinct("page_id").alias("distinct_pages_viewed"))
+    path = f"{_scratch(lh, 's4')}/user_days"
+    days.write.parquet(path)
+    return lh.spark.read.schema(days.schema).parquet(path)
 
 
 @register("flatten_usage_payload")
 def _s4(lh: Lakehouse):
     """S4, page target: page-day rows landed as API result documents, then flattened back."""
-    return pl.flatten_page_payload(_landed_docs(lh, pl.page_payload_docs(lh.page_views)))
+    return pl.flatten_page_payload(_landed_docs(lh, pl.page_payload_docs(_stored(lh, "page_views"))))
 
 
 @register("flatten_report_payload")
 def _s4_report(lh: Lakehouse):
     """S4, report target."""
-    return pl.flatten_report_payload(_landed_docs(lh, pl.report_payload_docs(lh.report_views)))
+    return pl.flatten_report_payload(_landed_docs(lh, pl.report_payload_docs(_stored(lh, "report_views"))))
 
 
 @register("flatten_user_payload")
@@ -361,7 +377,7 @@ def _s4_user(lh: Lakehouse):
 def _s4_corrupt(lh: Lakehouse):
     """Documents that are none (dataset names, landed among the report target's
     documents) are counted, and the rows of the others are kept."""
-    docs = pl.report_payload_docs(lh.report_views).select("value").unionByName(
+    docs = pl.report_payload_docs(_stored(lh, "report_views")).select("value").unionByName(
         lh.side("datasets").select(F.col("dataset_name").alias("value")))
     landed = _landed_docs(lh, docs)
     rows = pl.flatten_report_payload(landed).agg(F.count(F.lit(1)).alias("rows"))
@@ -415,11 +431,12 @@ def _refreshed(lh: Lakehouse) -> str:
     root = _scratch(lh, "gold")
     lo, hi = lh.as_of - _dt.timedelta(days=59), lh.as_of
     late = F.col("view_date").between(F.lit(lo), F.lit(hi))
-    io.write_table(lh.page_views.withColumn("view_count", F.when(late, F.col("view_count") * 2).otherwise(F.col("view_count"))),
+    views = _stored(lh, "page_views")
+    io.write_table(views.withColumn("view_count", F.when(late, F.col("view_count") * 2).otherwise(F.col("view_count"))),
                    root, "page_views")
-    io.write_table(lh.page_catalog, root, "page_catalog")
+    io.write_table(_stored(lh, "page_catalog"), root, "page_catalog")
     gold_sink.build(Lakehouse.from_path(lh.spark, root), f"{root}/gold")
-    batch = lh.page_views.filter(late)
+    batch = views.filter(late)
     upsert(batch, root, "page_views")
     touched = [r[0] for r in batch.select("view_date").distinct().collect()]     # a row a day of 60
     gold_sink.refresh(Lakehouse.from_path(lh.spark, root), f"{root}/gold", touched)

@@ -167,7 +167,9 @@ def _result_docs(rows: DataFrame, by: Column, fields: dict[str, Column]) -> Data
     """Rows re-serialised into the API result shape, a document for each (report, day, block)."""
     keys = ["report_id", "view_date"]
     pairs = [x for k, v in fields.items() for x in (F.lit(k), v.cast("string"))]
-    g = _blocked(rows, keys, by).groupBy(*keys, "_b").agg(F.collect_list(F.create_map(*pairs)).alias("rows"))
+    # Dealt while they are typed columns: the maps, with their long keys, are made where they are gathered.
+    g = (_blocked(rows, keys, by).repartition(*keys, "_b")
+         .groupBy(*keys, "_b").agg(F.collect_list(F.create_map(*pairs)).alias("rows")))
     doc = F.struct(F.array(F.struct(F.array(F.struct(F.col("rows").alias("rows"))).alias("tables"))).alias("results"))
     return g.select("report_id", "view_date", F.to_json(doc).alias("value"))
 
