@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafstat.plans.lakehouse import Lakehouse
+from leafstat.plans.lakehouse import Lakehouse, QueryLakehouse
 from leafstat.sources import paths
 
 REGISTRY: dict[str, Callable[[Lakehouse], DataFrame]] = {}
@@ -61,7 +61,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def adapt(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(lakehouse_for(spark, sf_dir))
+            return fn(QueryLakehouse(lakehouse_for(spark, sf_dir)))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run

@@ -33,7 +33,8 @@ class Lakehouse:
         self.source = source
         self.feeds = Feeds(spark, source)
         self._tables = tables or {}
-        self.stored: dict[str, str] = {}        # folders that queries wrote once for several of them
+        self.stored: dict[str, str] = {}        # folders written once for several steps (of a query: QueryLakehouse)
+        self.gold: dict[str, str] = {}          # folder of the refreshed marts, which several queries read
         self._as_of = as_of
 
     @classmethod
@@ -168,3 +169,16 @@ class Lakehouse:
 
     def silver(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in sch.SILVER}
+
+
+class QueryLakehouse:
+    """A Lakehouse as one query call sees it: the tables that the call stores are its own,
+    everything else is the Lakehouse's.  So a query's work does not depend on what other
+    queries stored before it."""
+
+    def __init__(self, lakehouse: Lakehouse):
+        self._lakehouse = lakehouse
+        self.stored: dict[str, str] = {}
+
+    def __getattr__(self, name: str):
+        return getattr(self._lakehouse, name)

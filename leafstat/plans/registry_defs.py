@@ -190,8 +190,8 @@ register("run_metrics_gauges")(lambda lh: ops.run_metrics_gauges(_summary(lh)))
 
 
 def _silver_stored(lh: Lakehouse, *tables: str) -> str:
-    """K2: whole silver tables as Parquet, each written once for the queries that read it
-    back; the unused pages are made from the stored catalog and facts."""
+    """K2: whole silver tables as Parquet, each written once for the steps of a query that
+    read it back; the unused pages are made from the stored catalog and facts."""
     root = lh.stored.setdefault("silver", _scratch(lh, "silver"))
     for table in tables:
         if f"silver/{table}" in lh.stored:
@@ -207,7 +207,7 @@ def _silver_stored(lh: Lakehouse, *tables: str) -> str:
 
 
 def _stored(lh: Lakehouse, table: str) -> DataFrame:
-    """A silver table read back, for queries that use its rows several times."""
+    """A silver table read back, for a query that uses its rows several times."""
     return io.read_table(lh.spark, _silver_stored(lh, table), table)
 
 
@@ -426,8 +426,8 @@ register("page_key")(lambda lh: lh.page_catalog.select(*sch.PAGE_KEY, page_key()
 def _refreshed(lh: Lakehouse) -> str:
     """Gold built on silver whose last 60 days are stale (doubled), then refreshed for
     the days that an upsert of the true values touched; done once for all its marts."""
-    if "gold" in lh.stored:
-        return lh.stored["gold"]
+    if "refreshed" in lh.gold:
+        return lh.gold["refreshed"]
     root = _scratch(lh, "gold")
     lo, hi = lh.as_of - _dt.timedelta(days=59), lh.as_of
     late = F.col("view_date").between(F.lit(lo), F.lit(hi))
@@ -440,8 +440,8 @@ def _refreshed(lh: Lakehouse) -> str:
     upsert(batch, root, "page_views")
     touched = [r[0] for r in batch.select("view_date").distinct().collect()]     # a row a day of 60
     gold_sink.refresh(Lakehouse.from_path(lh.spark, root), f"{root}/gold", touched)
-    lh.stored["gold"] = f"{root}/gold"
-    return lh.stored["gold"]
+    lh.gold["refreshed"] = f"{root}/gold"
+    return lh.gold["refreshed"]
 
 
 for _name, _mart in (("gold_page_usage_refreshed", "kpi_page_usage_daily"), ("gold_fact_refreshed", "fact_page_views"),
