@@ -10,6 +10,7 @@ that a source lacks is empty (``sources.telemetry``).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from leafstat import schemas as sch
 from leafstat.functions.dates import DEFAULT_DAYS, as_of_date, window_bounds
 from leafstat.operators import silver as sv
+from leafstat.session import scratch_dir
 from leafstat.sources.telemetry import Feeds
 
 
@@ -124,9 +126,14 @@ class Lakehouse:
 
     @cached_property
     def rdim(self) -> DataFrame:
+        """The report dimension, landed so that Spark joins it knowing its size: while it is
+        small the facts are not shuffled by report, which would give each report to one task."""
         tot = self.catalog_full.groupBy(*sch.REPORT_KEY).agg(
             F.max("report_total_pages").alias("report_total_pages"))
-        return sv.report_dim(self.workspaces, self.reports).join(tot, sch.REPORT_KEY, "left")
+        dim = sv.report_dim(self.workspaces, self.reports).join(tot, sch.REPORT_KEY, "left")
+        path = scratch_dir(self.spark, f"rdim-{uuid.uuid4().hex[:12]}")
+        dim.write.parquet(path)
+        return self.spark.read.schema(dim.schema).parquet(path)
 
     # -- silver ----------------------------------------------------------
     def _t(self, name, build):

@@ -1,6 +1,7 @@
 """Steps whose shuffles, writes and task memory must not outgrow the input."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -80,3 +81,11 @@ def test_a_query_stores_its_tables_whatever_ran_before(spark, monkeypatch):
     written, query = _written(monkeypatch), spark_queries()["silver_parquet_roundtrip_page_catalog"]
     assert query(spark, SF001).count() == query(spark, SF001).count() == 200
     assert written == ["page_catalog"] * 2
+
+
+def test_facts_are_not_shuffled_by_report(spark):
+    lh = Lakehouse.from_star(spark, SF001)
+    for rows in (lh.page_views, lh.user_views):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        by_report = [line for line in plan.split("\n") if re.search(r"hashpartitioning\(workspace_id#\d+, report_id#\d+, \d+\)", line)]
+        assert not by_report, by_report
