@@ -98,6 +98,15 @@ class Lakehouse:
         self.__dict__.pop("visits", None)
         return ev
 
+    def on_landed_events(self, path: str) -> "Lakehouse":
+        """The same feeds over raw events written once to ``path``, for building several fact
+        tables in a row: each would run the source's joins again."""
+        landed = Lakehouse(self.spark, source=self.source, as_of=self.as_of)
+        landed.__dict__.update(catalog_full=self.catalog_full, rdim=self.rdim)
+        self.events.write.parquet(path)
+        landed.__dict__["events"] = self.spark.read.schema(self.events.schema).parquet(path)
+        return landed
+
     @cached_property
     def visits(self) -> DataFrame:
         return self.feeds.get("report_visits", self.events)

@@ -193,6 +193,9 @@ def _silver_stored(lh: Lakehouse, *tables: str) -> str:
     """K2: whole silver tables as Parquet, each written once for the steps of a query that
     read it back; the unused pages are made from the stored catalog and facts."""
     root = lh.stored.setdefault("silver", _scratch(lh, "silver"))
+    facts, source = [t for t in tables if t in sch.PARTITION_COL and f"silver/{t}" not in lh.stored], lh
+    if len(facts) > 1 and lh.feeds.has("raw_page_events"):
+        source = lh.on_landed_events(_scratch(lh, "events"))
     for table in tables:
         if f"silver/{table}" in lh.stored:
             continue
@@ -201,7 +204,7 @@ def _silver_stored(lh: Lakehouse, *tables: str) -> str:
             views, catalog = (io.read_table(lh.spark, root, t) for t in ("page_views", "page_catalog"))
             rows = sv.unused_pages(catalog, views, *lh.window(90), order=False)
         else:
-            rows = getattr(lh, table)
+            rows = getattr(source, table)
         lh.stored[f"silver/{table}"] = io.write_table(rows, root, table)
     return root
 

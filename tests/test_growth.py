@@ -89,3 +89,16 @@ def test_facts_are_not_shuffled_by_report(spark):
         plan = rows._jdf.queryExecution().executedPlan().toString()
         by_report = [line for line in plan.split("\n") if re.search(r"hashpartitioning\(workspace_id#\d+, report_id#\d+, \d+\)", line)]
         assert not by_report, by_report
+
+
+def test_row_counts_join_the_events_once(spark, monkeypatch):
+    written, landed = _written(monkeypatch), []
+    land = Lakehouse.on_landed_events
+    monkeypatch.setattr(Lakehouse, "on_landed_events", lambda lh, path: landed.append(path) or land(lh, path))
+    got = {r.table_name: r.row_count for r in spark_queries()["table_row_counts"](spark, SF001).collect()}
+    assert got == {"page_views": 5967, "page_catalog": 200, "report_views": got["report_views"],
+                   "user_views": got["user_views"], "unused_pages": 65}
+    lh = Lakehouse.from_star(spark, SF001)
+    assert (got["report_views"], got["user_views"]) == (lh.report_views.count(), lh.user_views.count())
+    assert len(landed) == 1 and sorted(written) == sorted(got)
+    assert paths.exists(spark, landed[0])
